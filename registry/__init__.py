@@ -21,4 +21,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from registry import merges  # noqa: F401
+    from registry import histories, merges, retentions  # noqa: F401
