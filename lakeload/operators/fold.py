@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from lakeload.functions.identifiers import column
 from lakeload.functions.scalars import instant
@@ -54,65 +55,68 @@ def number_in_order(df: DataFrame, ts_col: str, ties: Sequence[str] = ()) -> Dat
     )
 
 
+def _collapse(rows: DataFrame, w: WindowSpec, joins: Column, carried: Sequence[str]) -> DataFrame:
+    """First row of each run, with ``carried`` columns taken from the run's last row.
+
+    ``joins`` tells whether a row continues the one before it.  Every step uses the
+    one window, so the rows are shuffled and sorted once.
+    """
+    marked = rows.withColumn("__head", ~F.coalesce(joins, F.lit(False)))
+    marked = marked.withColumn("__tail", F.coalesce(F.lead("__head").over(w), F.lit(True)))
+    ends = marked.where(F.col("__head") | F.col("__tail"))
+    # Among heads and tails the row after a head that is no tail is its tail.
+    last = {c: F.when(F.col("__tail"), F.col(c)).otherwise(F.lead(c).over(w)) for c in carried}
+    return ends.withColumns(last).where("__head").drop("__head", "__tail")
+
+
 def _runs(
     rows: DataFrame,
     bk: Sequence[str],
-    compare: Sequence[str],
     contiguous: bool,
     chunk_files: int | None,
+    last_only: bool = False,
 ) -> DataFrame:
-    """Maximal runs of rows of a key with equal ``compare``; optionally without missing numbers.
+    """Maximal runs of a key's rows with equal hash, optionally without missing numbers.
 
-    Result per run: ``first`` (struct of the run's first row), ``lo``/``hi`` (first
-    and last number) and ``until`` (``__next`` of the last row).
+    A run is its first row, with ``__hi`` and ``__until`` (number and ``__next`` of
+    its last row).  ``last_only`` keeps the last run of each key.
     """
     keys = [column(k) for k in bk]
     chunk = F.floor(F.col(_SEQ) / chunk_files).cast("long") if chunk_files else F.lit(0).cast("long")
-    rows = rows.withColumn("__chunk", chunk)
-    inside = Window.partitionBy(*keys, "__chunk").orderBy(_SEQ)
+    rows = rows.withColumns({"__chunk": chunk, "__hi": F.col(_SEQ), "__until": F.col(_NEXT)})
 
-    def continues(w) -> Column:
-        same = F.lit(True)
-        for c in compare:
-            same = same & F.lag(column(c)).over(w).eqNullSafe(column(c))
-        return same & (F.lag(_SEQ).over(w) == F.col(_SEQ) - 1) if contiguous else same
-
-    has_previous = F.lag(_SEQ).over(inside).isNotNull()
-    marked = rows.withColumn("__start", F.when(has_previous & continues(inside), 0).otherwise(1))
-    marked = marked.withColumn("__run", F.sum("__start").over(inside))
-    payload = [c for c in rows.columns if c != "__chunk"]
-    runs = marked.groupBy(*keys, "__chunk", "__run").agg(
-        F.min_by(F.struct(*[column(c) for c in payload]), F.col(_SEQ)).alias("first"),
-        F.min(_SEQ).alias("lo"),
-        F.max(_SEQ).alias("hi"),
-        F.max(_NEXT).alias("last_next"),
-        F.max(F.when(F.col(_NEXT).isNull(), 1).otherwise(0)).alias("open"),
-    )
-    runs = runs.withColumn("until", F.when(F.col("open") == 0, F.col("last_next"))).drop("open", "last_next")
-    if not chunk_files:
-        return runs.select("first", "lo", "hi", "until")
-
-    # Only a chunk's first and last run can continue in a neighbouring chunk.
-    ends = Window.partitionBy(*keys, "__chunk")
-    runs = runs.withColumn("__edge", (F.col("__run") == 1) | (F.col("__run") == F.max("__run").over(ends)))
-    inner = runs.where(~F.col("__edge"))
-    edge = runs.where("__edge")
-    across = Window.partitionBy(*keys).orderBy("lo")
-    joins = F.lag("__chunk").over(across) != F.col("__chunk")
-    for c in compare:
-        joins = joins & F.lag(column(c, "first")).over(across).eqNullSafe(column(c, "first"))
-    if contiguous:
-        joins = joins & (F.lag("hi").over(across) == F.col("lo") - 1)
-    edge = edge.withColumn("__start", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1))
-    edge = edge.withColumn("__merged", F.sum("__start").over(across))
-    whole = edge.groupBy(*keys, "__merged").agg(
-        F.min_by("first", "lo").alias("first"),
-        F.min("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-        F.max_by("until", "hi").alias("until"),
+    def continues(w: WindowSpec, previous_number: str) -> Column:
+        same = F.lag(column(HASH)).over(w).eqNullSafe(column(HASH)) & F.lag(_SEQ).over(w).isNotNull()
+        return same & (F.lag(previous_number).over(w) == F.col(_SEQ) - 1) if contiguous else same
+
+    inside = Window.partitionBy(*keys, "__chunk").orderBy(_SEQ)
+    rows = rows.withColumns(
+        {
+            "__first": F.lag(_SEQ).over(inside).isNull(),
+            "__last": F.lead(_SEQ).over(inside).isNull(),
+        }
     )
-    kept = ["first", "lo", "hi", "until"]
-    return inner.select(*kept).unionByName(whole.select(*kept))
+    runs = _collapse(rows, inside, continues(inside, _SEQ), ["__hi", "__until", "__last"])
+
+    w = inside
+    if chunk_files:
+        # Only a chunk's first and last run can go on in a neighbouring chunk; every
+        # other run is a group of its own.
+        edge = F.col("__first") | F.col("__last")
+        if last_only:
+            runs = runs.where(edge)
+        runs = runs.withColumns(
+            {
+                "__chunk_of": F.when(~edge, F.col("__chunk")),
+                "__run_of": F.when(~edge, F.col(_SEQ)),
+            }
+        )
+        w = Window.partitionBy(*keys, "__chunk_of", "__run_of").orderBy(_SEQ)
+        across = (F.lag("__chunk").over(w) != F.col("__chunk")) & continues(w, "__hi")
+        runs = _collapse(runs, w, across, ["__hi", "__until"])
+    if last_only:
+        runs = runs.withColumn("__final", F.lead(_SEQ).over(w).isNull()).where("__final")
+    return runs.drop("__chunk", "__first", "__last", "__chunk_of", "__run_of", "__final")
 
 
 def _one_row_per_file(batch: DataFrame, bk: Sequence[str], on_duplicates: str, order_by) -> DataFrame:
@@ -158,10 +162,8 @@ def scd1_fold(
 
 def _last_runs(numbered: DataFrame, bk: Sequence[str], chunk_files: int | None) -> DataFrame:
     rows = numbered.withColumn(_NEXT, F.lit(None).cast("timestamp"))
-    runs = _runs(rows, bk, [HASH], False, chunk_files)
-    keys = [column(k, "first").alias(f"__k{i}") for i, k in enumerate(bk)]
-    last = runs.groupBy(*keys).agg(F.max_by("first", "hi").alias("row"))
-    return last.select(*[column(c, "row").alias(c) for c in numbered.columns if c != _SEQ])
+    last = _runs(rows, bk, False, chunk_files, last_only=True)
+    return last.select(*[column(c) for c in numbered.columns if c != _SEQ])
 
 
 def scd2_from_snapshots(
@@ -195,16 +197,16 @@ def scd2_from_snapshots(
         old = old.withColumn(_NEXT, first.scalar())
         old, rows = align_schemas(old, rows)
         rows = conform(rows, old.schema).unionByName(old)
-    runs = _runs(rows, bk, [HASH], True, chunk_files)
+    runs = _runs(rows, bk, True, chunk_files)
     fields = [f for f in rows.schema.fields if f.name not in (_SEQ, _NEXT)]
     end_type = rows.schema[END].dataType
 
     def value(name: str) -> Column:
         if name == END:
-            return F.coalesce(F.col("until"), F.lit(OPEN_END).cast(end_type)).cast(end_type)
+            return F.coalesce(F.col("__until"), F.lit(OPEN_END).cast(end_type)).cast(end_type)
         if name == CURRENT:
-            return F.col("until").isNull()
-        return column(name, "first")
+            return F.col("__until").isNull()
+        return column(name)
 
     history = runs.select(*[value(f.name).alias(f.name) for f in fields])
     return history if closed is None else conform(closed, history.schema).unionByName(history)
@@ -245,18 +247,14 @@ def fact_fold(
         old = target.withColumn(_SEQ, gap).withColumn(_NEXT, first.scalar())
         old, rows = align_schemas(old, rows)
         rows = conform(rows, old.schema).unionByName(old)
-    runs = _runs(rows, bk, [HASH], True, chunk_files)
-    keys = [column(k, "first").alias(f"__k{i}") for i, k in enumerate(bk)]
-    last = runs.groupBy(*keys).agg(
-        F.max_by(F.struct("first", "lo", "hi", "until"), F.col("hi")).alias("run")
-    )
+    last = _runs(rows, bk, True, chunk_files, last_only=True)
     now = instant(now, rows.schema[MODIFIED].dataType)
-    gone = F.col("run.until").isNotNull() & column(DELETED, "run.first").isNull()
+    gone = F.col("__until").isNotNull() & column(DELETED).isNull()
     out = []
     for field in rows.schema.fields:
         if field.name in (_SEQ, _NEXT):
             continue
-        value = column(field.name, "run.first")
+        value = column(field.name)
         if field.name == DELETED:
             value = F.when(gone, now.cast(field.dataType)).otherwise(value)
         elif field.name == MODIFIED:

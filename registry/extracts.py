@@ -110,18 +110,26 @@ CUSTOMER_DELTA_SQL = _customer_sql(f"o_orderdate >= TIMESTAMP '{SPLIT}'", 2)
 # ---- a full customer extract per year of orders --------------------------------------
 
 
+def _taken() -> Column:
+    return F.make_timestamp_ntz(F.col("yr") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+
+
+def _year_path() -> Column:
+    return F.concat(F.lit("archive/customer/"), F.col("yr"), F.lit(".parquet"))
+
+
 def customer_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each extract has a customer once, by construction."""
     orders = table(spark, sf_dir, "orders").withColumn("yr", F.year("o_orderdate"))
     rows = row_hash(customers_of(orders, table(spark, sf_dir, "customer"), ["yr"]), CUSTOMER_COLS, "concat")
-    taken = F.make_timestamp_ntz(F.col("yr") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    stamped = lineage(
-        rows,
-        stamp(NOW_DELTA),
-        taken,
-        F.concat(F.lit("archive/customer/"), F.col("yr"), F.lit(".parquet")),
-        F.concat(F.lit("customer"), F.col("yr"), F.lit(".parquet")),
-    )
-    return stamped.drop("yr")
+    name = F.concat(F.lit("customer"), F.col("yr"), F.lit(".parquet"))
+    return lineage(rows, stamp(NOW_DELTA), _taken(), _year_path(), name).drop("yr")
+
+
+def customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of yearly extracts: path and archive time."""
+    years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("yr")).distinct()
+    return years.select(_year_path().alias(ARCHIVE_FILE), _taken().alias(ARCHIVED))
 
 
 CUSTOMER_YEARS_SQL = f"""

@@ -146,6 +146,7 @@ HISTORY_SQL = f"WITH {x.NUMBERED_YEARS_SQL}, {runs_sql()}"
 
 
 def history(spark, sf, **options):
+    options = {"on_duplicates": "assume_unique", "snapshots": x.customer_files(spark, sf), **options}
     return scd2_from_snapshots(x.customer_years(spark, sf), ["custkey"], **options)
 
 
@@ -161,23 +162,27 @@ def scd2_from_snapshots_chunked(spark, sf):
 
 
 def _split_years(spark, sf):
-    years = x.customer_years(spark, sf)
+    years, files = x.customer_years(spark, sf), x.customer_files(spark, sf)
     late = F.col(ARCHIVED) > x.stamp("2000-06-01 00:00:00")
-    return years.where(~late), years.where(late)
+    early = scd2_from_snapshots(
+        years.where(~late), ["custkey"], snapshots=files.where(~late), on_duplicates="assume_unique"
+    )
+    return early, years.where(late), files.where(late)
 
 
 @query("scd2_snapshots_onto_table", f"{HISTORY_SQL} SELECT * FROM h")
 def scd2_snapshots_onto_table(spark, sf):
     """A table built from the early extracts takes the later ones in one pass."""
-    early, late = _split_years(spark, sf)
-    return scd2_from_snapshots(late, ["custkey"], target=scd2_from_snapshots(early, ["custkey"]))
+    early, late, files = _split_years(spark, sf)
+    return scd2_from_snapshots(
+        late, ["custkey"], target=early, snapshots=files, on_duplicates="assume_unique"
+    )
 
 
 @query("scd2_reappear", f"{HISTORY_SQL} SELECT * FROM h")
 def scd2_reappear(spark, sf):
     """The later extracts merged one by one: vanished customers come back as new versions."""
-    early, late = _split_years(spark, sf)
-    table = scd2_from_snapshots(early, ["custkey"])
+    table, late, _ = _split_years(spark, sf)
     for year in (2001, 2002):
         taken = x.stamp(f"{year}-01-01 00:00:00")
         table = scd2_merge(table, late.where(F.col(ARCHIVED) == taken), ["custkey"], taken, delete="full")
