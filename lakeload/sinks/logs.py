@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.functions.scalars import day_number
 from lakeload.operators.incremental import mark_ignorable, repair_log_types
-from lakeload.operators.matching import members
 from lakeload.operators.retention import mark_purged
 from lakeload.schemas import ARCHIVE_LOG, EXPORT_LOG, LOG_PARTITION, PROCESS_LOG
-from lakeload.sinks.tables import compact_partitions, finish_replacements, replace_partitions, write_balanced
+from lakeload.sinks.tables import (
+    compact_partitions,
+    finish_replacements,
+    replace_partitions,
+    restrict_partitions,
+    write_balanced,
+)
 from lakeload.sources.archive import read_archive_log
 
 
@@ -37,22 +43,22 @@ def repair_archive_log(spark: SparkSession, path: str) -> None:
     """Rewrite a log whose size was int or which lacks the modification time."""
     old = spark.read.option("mergeSchema", True).parquet(path)
     fixed = _as(repair_log_types(old), ARCHIVE_LOG)
-    replace_partitions(spark, path, fixed, old.select(LOG_PARTITION), [LOG_PARTITION], ARCHIVE_LOG)
+    replace_partitions(spark, path, lambda _: fixed, old.select(LOG_PARTITION), [LOG_PARTITION], ARCHIVE_LOG)
 
 
 def _rewrite(spark: SparkSession, path: str, touched: DataFrame, change) -> None:
     finish_replacements(spark, path, [LOG_PARTITION], ARCHIVE_LOG)
-    log = members(read_archive_log(spark, path), touched.select(LOG_PARTITION).distinct(), [LOG_PARTITION])
-    replace_partitions(spark, path, change(log), touched.select(LOG_PARTITION), [LOG_PARTITION], ARCHIVE_LOG)
+    log = read_archive_log(spark, path)
+
+    def changed(days: DataFrame) -> DataFrame:
+        return change(restrict_partitions(log, days, [LOG_PARTITION]))
+
+    replace_partitions(spark, path, changed, touched, [LOG_PARTITION], ARCHIVE_LOG)
 
 
 def commit_purged(spark: SparkSession, path: str, purged: DataFrame, now) -> None:
     """Set the purge mark on deleted files; only the log days that hold them are rewritten."""
-    days = purged.select(
-        (F.year("ArchiveDatetimeUTC") * 10000 + F.month("ArchiveDatetimeUTC") * 100 + F.dayofmonth("ArchiveDatetimeUTC"))
-        .cast("int")
-        .alias(LOG_PARTITION)
-    ).distinct()
+    days = purged.select(day_number(F.col("ArchiveDatetimeUTC")).alias(LOG_PARTITION)).distinct()
     _rewrite(spark, path, days, lambda log: mark_purged(log, purged, now))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,14 @@ from lakeload.sinks.storage import Storage
 _FOLDER = r"^(.*)/[^/]*$"
 
 
+def save_meta(spark: SparkSession, folder: str, meta: dict) -> None:
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(folder)
+
+
+def load_meta(spark: SparkSession, folder: str) -> dict:
+    return json.loads(spark.read.text(folder).first()[0])
+
+
 def write_balanced(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append") -> None:
     """Write in files of the advisory size: adaptive execution splits large partitions and joins small ones."""
     writer = df.hint("rebalance", *partition_by).write.mode(mode)
@@ -34,23 +42,44 @@ def write_balanced(df: DataFrame, path: str, partition_by: Sequence[str] = (), m
 def replace_partitions(
     spark: SparkSession,
     path: str,
-    df: DataFrame,
+    state_of: Callable[[DataFrame], DataFrame],
     touched: DataFrame,
     partition_by: Sequence[str],
     schema: T.StructType | None = None,
+    applied: str | None = None,
 ) -> None:
-    """Make ``df`` the content of the touched partitions of a folder.
+    """Give the touched partitions of a folder the content ``state_of(touched)``.
 
-    ``df`` may read the folder itself: it is written aside first.  What was written
+    The new content may be computed from the folder itself: it is written aside
+    first, as are the touched values, so neither is computed twice.  What was written
     aside is complete or absent, so an interrupted replacement is finished by
-    :func:`finish_replacements`.
+    :func:`finish_replacements`.  Without a ``schema`` the folder keeps its column
+    types in ``_meta``.
     """
     stage = f"{path}/_stage/{uuid.uuid4().hex}"
     touched.distinct().write.parquet(f"{stage}/touched")
+    df = state_of(spark.read.schema(touched.schema).parquet(f"{stage}/touched"))
+    if schema is None:
+        save_meta(spark, f"{stage}/meta", {"schema": df.schema.jsonValue(), "applied": applied})
     write_balanced(df, f"{stage}/data", partition_by)
     _apply_stage(spark, path, stage, partition_by, schema or df.schema)
 
 
+def restrict_partitions(df: DataFrame, touched: DataFrame, columns: Sequence[str], limit: int = 1000) -> DataFrame:
+    """Rows in the touched partitions.
+
+    Up to ``limit`` values are named in a filter, so that the scan lists and reads
+    only their folders; the join makes the result exact in any case.
+    """
+    few = touched.select(*[column(c) for c in columns]).limit(limit + 1).collect()
+    if len(few) <= limit:
+        for i, name in enumerate(columns):
+            values = {r[i] for r in few}
+            named = column(name).isin([v for v in values if v is not None])
+            df = df.where(named | column(name).isNull() if None in values else named)
+    return members(df, touched, columns)
+
+
 def finish_replacements(
     spark: SparkSession, path: str, partition_by: Sequence[str], schema: T.StructType
 ) -> None:
@@ -66,9 +95,12 @@ def finish_replacements(
 def _apply_stage(
     spark: SparkSession, path: str, stage: str, partition_by: Sequence[str], schema: T.StructType
 ) -> None:
+    storage = Storage(spark, path)
+    meta = load_meta(spark, f"{stage}/meta") if storage.exists(f"{stage}/meta") else None
+    if meta is not None:
+        schema = T.StructType.fromJson(meta["schema"])
     data = spark.read.schema(schema).parquet(f"{stage}/data")
     touched = spark.read.parquet(f"{stage}/touched")
-    storage = Storage(spark, path)
     emptied: list[str] = []
     if storage.exists(path) and any("=" in f for f in storage.folders(path)):
         # Partitions that were touched but hold no rows any more.
@@ -82,6 +114,8 @@ def _apply_stage(
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     for folder in emptied:
         storage.remove(folder)
+    if meta is not None:
+        save_meta(spark, f"{path}/_meta", meta)
     storage.remove(stage)
 
 
@@ -110,8 +144,10 @@ def compact_partitions(
     )
     if crowded.isEmpty():
         return False
-    rows = members(spark.read.schema(schema).parquet(path), crowded, partition_by)
-    replace_partitions(spark, path, rows, crowded, partition_by, schema)
+    rows = spark.read.schema(schema).parquet(path)
+    replace_partitions(
+        spark, path, lambda touched: restrict_partitions(rows, touched, partition_by), crowded, partition_by, schema
+    )
     return True
 
 
@@ -138,41 +174,39 @@ class LakeTable:
     def exists(self) -> bool:
         return self.current is not None
 
-    def schema(self, folder: str | None = None) -> T.StructType:
-        """Column types as written; folder names alone would turn text like ``01`` into numbers."""
-        text = self.spark.read.text(f"{folder or self.current}/_schema").first()[0]
-        return T.StructType.fromJson(json.loads(text))
+    def meta(self) -> dict:
+        """Column types as written (folder names alone would turn text like ``01`` into
+        numbers) and ``applied``, the stamp of the last load that went into the table."""
+        return load_meta(self.spark, f"{self.current}/_meta")
 
-    def _save_schema(self, folder: str, schema: T.StructType) -> None:
-        frame = self.spark.createDataFrame([(schema.json(),)], "value string")
-        frame.coalesce(1).write.mode("overwrite").text(f"{folder}/_schema")
+    def schema(self) -> T.StructType:
+        return T.StructType.fromJson(self.meta()["schema"])
+
+    def applied(self) -> str | None:
+        return self.meta().get("applied") if self.exists() else None
 
     def read(self) -> DataFrame | None:
         folder = self.current
         if folder is None:
             return None
-        schema = self.schema(folder)
         if self.partition_by:
-            finish_replacements(self.spark, folder, self.partition_by, schema)
-        return self.spark.read.schema(schema).parquet(folder)
+            finish_replacements(self.spark, folder, self.partition_by, self.schema())
+        return self.spark.read.schema(self.schema()).parquet(folder)
 
-    def write(self, df: DataFrame) -> str:
+    def write(self, df: DataFrame, applied: str | None = None) -> str:
         """A new snapshot."""
         folder = self.folder((self.versions() or [0])[-1] + 1)
         self._storage.remove(folder)
-        self._save_schema(folder, df.schema)
+        save_meta(self.spark, f"{folder}/_meta", {"schema": df.schema.jsonValue(), "applied": applied})
         write_balanced(df, folder, self.partition_by)
         return folder
 
-    def replace(self, df: DataFrame, touched: DataFrame) -> str:
+    def replace(
+        self, state_of: Callable[[DataFrame], DataFrame], touched: DataFrame, applied: str | None = None
+    ) -> str:
         """New content of the touched partitions inside the current snapshot."""
-        folder = self.current
-        if folder is None or not self.partition_by:
-            return self.write(df)
-        schema = df.select(*[quote(c) for c in df.columns]).schema
-        self._save_schema(folder, schema)
-        replace_partitions(self.spark, folder, df, touched, self.partition_by, schema)
-        return folder
+        replace_partitions(self.spark, self.current, state_of, touched, self.partition_by, applied=applied)
+        return self.current
 
     def compact(self) -> str | None:
         """Join small files: whole table, or only crowded partitions."""
@@ -180,9 +214,10 @@ class LakeTable:
         if folder is None:
             return None
         if self.partition_by:
-            compact_partitions(self.spark, folder, self.partition_by, self.schema(folder))
+            # The column types stay as they are, so the table's own notes do too.
+            compact_partitions(self.spark, folder, self.partition_by, self.schema())
             return folder
-        return self.write(self.read())
+        return self.write(self.read(), self.applied())
 
     def expire(self, keep: int = 1) -> list[str]:
         """Remove all but the newest complete snapshots, and incomplete ones before them."""
