@@ -73,7 +73,11 @@ def pending_files(
     if by == "absence":
         files = since(files, start, inclusive)
         if process_log is not None:
-            done = process_log.where(F.col("ArchiveFilePath").isNotNull()).select("ArchiveFilePath").distinct()
+            done = process_log.where(F.col("ArchiveFilePath").isNotNull())
+            if inclusive:
+                # Files of the latest processed time are taken once more.
+                done = done.where(F.col("ArchiveDatetimeUTC") < load_watermark(process_log).scalar())
+            done = done.select("ArchiveFilePath").distinct()
             files = members(files, done, ["ArchiveFilePath"], "left_anti")
         return load_order(files)
     raise ValueError(f"unknown rule: {by}")

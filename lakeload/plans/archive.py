@@ -19,12 +19,17 @@ from lakeload.sources.landing import list_landing
 _IDENTITY = ["path", "length", "modificationTime"]
 
 
-def _logged(spark: SparkSession, log_path: str, listing: DataFrame) -> DataFrame | None:
-    """Identities of files in the log; a file is never archived before it was modified."""
+def _logged(spark: SparkSession, log_path: str, listing: DataFrame, now: dt.datetime) -> DataFrame | None:
+    """Identities of the listing's files that the log may hold.
+
+    A file is not archived before it was modified, which spares the older days of the
+    log; one day and the run's own time are allowed for clocks that differ.
+    """
     log = read_archive_log(spark, log_path)
     if log is None:
         return None
-    oldest = listing.agg(day_number(F.min("modificationTime")).alias("day")).scalar()
+    oldest = F.least(F.min("modificationTime") - F.expr("INTERVAL 1 DAY"), F.lit(now))
+    oldest = listing.agg(day_number(oldest).alias("day")).scalar()
     return (
         log.where(F.col(LOG_PARTITION) >= oldest)
         .select(
@@ -51,12 +56,12 @@ def archive_batch(
     """
     now = now or dt.datetime.now(dt.timezone.utc)
     fresh = listing
-    logged = _logged(spark, log_path, listing)
+    logged = _logged(spark, log_path, listing, now)
     if logged is not None:
         fresh = members(listing, logged, _IDENTITY, "left_anti")
     copied = archive_files(fresh, archive_path, now).where(F.col("problem").isNull())
     append_archive_log(copied, log_path)
-    committed = _logged(spark, log_path, listing)
+    committed = _logged(spark, log_path, listing, now)
     return delete_files(members(listing, committed, _IDENTITY, "left_semi"))
 
 

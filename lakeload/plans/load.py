@@ -22,13 +22,14 @@ from lakeload.operators.incremental import (
 from lakeload.operators.matching import members
 from lakeload.operators.merge import fact_merge, scd1_merge, touched_partitions
 from lakeload.operators.projection import prepare_source
-from lakeload.schemas import ARCHIVE_FILE, ARCHIVE_LOG, ARCHIVED, DELETED, END, MODIFIED, PROCESS_LOG, STAGING_NAME
+from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, DELETED, END, MODIFIED, PROCESS_LOG, STAGING_NAME
 from lakeload.sinks.logs import append_process_log
 from lakeload.sinks.tables import LakeTable, restrict_partitions
 from lakeload.sources.archive import (
     LOAD_CSV,
     SOURCE_FILE,
     attach_lineage,
+    log_frame,
     read_archive,
     read_archive_log,
     read_process_log,
@@ -102,11 +103,13 @@ def _start_log(spark: SparkSession, spec: LoadSpec, now: dt.datetime) -> None:
     append_process_log(row, spec.log_path)
 
 
-def pending_batches(spark: SparkSession, spec: LoadSpec, now: dt.datetime) -> Iterator[list[Row]]:
+def pending_batches(
+    spark: SparkSession, spec: LoadSpec, now: dt.datetime, skip: set[str] | None = None
+) -> Iterator[list[Row]]:
     """Log rows of the files to load, in load order, at most about ``max_files`` at a time.
 
     Files of one archive time stay in one batch, so that the watermark left by a
-    batch never hides the next.
+    batch never hides the next.  The caller may add paths to ``skip`` while iterating.
     """
     _start_log(spark, spec, now)
     inclusive = spec.include_previous
@@ -120,7 +123,10 @@ def pending_batches(spark: SparkSession, spec: LoadSpec, now: dt.datetime) -> It
             first = process_log.agg(F.min("ArchiveDatetimeUTC").alias("first"))
             initial = first.scalar()
         pending = pending_files(archive_log, process_log, inclusive, initial, spec.pending_by)
-        batch = pending.limit(spec.max_files).collect()
+        if skip:
+            skipped = spark.createDataFrame([(p,) for p in sorted(skip)], "ArchiveFilePath string")
+            pending = members(pending, skipped, ["ArchiveFilePath"], "left_anti")
+        batch = load_order(pending).limit(spec.max_files).collect()
         if not batch:
             return
         if len(batch) == spec.max_files:
@@ -132,7 +138,7 @@ def pending_batches(spark: SparkSession, spec: LoadSpec, now: dt.datetime) -> It
 
 def _source(spark: SparkSession, spec: LoadSpec, files: list[Row], now: dt.datetime) -> tuple[DataFrame, DataFrame]:
     """Prepared rows of the files with lineage, and the file list with its order."""
-    listed = spark.createDataFrame(files, ARCHIVE_LOG)
+    listed = log_frame(spark, files)
     raw = read_archive(
         spark,
         [f["ArchiveFilePath"] for f in files],
@@ -165,7 +171,7 @@ def _source(spark: SparkSession, spec: LoadSpec, files: list[Row], now: dt.datet
 
 
 def _commit(spark: SparkSession, spec: LoadSpec, files: list[Row], now: dt.datetime) -> None:
-    append_process_log(process_log_rows(spark.createDataFrame(files, ARCHIVE_LOG), now), spec.log_path)
+    append_process_log(process_log_rows(log_frame(spark, files), now), spec.log_path)
 
 
 def _options(spec: LoadSpec) -> dict:

@@ -6,21 +6,20 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.operators.alignment import union_drifting
+from lakeload.operators.incremental import process_log_rows
 from lakeload.operators.projection import extract, underscore_names
 from lakeload.plans.load import LoadSpec, pending_batches
-from lakeload.operators.incremental import process_log_rows
-from lakeload.schemas import ARCHIVE_LOG, ARCHIVED, STAGING_NAME
+from lakeload.schemas import ARCHIVED, STAGING_NAME
 from lakeload.sinks.files import copy_files
 from lakeload.sinks.jdbc import DISTRIBUTION, MAX_STRING_LENGTH, overwrite_jdbc, overwrite_warehouse
 from lakeload.sinks.logs import append_process_log
 from lakeload.sinks.tables import clear_files
-from lakeload.operators.alignment import union_drifting
 from lakeload.session import shared_dir
-from lakeload.sources.archive import PUBLISH_CSV, SOURCE_FILE, attach_lineage, read_archive
+from lakeload.sources.archive import PUBLISH_CSV, SOURCE_FILE, SPARK_ERRORS, attach_lineage, log_frame, read_archive
 
 
 @dataclass
@@ -38,7 +37,7 @@ def _spec(archive_log_path: str, target_log_path: str, fmt: str, options: dict)
 
 def published_rows(spark: SparkSession, spec: LoadSpec, files: Sequence[Row]) -> DataFrame:
     """Selected columns of the files with archive time and original name."""
-    listed = spark.createDataFrame(list(files), ARCHIVE_LOG)
+    listed = log_frame(spark, files)
     raw = read_archive(
         spark,
         [f["ArchiveFilePath"] for f in files],
@@ -68,7 +67,7 @@ def _each_or_all(
     try:
         act(files)
         return files, []
-    except PySparkException:
+    except SPARK_ERRORS:
         if len(files) == 1:
             return [], [files[0]["ArchiveFilePath"]]
     done, failed = [], []
@@ -76,26 +75,24 @@ def _each_or_all(
         try:
             act([file])
             done.append(file)
-        except PySparkException:
+        except SPARK_ERRORS:
             failed.append(file["ArchiveFilePath"])
     return done, failed
 
 
 def _log(spark: SparkSession, spec: LoadSpec, files: list[Row], now: dt.datetime) -> None:
     if files:
-        append_process_log(process_log_rows(spark.createDataFrame(files, ARCHIVE_LOG), now), spec.log_path)
+        append_process_log(process_log_rows(log_frame(spark, files), now), spec.log_path)
 
 
 def _run(spark, spec, now, act) -> PublishResult:
-    result = PublishResult()
-    for files in pending_batches(spark, spec, now):
-        files = [f for f in files if f["ArchiveFilePath"] not in result.failed]
-        if not files:
-            break
+    result, skip = PublishResult(), set()
+    for files in pending_batches(spark, spec, now, skip):
         done, failed = _each_or_all(spark, files, act)
         _log(spark, spec, done, now)
         result.files += len(done)
         result.failed += failed
+        skip.update(failed)
     return result
 
 
@@ -139,12 +136,9 @@ def publish_as_is(
     spec = _spec(archive_log_path, target_log_path, "parquet", options)
     if clear_target:
         clear_files(spark, target_path)
-    result = PublishResult()
-    for files in pending_batches(spark, spec, now):
-        files = [f for f in files if f["ArchiveFilePath"] not in result.failed]
-        if not files:
-            break
-        listed = spark.createDataFrame(files, ARCHIVE_LOG)
+    result, skip = PublishResult(), set()
+    for files in pending_batches(spark, spec, now, skip):
+        listed = log_frame(spark, files)
         work = listed.select(
             F.col("ArchiveFilePath").alias("path"),
             F.concat(F.lit(target_path.rstrip("/") + "/"), "ArchiveFileName", F.lit(extension)).alias("target"),
@@ -154,6 +148,7 @@ def publish_as_is(
         _log(spark, spec, done, now)
         result.files += len(done)
         result.failed += sorted(failed)
+        skip.update(failed)
     return result
 
 
@@ -164,7 +159,7 @@ def _stage(spark, spec, now, write: Callable[[DataFrame], None]) -> PublishResul
     unreadable file costs only itself.
     """
     folder = shared_dir(spark, "stage")
-    result = PublishResult()
+    result, skip = PublishResult(), set()
     parts: list[str] = []
     logged: list[Row] = []
 
@@ -173,14 +168,11 @@ def _stage(spark, spec, now, write: Callable[[DataFrame], None]) -> PublishResul
         published_rows(spark, spec, files).write.mode("overwrite").parquet(part)
         parts.append(part)
 
-    for files in pending_batches(spark, spec, now):
-        seen = {f["ArchiveFilePath"] for f in logged} | set(result.failed)
-        files = [f for f in files if f["ArchiveFilePath"] not in seen]
-        if not files:
-            break
+    for files in pending_batches(spark, spec, now, skip):
         done, failed = _each_or_all(spark, files, keep)
         logged += done
         result.failed += failed
+        skip.update(f["ArchiveFilePath"] for f in files)
     if parts:
         write(union_drifting([spark.read.parquet(p) for p in parts]))
         _log(spark, spec, logged, now)

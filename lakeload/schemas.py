@@ -54,11 +54,13 @@ PROCESS_LOG = T.StructType(
 
 EXPORT_LOG = T.StructType([T.StructField("ProcessDatetime", T.TimestampType())])
 
-# Columns of the binaryFile source that describe a file (its content is never read).
-FILE_LISTING = T.StructType(
+# The binaryFile source; only what describes a file is used, its content is never read.
+BINARY_FILE = T.StructType(
     [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
+        T.StructField("path", T.StringType(), False),
+        T.StructField("modificationTime", T.TimestampType(), False),
+        T.StructField("length", T.LongType(), False),
+        T.StructField("content", T.BinaryType()),
     ]
 )
+FILE_LISTING = T.StructType(BINARY_FILE.fields[:3])

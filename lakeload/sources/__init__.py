@@ -1,5 +1,6 @@
 from lakeload.sources.archive import (
     attach_lineage,
+    log_frame,
     read_archive,
     read_archive_log,
     read_export_log,

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
+from pyspark.errors.exceptions.captured import CapturedException
 
 from lakeload.functions.identifiers import column
 from lakeload.operators.alignment import union_drifting
@@ -20,6 +22,9 @@ PUBLISH_CSV = {"sep": ";"}
 
 SOURCE_FILE = "__SourceFile"
 
+# What Spark raises for data it cannot read or write.
+SPARK_ERRORS = (CapturedException, Py4JJavaError)
+
 
 def read_archive(
     spark: SparkSession,
@@ -52,8 +57,8 @@ def _read_parquet(spark: SparkSession, paths: list[str], with_file: bool) -> Dat
     try:
         # Columns that come and go are merged by the scan itself.
         return _named(spark.read.option("mergeSchema", True).parquet(*paths), with_file)
-    except (AnalysisException, PySparkException):
-        if len(paths) == 1:
+    except SPARK_ERRORS as error:
+        if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     # A column changed its type: one scan per distinct schema, widened and united.
     by_schema: dict[str, list[str]] = {}
@@ -89,6 +94,12 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
         raise
 
 
+def log_frame(spark: SparkSession, files: Sequence[Row]) -> DataFrame:
+    """Collected archive-log rows of one batch as a frame again."""
+    names = ARCHIVE_LOG.fieldNames()
+    return spark.createDataFrame([tuple(f[n] for n in names) for f in files], ARCHIVE_LOG)
+
+
 def read_archive_log(spark: SparkSession, path: str) -> DataFrame | None:
     return read_log(spark, path, ARCHIVE_LOG)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeload.plans.archive import archive_batch
-from lakeload.schemas import FILE_LISTING
+from lakeload.schemas import BINARY_FILE
 from lakeload.sources.landing import complete_file
 
 POLL = "5 seconds"
@@ -33,10 +33,10 @@ def archive_stream(
     log_path = archive_log_path or f"{archive_path.rstrip('/')}/log"
     files = (
         spark.readStream.format("binaryFile")
-        .schema(FILE_LISTING)
+        .schema(BINARY_FILE)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .option("pathGlobFilter", "*")
         .load(ingest_path)
+        .drop("content")
     )
 
     def step(listing: DataFrame, batch_id: int) -> None:

@@ -21,4 +21,13 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from registry import histories, merges, retentions  # noqa: F401
+    from registry import (  # noqa: F401
+        exports,
+        files,
+        histories,
+        logs,
+        merges,
+        projections,
+        retentions,
+        streams,
+    )
