@@ -27,11 +27,9 @@ from lakeload.sinks.logs import append_process_log
 from lakeload.sinks.tables import LakeTable, restrict_partitions
 from lakeload.sources.archive import (
     LOAD_CSV,
-    SOURCE_FILE,
-    attach_lineage,
     log_frame,
-    read_archive,
     read_archive_log,
+    read_logged,
     read_process_log,
 )
 from lakeload.sources.tables import read_jdbc
@@ -138,21 +136,12 @@ def pending_batches(
 
 def _source(spark: SparkSession, spec: LoadSpec, files: list[Row], now: dt.datetime) -> tuple[DataFrame, DataFrame]:
     """Prepared rows of the files with lineage, and the file list with its order."""
-    listed = log_frame(spark, files)
-    raw = read_archive(
-        spark,
-        [f["ArchiveFilePath"] for f in files],
-        spec.fmt,
-        encoding=spec.encoding,
-        delimiter=spec.delimiter,
-        with_file=True,
-    )
     carried = {
         "ArchiveDatetimeUTC": ARCHIVED,
         "ArchiveFilePath": ARCHIVE_FILE,
         "OriginalStagingFileName": STAGING_NAME,
     }
-    traced = attach_lineage(raw, listed, carried).drop(SOURCE_FILE)
+    traced = read_logged(spark, files, carried, spec.fmt, spec.encoding, spec.delimiter)
     rows = prepare_source(
         traced,
         spec.extract,

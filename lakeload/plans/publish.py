@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.functions.identifiers import column
 from lakeload.operators.alignment import union_drifting
 from lakeload.operators.incremental import process_log_rows
 from lakeload.operators.projection import extract, underscore_names
@@ -19,7 +20,7 @@ from lakeload.sinks.jdbc import DISTRIBUTION, MAX_STRING_LENGTH, overwrite_jdbc,
 from lakeload.sinks.logs import append_process_log
 from lakeload.sinks.tables import clear_files
 from lakeload.session import shared_dir
-from lakeload.sources.archive import PUBLISH_CSV, SOURCE_FILE, SPARK_ERRORS, attach_lineage, log_frame, read_archive
+from lakeload.sources.archive import PUBLISH_CSV, SPARK_ERRORS, log_frame, read_logged
 
 
 @dataclass
@@ -37,26 +38,17 @@ def _spec(archive_log_path: str, target_log_path: str, fmt: str, options: dict)
 
 def published_rows(spark: SparkSession, spec: LoadSpec, files: Sequence[Row]) -> DataFrame:
     """Selected columns of the files with archive time and original name."""
-    listed = log_frame(spark, files)
-    raw = read_archive(
-        spark,
-        [f["ArchiveFilePath"] for f in files],
-        spec.fmt,
-        encoding=spec.encoding,
-        delimiter=spec.delimiter,
-        with_file=True,
-    )
     names = {"ArchiveDatetimeUTC": ARCHIVED, "OriginalStagingFileName": STAGING_NAME}
-    traced = attach_lineage(raw, listed, names)
+    traced = read_logged(spark, files, names, spec.fmt, spec.encoding, spec.delimiter)
     rows = traced.select(
-        *[F.col(f"`{c}`") for c in raw.columns if c != SOURCE_FILE],
-        F.struct(ARCHIVED, STAGING_NAME).alias("__carry"),
+        *[column(c) for c in traced.columns if c not in names.values()],
+        F.struct(*names.values()).alias("__carry"),
     )
     picked = extract(rows, spec.extract)
     if "__carry" not in picked.columns:
         wanted = spec.extract + ", __carry" if isinstance(spec.extract, str) else [*spec.extract, "__carry"]
         picked = extract(rows, wanted)
-    picked = picked.select(*[F.col(f"`{c}`") for c in picked.columns if c != "__carry"], "__carry.*")
+    picked = picked.select(*[column(c) for c in picked.columns if c != "__carry"], "__carry.*")
     return underscore_names(picked) if spec.fmt == "csv" else picked
 
 

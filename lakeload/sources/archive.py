@@ -113,13 +113,39 @@ def read_export_log(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def attach_lineage(rows: DataFrame, files: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Log columns of each row's file, found by its path; ``columns`` maps log to result names."""
+    """Log columns of each row's file, found by its path; ``columns`` maps log to result names.
+
+    A row whose file is not listed fails the query instead of vanishing.
+    """
     lookup = files.select(
-        column("ArchiveFilePath").alias(SOURCE_FILE), *[column(k).alias(v) for k, v in columns.items()]
+        scan_path(column("ArchiveFilePath")).alias(SOURCE_FILE),
+        *[column(k).alias(v) for k, v in columns.items()],
+        F.lit(True).alias("__listed"),
     )
-    lookup = lookup.withColumn(SOURCE_FILE, scan_path(F.col(SOURCE_FILE)))
-    keyed = rows.withColumn(SOURCE_FILE, scan_path(F.col(SOURCE_FILE)))
-    return members(keyed, lookup, [SOURCE_FILE], "inner")
+    # Scans name their files URL-encoded, the log as they are.
+    scanned = F.url_decode(F.replace(F.col(SOURCE_FILE), F.lit("+"), F.lit("%2B")))
+    keyed = rows.withColumn(SOURCE_FILE, scan_path(scanned))
+    found = members(keyed, lookup, [SOURCE_FILE], "left_outer")
+    failure = F.raise_error(F.concat(F.lit("no archive log row for "), F.col(SOURCE_FILE))).cast("boolean")
+    return found.where(F.when(F.col("__listed").isNull(), failure).otherwise(F.lit(True))).drop("__listed")
+
+
+def read_logged(
+    spark: SparkSession,
+    files: Sequence[Row],
+    columns: dict[str, str],
+    fmt: str,
+    encoding: str | None = None,
+    delimiter: str | None = None,
+) -> DataFrame:
+    """Rows of the logged files with log columns beside them."""
+    paths = [f["ArchiveFilePath"] for f in files]
+    if len(files) == 1:
+        raw = read_archive(spark, paths, fmt, encoding=encoding, delimiter=delimiter)
+        types = ARCHIVE_LOG
+        return raw.withColumns({v: F.lit(files[0][k]).cast(types[k].dataType) for k, v in columns.items()})
+    raw = read_archive(spark, paths, fmt, encoding=encoding, delimiter=delimiter, with_file=True)
+    return attach_lineage(raw, log_frame(spark, files), columns).drop(SOURCE_FILE)
 
 
 def scan_path(path):
