@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeload.functions.identifiers import column
+from lakeload.functions.identifiers import column, quote
 
 
 def common_schema(left: DataFrame, right: DataFrame) -> T.StructType:
@@ -38,7 +38,9 @@ def _wider(left: DataFrame, right: DataFrame, name: str) -> T.DataType:
 
 def conform(df: DataFrame, schema: T.StructType, fill: bool = True) -> DataFrame:
     """Cast to ``schema``; absent columns become NULL, or stay absent with ``fill=False``."""
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    if all(have.get(f.name) == f.dataType for f in schema.fields if fill or f.name in have):
+        return df.select(*[quote(f.name) for f in schema.fields if f.name in have])
     return df.select(
         *[
             (column(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)

@@ -78,7 +78,7 @@ def pending_files(
                 # Files of the latest processed time are taken once more.
                 done = done.where(F.col("ArchiveDatetimeUTC") < load_watermark(process_log).scalar())
             done = done.select("ArchiveFilePath").distinct()
-            files = members(files, done, ["ArchiveFilePath"], "left_anti")
+            files = members(files, done, ["ArchiveFilePath"], "left_anti", salts=1)
         return load_order(files)
     raise ValueError(f"unknown rule: {by}")
 

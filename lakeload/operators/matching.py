@@ -17,8 +17,12 @@ SALTS = 16
 
 
 def size_estimate(df: DataFrame) -> int:
-    """Spark's own upper estimate of a frame's size, the one it plans broadcasts by."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Spark's own upper estimate of a frame's size.
+
+    Taken from the analysed plan: it costs no optimizer run, and joins count as the
+    product of their sides, so only what is certainly small is found small.
+    """
+    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -54,8 +58,9 @@ def members(
     One key may cover a large part of ``df`` (a day, a file, a region).  Small
     lookups are broadcast by Spark; otherwise both sides carry a salt so that one
     key's rows go to ``salts`` tasks, each with its own copy of the lookup row.
+    ``salts=1`` is for keys that ``df`` holds once, which have nothing to spread.
     """
-    left, right, salted = df, lookup, not fits_broadcast(lookup)
+    left, right, salted = df, lookup, salts > 1 and not fits_broadcast(lookup)
     if salted:
         others = [c for c in df.columns if c not in on and _hashable(df, c)]
         spread = F.xxhash64(*[column(c) for c in others]) if others else F.rand(7) * salts

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakeload.functions.identifiers import column, quote
 from lakeload.functions.scalars import instant
 from lakeload.operators.alignment import align_schemas
-from lakeload.operators.matching import SALTS, members, pair, unique_source
+from lakeload.operators.matching import SALTS, any_null, members, pair, unique_source
 from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, DELETED, HASH, MODIFIED, STAGING_NAME
 
 
@@ -68,7 +68,11 @@ def scd1_merge(
 
 
 def touched_partitions(
-    target: DataFrame, source: DataFrame, bk: Sequence[str], partition_by: Sequence[str]
+    target: DataFrame,
+    source: DataFrame,
+    bk: Sequence[str],
+    partition_by: Sequence[str],
+    null_safe: bool = True,
 ) -> DataFrame:
     """Distinct partition values a merge has to rewrite.
 
@@ -77,8 +81,11 @@ def touched_partitions(
     """
     parts = [column(c) for c in partition_by]
     keys = source.select(*[column(k) for k in bk]).distinct()
-    needed = target.select(*dict.fromkeys([*bk, *partition_by]))
-    occupied = members(needed, keys, bk).select(*parts)
+    needed = target.select(*[column(c) for c in dict.fromkeys([*bk, *partition_by])])
+    if not null_safe:
+        # NULL keys match nothing and may be many.
+        keys, needed = keys.where(~any_null(bk)), needed.where(~any_null(bk))
+    occupied = members(needed, keys, bk, salts=1).select(*parts)
     return source.select(*parts).union(occupied).distinct()
 
 
@@ -100,7 +107,7 @@ def scd1_merge_partitions(
     if partition_stable:
         touched = source.select(*[column(c) for c in partition_by]).distinct()
     else:
-        touched = touched_partitions(target, source, bk, partition_by)
+        touched = touched_partitions(target, source, bk, partition_by, options.get("null_safe", True))
     return scd1_merge(members(target, touched, partition_by), source, bk, **options)
 
 

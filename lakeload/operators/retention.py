@@ -62,7 +62,7 @@ def purge_candidates(
     if kept is None:
         return rows.withColumn("IsToBePurged", F.lit(True))
     kept = kept.distinct().withColumn("__kept", F.lit(True))
-    flagged = members(rows, kept, _KEY, "left_outer")
+    flagged = members(rows, kept, _KEY, "left_outer", salts=1)
     return flagged.withColumn("IsToBePurged", F.col("__kept").isNull()).drop("__kept")
 
 
@@ -100,7 +100,7 @@ def mark_purged(log: DataFrame, purged: DataFrame, now) -> DataFrame:
     """Log with the purge mark on the rows named by (path, archive time)."""
     keys = ["ArchiveFilePath", "ArchiveDatetimeUTC"]
     done = purged.select(*keys).distinct().withColumn("__done", F.lit(True))
-    flagged = members(log, done, keys, "left_outer", null_safe=False)
+    flagged = members(log, done, keys, "left_outer", null_safe=False, salts=1)
     hit = F.col("__done").isNotNull()
     stamp = instant(now, log.schema["PurgeDatetimeUTC"].dataType)
     return flagged.withColumns(

@@ -58,11 +58,11 @@ def archive_batch(
     fresh = listing
     logged = _logged(spark, log_path, listing, now)
     if logged is not None:
-        fresh = members(listing, logged, _IDENTITY, "left_anti")
+        fresh = members(listing, logged, _IDENTITY, "left_anti", salts=1)
     copied = archive_files(fresh, archive_path, now).where(F.col("problem").isNull())
     append_archive_log(copied, log_path)
     committed = _logged(spark, log_path, listing, now)
-    return delete_files(members(listing, committed, _IDENTITY, "left_semi"))
+    return delete_files(members(listing, committed, _IDENTITY, "left_semi", salts=1))
 
 
 def archive_job(

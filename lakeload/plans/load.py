@@ -123,7 +123,7 @@ def pending_batches(
         pending = pending_files(archive_log, process_log, inclusive, initial, spec.pending_by)
         if skip:
             skipped = spark.createDataFrame([(p,) for p in sorted(skip)], "ArchiveFilePath string")
-            pending = members(pending, skipped, ["ArchiveFilePath"], "left_anti")
+            pending = members(pending, skipped, ["ArchiveFilePath"], "left_anti", salts=1)
         batch = load_order(pending).limit(spec.max_files).collect()
         if not batch:
             return
@@ -182,7 +182,7 @@ def _touched(target: DataFrame, rows: DataFrame, spec: LoadSpec) -> DataFrame:
     if spec.partition_stable:
         touched = rows.select(*[column(c) for c in spec.partition_by]).distinct()
     else:
-        touched = touched_partitions(target, rows, spec.bk, spec.partition_by)
+        touched = touched_partitions(target, rows, spec.bk, spec.partition_by, spec.null_safe)
     if spec.delete_filter:
         slices = rows.select(*[column(c) for c in spec.delete_filter]).distinct()
         needed = target.select(*[column(c) for c in dict.fromkeys([*spec.partition_by, *spec.delete_filter])])

@@ -17,20 +17,43 @@ from lakeload.operators.fold import number_in_order
 from lakeload.schemas import ARCHIVE_LOG
 
 
-def spread(listing: DataFrame) -> DataFrame:
-    """Listing rows dealt out evenly, so that copying uses the whole cluster."""
-    return listing.repartition(F.col("path"))
+def spread(listing: DataFrame, path_col: str = "path") -> DataFrame:
+    """Listing rows dealt out over as many tasks as a shuffle has.
 
+    The number is given, or adaptive execution would join these few bytes of rows
+    into one task, and one task would move all the files.
+    """
+    tasks = int(listing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return listing.repartition(tasks, F.col(path_col))
 
-def _copier():
-    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _locator():
+    """File system and name of a path; made by a function so that tasks carry it with them."""
+
+    def locate(path: str):
         import re
 
         from pyarrow import fs
 
-        def locate(path):
-            return fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path))
+        if path.startswith("/"):
+            return fs.LocalFileSystem(), path
+        # Local paths may contain signs that a URI would have to escape.
+        local = re.match("^file:/*(/.*)$", path)
+        if local:
+            return fs.LocalFileSystem(), local.group(1)
+        return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+
+    return locate
+
+
+def copy_files(listing: DataFrame) -> DataFrame:
+    """Copy ``path`` to ``target`` per row; ``problem`` is NULL where it worked.
+
+    Running the frame copies: write it once and read the written rows.
+    """
+    locate = _locator()
 
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             problems = []
             for source, target in zip(batch["path"], batch["target"]):
@@ -46,32 +69,21 @@ def _copier():
                     problems.append(str(error))
             yield batch.assign(problem=problems)
 
-    return copy
-
-
-def copy_files(listing: DataFrame) -> DataFrame:
-    """Copy ``path`` to ``target`` per row; ``problem`` is NULL where it worked.
-
-    Running the frame copies: write it once and read the written rows.
-    """
     schema = listing.schema.add("problem", "string")
-    return spread(listing).mapInPandas(_copier(), schema)
+    return spread(listing).mapInPandas(copy, schema)
 
 
 def delete_files(listing: DataFrame, path_col: str = "path") -> DataFrame:
     """Delete the files; a file that is gone already counts as deleted."""
+    locate = _locator()
 
     def delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import re
-
-        from pyarrow import fs
-
         for batch in batches:
             problems = []
             for path in batch[path_col]:
                 try:
-                    where, name = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path))
-                    if where.get_file_info(name).type != fs.FileType.NotFound:
+                    where, name = locate(path)
+                    if where.get_file_info(name).type.name != "NotFound":
                         where.delete_file(name)
                     problems.append(None)
                 except OSError as error:
@@ -79,7 +91,7 @@ def delete_files(listing: DataFrame, path_col: str = "path") -> DataFrame:
             yield batch.assign(problem=problems)
 
     schema = listing.schema.add("problem", "string")
-    return listing.repartition(F.col(path_col)).mapInPandas(delete, schema)
+    return spread(listing, path_col).mapInPandas(delete, schema)
 
 
 def archive_name(path: Column, modified: Column, size: Column, at: Column) -> Column:

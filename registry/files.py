@@ -27,7 +27,14 @@ from lakeload.schemas import DELETED, END, START
 from lakeload.session import shared_dir
 from lakeload.sinks.logs import append_archive_log, commit_ignorable, compact_archive_log
 from lakeload.sinks.tables import LakeTable, clear_files
-from lakeload.sources import list_landing, list_tree, read_archive, read_archive_log
+from lakeload.sources import (
+    list_landing,
+    list_tree,
+    read_archive,
+    read_archive_log,
+    read_query,
+    read_table,
+)
 from registry import extracts as x
 from registry import query
 from registry.histories import HISTORY_SQL
@@ -512,3 +519,15 @@ def purge_files(spark, sf):
         "IsPurged",
         F.coalesce("file_exists", F.lit(False)).alias("file_exists"),
     )
+
+
+@query("lake_table_scan", "SELECT o_orderkey, upper(o_orderstatus) AS status FROM orders")
+def lake_table_scan(spark, sf):
+    x.table(spark, sf, "orders").createOrReplaceTempView("lake_orders")
+    return read_table(spark, "lake_orders", "[o_orderkey], upper(o_orderstatus) as status")
+
+
+@query("lake_query_scan", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 5")
+def lake_query_scan(spark, sf):
+    x.table(spark, sf, "orders").createOrReplaceTempView("lake_orders")
+    return read_query(spark, "SELECT o_custkey, count(*) AS n FROM lake_orders GROUP BY o_custkey HAVING count(*) > 5")
