@@ -6,11 +6,11 @@ from pyspark.sql import SparkSession
 
 
 class Storage:
-    """Folder listing, renaming and removal with the session's storage settings."""
+    """Folder listing, removal and small text files with the session's storage settings."""
 
     def __init__(self, spark: SparkSession, path: str):
-        jvm = spark._jvm
-        self._path_of = jvm.org.apache.hadoop.fs.Path
+        self._jvm = spark._jvm
+        self._path_of = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def exists(self, path: str) -> bool:
@@ -23,3 +23,17 @@ class Storage:
 
     def remove(self, path: str, recursive: bool = True) -> bool:
         return self._fs.delete(self._path_of(path), recursive)
+
+    def write_text(self, path: str, text: str) -> None:
+        out = self._fs.create(self._path_of(path), True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def read_text(self, path: str) -> str:
+        data = self._fs.open(self._path_of(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(data, "UTF-8")
+        finally:
+            data.close()

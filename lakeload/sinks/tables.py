@@ -23,12 +23,12 @@ from lakeload.sinks.storage import Storage
 _FOLDER = r"^(.*)/[^/]*$"
 
 
-def save_meta(spark: SparkSession, folder: str, meta: dict) -> None:
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(folder)
+def save_meta(spark: SparkSession, path: str, meta: dict) -> None:
+    Storage(spark, path).write_text(path, json.dumps(meta))
 
 
-def load_meta(spark: SparkSession, folder: str) -> dict:
-    return json.loads(spark.read.text(folder).first()[0])
+def load_meta(spark: SparkSession, path: str) -> dict:
+    return json.loads(Storage(spark, path).read_text(path))
 
 
 def write_balanced(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append") -> None:
