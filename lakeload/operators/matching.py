@@ -60,11 +60,13 @@ def members(
     key's rows go to ``salts`` tasks, each with its own copy of the lookup row.
     ``salts=1`` is for keys that ``df`` holds once, which have nothing to spread.
     """
-    left, right, salted = df, lookup, salts > 1 and not fits_broadcast(lookup)
+    # The salt is made from the row itself: a repeated task must route rows as before,
+    # which a random number or a running one would not do.
+    others = [c for c in df.columns if c not in on and _hashable(df, c)]
+    left, right, salted = df, lookup, salts > 1 and bool(others) and not fits_broadcast(lookup)
     if salted:
-        others = [c for c in df.columns if c not in on and _hashable(df, c)]
-        spread = F.xxhash64(*[column(c) for c in others]) if others else F.rand(7) * salts
-        left = df.withColumn("__salt", F.pmod(spread.cast("long"), F.lit(salts)).cast("int"))
+        spread = F.xxhash64(*[column(c) for c in others])
+        left = df.withColumn("__salt", F.pmod(spread, F.lit(salts)).cast("int"))
         right = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     condition = match_condition(on, null_safe=null_safe)
     if salted:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -23,7 +24,9 @@ from lakeload.operators.matching import members
 from lakeload.operators.merge import fact_merge, scd1_merge, touched_partitions
 from lakeload.operators.projection import prepare_source
 from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, DELETED, END, MODIFIED, PROCESS_LOG, STAGING_NAME
+from lakeload.session import shared_dir
 from lakeload.sinks.logs import append_process_log
+from lakeload.sinks.storage import Storage
 from lakeload.sinks.tables import LakeTable, restrict_partitions
 from lakeload.sources.archive import (
     LOAD_CSV,
@@ -134,8 +137,16 @@ def pending_batches(
         inclusive = False
 
 
-def _source(spark: SparkSession, spec: LoadSpec, files: list[Row], now: dt.datetime) -> tuple[DataFrame, DataFrame]:
-    """Prepared rows of the files with lineage, and the file list with its order."""
+@contextmanager
+def _source(
+    spark: SparkSession, spec: LoadSpec, files: list[Row], now: dt.datetime
+) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Prepared rows of the files with lineage, and the file list with its order.
+
+    A load reads its source several times (uniqueness, touched partitions, merge).
+    Parsed text, and whatever goes into a partitioned table, is therefore written
+    once to the shared folder and read back with pruned columns.
+    """
     carried = {
         "ArchiveDatetimeUTC": ARCHIVED,
         "ArchiveFilePath": ARCHIVE_FILE,
@@ -156,7 +167,16 @@ def _source(spark: SparkSession, spec: LoadSpec, files: list[Row], now: dt.datet
     )
     numbers = [(f["ArchiveFilePath"], f["ArchiveDatetimeUTC"], i) for i, f in enumerate(files)]
     order = spark.createDataFrame(numbers, f"{ARCHIVE_FILE} string, {ARCHIVED} timestamp, __seq long")
-    return rows.withColumn(MODIFIED, instant(now)), order
+    rows = rows.withColumn(MODIFIED, instant(now))
+    if spec.fmt == "parquet" and not spec.partition_by:
+        yield rows, order
+        return
+    folder = shared_dir(spark, "source")
+    try:
+        rows.write.mode("overwrite").parquet(f"{folder}/rows")
+        yield spark.read.schema(rows.schema).parquet(f"{folder}/rows"), order
+    finally:
+        Storage(spark, folder).remove(folder)
 
 
 def _commit(spark: SparkSession, spec: LoadSpec, files: list[Row], now: dt.datetime) -> None:
@@ -217,7 +237,11 @@ def load_scd1(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = Non
 
 
 def _scd1_step(spark, spec, table, files, now, late: bool, fold: bool) -> None:
-    rows, order = _source(spark, spec, files, now)
+    with _source(spark, spec, files, now) as (rows, order):
+        _scd1_apply(spec, table, files, rows, order, late, fold)
+
+
+def _scd1_apply(spec, table, files, rows, order, late: bool, fold: bool) -> None:
     target = table.read()
 
     def state(part: DataFrame | None) -> DataFrame:
@@ -274,7 +298,11 @@ def load_scd2(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = Non
 
 
 def _scd2_step(spark, spec, table, files, now, fold: bool) -> None:
-    rows, order = _source(spark, spec, files, now)
+    with _source(spark, spec, files, now) as (rows, order):
+        _scd2_apply(spark, spec, table, files, rows, order, fold)
+
+
+def _scd2_apply(spark, spec, table, files, rows, order, fold: bool) -> None:
     target = table.read()
     ended = order.select(column(ARCHIVED).cast("date").alias(END_DATE)).distinct().collect()
     dates = sorted({_OPEN_DATE, *(r[0] for r in ended)})
@@ -326,34 +354,37 @@ def load_fact(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = Non
 
 def _fact_steps(spark, spec, table, files, now) -> None:
     if not spec.delete_filter and not spec.update_filter and spec.null_safe:
-        rows, order = _source(spark, spec, files, now)
-        rows = _with_delete_time(rows, spec)
-        target = table.read()
-        if target is None or set(target.columns) <= set(rows.columns):
-            state = fact_fold(
-                target, rows, spec.bk, now, snapshots=order, chunk_files=_chunk(spec, files), **_options(spec)
-            )
-            table.write(state, _stamp(files[-1]))
-            return
+        with _source(spark, spec, files, now) as (rows, order):
+            rows, target = _with_delete_time(rows, spec), table.read()
+            if target is None or set(target.columns) <= set(rows.columns):
+                chunk = _chunk(spec, files)
+                state = fact_fold(
+                    target, rows, spec.bk, now, snapshots=order, chunk_files=chunk, **_options(spec)
+                )
+                table.write(state, _stamp(files[-1]))
+                return
     for file in files:
-        rows, _ = _source(spark, spec, [file], now)
-        rows = _with_delete_time(rows, spec)
-        target = table.read()
-        merge = {
-            "delete": "filtered" if spec.delete_filter else "full",
-            "filter_cols": spec.delete_filter or None,
-            **_merge_options(spec),
-        }
-        if target is None or not spec.partition_by or not spec.delete_filter:
-            table.write(fact_merge(target, rows, spec.bk, now, **merge), _stamp(file))
-        else:
-            touched = _touched(target, rows, spec)
+        with _source(spark, spec, [file], now) as (rows, _):
+            _fact_apply(spec, table, file, _with_delete_time(rows, spec), now)
 
-            def state(parts: DataFrame, target=target, rows=rows, merge=merge) -> DataFrame:
-                part = restrict_partitions(target, parts, spec.partition_by)
-                return fact_merge(part, rows, spec.bk, now, **merge)
 
-            table.replace(state, touched, _stamp(file))
+def _fact_apply(spec, table, file, rows, now) -> None:
+    target = table.read()
+    merge = {
+        "delete": "filtered" if spec.delete_filter else "full",
+        "filter_cols": spec.delete_filter or None,
+        **_merge_options(spec),
+    }
+    if target is None or not spec.partition_by or not spec.delete_filter:
+        table.write(fact_merge(target, rows, spec.bk, now, **merge), _stamp(file))
+        return
+    table.replace(
+        lambda parts: fact_merge(
+            restrict_partitions(target, parts, spec.partition_by), rows, spec.bk, now, **merge
+        ),
+        _touched(target, rows, spec),
+        _stamp(file),
+    )
 
 
 def _with_delete_time(rows: DataFrame, spec: LoadSpec) -> DataFrame:

@@ -27,7 +27,9 @@ from lakeload.schemas import DELETED, END, START
 from lakeload.session import shared_dir
 from lakeload.sinks.logs import append_archive_log, commit_ignorable, compact_archive_log
 from lakeload.sinks.tables import LakeTable, clear_files
+from lakeload.sources.archive import SOURCE_FILE
 from lakeload.sources import (
+    attach_lineage,
     list_landing,
     list_tree,
     read_archive,
@@ -137,13 +139,16 @@ def list_landing_query(spark, sf):
 def archive_batch_query(spark, sf):
     """Everything that landed is readable through the paths in the log."""
     lake = orders_landed(spark, sf, "archive")
-    archive_job(spark, f"{lake}/ingest", f"{lake}/archive/orders", now=NOW)
-    return archived_rows(spark, f"{lake}/archive/orders/log")
+    archive_job(spark, f"{lake}/ingest", f"{lake}/archive/orders", f"{lake}/log", now=NOW)
+    return archived_rows(spark, lake)
 
 
-def archived_rows(spark, log_path: str) -> DataFrame:
-    paths = [r[0] for r in read_archive_log(spark, log_path).select("ArchiveFilePath").collect()]
-    return read_archive(spark, paths)
+def archived_rows(spark, lake: str) -> DataFrame:
+    """Rows of all archived files; a file without its log row fails the query."""
+    files = spark.read.option("recursiveFileLookup", True).parquet(f"{lake}/archive/orders")
+    named = files.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    logged = attach_lineage(named, read_archive_log(spark, f"{lake}/log"), {"IsPurged": "purged"})
+    return logged.where("NOT purged").drop(SOURCE_FILE, "purged")
 
 
 @query(

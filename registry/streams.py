@@ -31,9 +31,9 @@ def archive_stream_query(spark, sf):
     lake = orders_landed(spark, sf, "stream")
     for _ in range(2):
         archive_stream(
-            spark, f"{lake}/ingest", f"{lake}/archive/orders", f"{lake}/checkpoint", available_now=True
+            spark, f"{lake}/ingest", f"{lake}/archive/orders", f"{lake}/checkpoint", f"{lake}/log", available_now=True
         ).awaitTermination()
-    return archived_rows(spark, f"{lake}/archive/orders/log")
+    return archived_rows(spark, lake)
 
 
 @query("load_stream", f"{HISTORY_SQL} SELECT {_SHOWN}, {_VALID} FROM h")
