@@ -202,3 +202,22 @@ def test_archive_time_column_survives(extract_of):
     got = scd1_merge(extract_of(0, BASE), extract_of(1, DELTA), ["k"])
     assert rows(got, "k", ARCHIVED) == [(1, 0), (2, 1), (3, 0), (4, 1)]
     assert row_hash(got.select("k", "a", "d")).count() == 4
+
+
+def test_a_small_source_does_not_shuffle_a_large_target(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    target = row_hash(keep_last(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"]))
+    region = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
+    source = row_hash(region.selectExpr("cast(r_regionkey as bigint) as l_orderkey", "1 as l_linenumber"))
+    stored = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").withColumn("__HashDiff", F.lit("x"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")
+    try:
+        merged = scd1_merge(stored, source, ["l_orderkey", "l_linenumber"], on_duplicates="assume_unique")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        large = plan.split("Union")[1].split("SortMergeJoin")[0]
+        assert "BroadcastHashJoin" in large and "LeftOuter" in large and "Exchange hashpartitioning" not in large
+        full = scd1_merge(target, target, ["l_orderkey", "l_linenumber"], on_duplicates="assume_unique")
+        assert "FullOuter" in full._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
