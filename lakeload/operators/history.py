@@ -48,12 +48,13 @@ def scd2_merge_current(
         raise ValueError(f"unknown delete: {delete}")
     if delete == "filtered" and not filter_cols:
         raise ValueError("delete='filtered' needs filter_cols")
+    spoken_for = source
     source = open_versions(unique_source(source, bk, on_duplicates, order_by, null_safe), archive_ts)
     current, source = align_schemas(current, source)
-    columns = current.columns
+    columns, sized = current.columns, current
     if delete == "filtered":
-        current = slice_flag(current, source, filter_cols)
-    paired = pair(current, source, bk, null_safe, strategy)
+        current = slice_flag(current, spoken_for, filter_cols)
+    paired = pair(current, source, bk, null_safe, strategy, sized)
 
     changed = hash_differs(update_filter) if upsert else F.lit(False)
     fresh = F.col("in_s") & ~F.col("in_t") if upsert else F.lit(False)

@@ -137,6 +137,7 @@ def pair(
     keys: Sequence[str],
     null_safe: bool = True,
     strategy: str = "auto",
+    sized: DataFrame | None = None,
 ) -> DataFrame:
     """Target and source rows side by side: structs ``t`` and ``s``, flags ``in_t`` and ``in_s``.
 
@@ -144,12 +145,13 @@ def pair(
     ``broadcast``  for a source below Spark's broadcast limit: the target streams past
                    the broadcast source without a shuffle, and source rows without a
                    target are found from the target's key columns alone.
-    ``auto``       takes ``broadcast`` when the source fits and the target is much larger.
+    ``auto``       takes ``broadcast`` when the source fits and the target is much larger;
+                   ``sized`` stands for the target's size where joins already blur it.
     """
     if not null_safe:
         # NULL keys never match: kept out of the join, where they would all land in one task.
         matched = pair(
-            target.where(~any_null(keys)), source.where(~any_null(keys)), keys, True, strategy
+            target.where(~any_null(keys)), source.where(~any_null(keys)), keys, True, strategy, sized
         )
         return matched.unionByName(_side(target.where(any_null(keys)), source, "t")).unionByName(
             _side(source.where(any_null(keys)), target, "s")
@@ -157,7 +159,8 @@ def pair(
 
     if strategy == "auto":
         big = 16 * max(broadcast_limit(target), 1)
-        strategy = "broadcast" if fits_broadcast(source) and size_estimate(target) > big else "full"
+        small = fits_broadcast(source) and size_estimate(target if sized is None else sized) > big
+        strategy = "broadcast" if small else "full"
 
     t = target.withColumn("__in_t", F.lit(True)).alias("l")
     s = source.withColumn("__in_s", F.lit(True)).alias("r")

@@ -146,6 +146,7 @@ def fact_merge(
         raise ValueError(f"unknown delete: {delete}")
     if delete == "filtered" and not filter_cols:
         raise ValueError("delete='filtered' needs filter_cols")
+    spoken_for = source
     source = unique_source(source, bk, on_duplicates, order_by, null_safe)
     if upsert and DELETED not in source.columns:
         like = (target.schema[DELETED] if target is not None else source.schema[MODIFIED]).dataType
@@ -153,10 +154,10 @@ def fact_merge(
     if target is None:
         return source
     target, source = align_schemas(target, source)
-    columns = target.columns
+    columns, sized = target.columns, target
     if delete == "filtered":
-        target = slice_flag(target, source, filter_cols)
-    paired = pair(target, source, bk, null_safe, strategy)
+        target = slice_flag(target, spoken_for, filter_cols)
+    paired = pair(target, source, bk, null_safe, strategy, sized)
 
     never = F.lit(False)
     deleted = column(DELETED, "t").isNotNull()
