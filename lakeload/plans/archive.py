@@ -75,12 +75,14 @@ def archive_job(
     table_name: str | None = None,
 ) -> int:
     """Archive everything complete in the landing folder; the number of files archived."""
+    now = now or dt.datetime.now(dt.timezone.utc)
     log_path = archive_log_path or f"{archive_path.rstrip('/')}/log"
     listing = list_landing(spark, ingest_path)
     if listing.isEmpty():
         return 0
     deleted = archive_batch(spark, listing, archive_path, log_path, now).where(F.col("problem").isNull()).count()
-    compact_archive_log(spark, log_path)
+    today = now.astimezone(dt.timezone.utc)
+    compact_archive_log(spark, log_path, from_day=int(today.strftime("%Y%m%d")) - 1)
     if table_name:
         register_table(spark, table_name, log_path, ARCHIVE_LOG, [LOG_PARTITION])
     return deleted

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.operators.retention import PURGE_AGE_DAYS, purge_candidates, purge_summary
+from lakeload.schemas import ARCHIVE_LOG, LOG_PARTITION
 from lakeload.session import shared_dir
 from lakeload.sinks.files import delete_files
 from lakeload.sinks.logs import commit_purged
+from lakeload.sinks.tables import finish_replacements
 from lakeload.sources.archive import read_archive_log
 
 
@@ -19,9 +21,10 @@ def read_logs(spark: SparkSession, logs: Mapping[str, str]) -> DataFrame:
     """Archive logs by table name, as one frame with ``ArchiveTable``."""
     union = None
     for name, path in logs.items():
-        log = read_archive_log(spark, path)
-        if log is None:
+        if read_archive_log(spark, path) is None:
             continue
+        finish_replacements(spark, path, [LOG_PARTITION], ARCHIVE_LOG)
+        log = read_archive_log(spark, path)
         named = log.withColumn("ArchiveTable", F.lit(name))
         union = named if union is None else union.unionByName(named)
     if union is None:

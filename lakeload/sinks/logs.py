@@ -35,8 +35,17 @@ def append_export_log(rows: DataFrame, path: str) -> None:
     _as(rows, EXPORT_LOG).coalesce(1).write.mode("append").parquet(path)
 
 
-def compact_archive_log(spark: SparkSession, path: str, min_files: int = 8) -> bool:
-    return compact_partitions(spark, path, [LOG_PARTITION], ARCHIVE_LOG, min_files=min_files)
+def compact_archive_log(
+    spark: SparkSession, path: str, min_files: int = 8, from_day: int | None = None, to_day: int | None = None
+) -> bool:
+    """Join the small files of crowded log days, between two days (yyyyMMdd) if given."""
+    days = F.lit(True)
+    if from_day is not None:
+        days = days & (F.col(LOG_PARTITION) >= from_day)
+    if to_day is not None:
+        days = days & (F.col(LOG_PARTITION) <= to_day)
+    finish_replacements(spark, path, [LOG_PARTITION], ARCHIVE_LOG)
+    return compact_partitions(spark, path, [LOG_PARTITION], ARCHIVE_LOG, min_files=min_files, where=days)
 
 
 def repair_archive_log(spark: SparkSession, path: str) -> None:

@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,12 +126,16 @@ def compact_partitions(
     schema: T.StructType,
     small_bytes: int = COMPACT_FILE_BYTES // 2,
     min_files: int = 8,
+    where: Column | None = None,
 ) -> bool:
-    """Rewrite the partitions that hold many small files; False when there are none."""
+    """Rewrite the partitions that hold many small files; False when there are none.
+
+    ``where`` names the partitions to look at, so that a long log is not searched whole.
+    """
     parts = [column(c) for c in partition_by]
+    stored = spark.read.schema(schema).parquet(path)
     files = (
-        spark.read.schema(schema)
-        .parquet(path)
+        (stored if where is None else stored.where(where))
         .select(*parts, F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size"))
         .distinct()
     )
@@ -144,9 +148,8 @@ def compact_partitions(
     )
     if crowded.isEmpty():
         return False
-    rows = spark.read.schema(schema).parquet(path)
     replace_partitions(
-        spark, path, lambda touched: restrict_partitions(rows, touched, partition_by), crowded, partition_by, schema
+        spark, path, lambda touched: restrict_partitions(stored, touched, partition_by), crowded, partition_by, schema
     )
     return True
 

@@ -29,6 +29,8 @@ def archive_stream(
     The checkpoint knows every file seen, so a growing folder is not compared with
     the log again and again, and the number of files per step is bounded.  A path is
     taken when first seen: producers write under a ``.partial`` name and rename.
+    Each step adds a small log file; ``compact_archive_log(..., to_day=yesterday)``
+    joins those of past days, which the stream no longer writes to.
     """
     log_path = archive_log_path or f"{archive_path.rstrip('/')}/log"
     files = (
