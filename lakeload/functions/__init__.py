@@ -9,4 +9,5 @@ from lakeload.functions.scalars import (
     human_bytes,
     instant,
     name_prefix,
+    utc_clock,
 )

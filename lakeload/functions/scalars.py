@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Unit names of the size text, 1024 apart.
 SIZE_UNITS = ("B", "KB", "MB", "GB", "TB", "PB", "EB", "ZB", "YB")
@@ -36,6 +37,13 @@ def day_number(ts: Column) -> Column:
     return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int")
 
 
+def utc_clock(ts: Column, dtype: T.DataType | None = None) -> Column:
+    """The UTC wall clock of an instant, whatever the session's time zone; zoneless times stay."""
+    if dtype is not None and not isinstance(dtype, T.TimestampType):
+        return ts
+    return F.to_utc_timestamp(ts, F.current_timezone())
+
+
 def name_prefix(ts: Column) -> Column:
     return F.date_format(ts, "HH_mm")
 

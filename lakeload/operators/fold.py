@@ -17,10 +17,10 @@ from pyspark.sql.window import WindowSpec
 from lakeload.functions.identifiers import column
 from lakeload.functions.scalars import instant
 from lakeload.operators.alignment import align_schemas, conform
-from lakeload.operators.history import open_versions
+from lakeload.operators.history import open_end, open_versions
 from lakeload.operators.matching import keep_last, members, pair, require_unique
 from lakeload.operators.merge import _rows
-from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, CURRENT, DELETED, END, HASH, MODIFIED, OPEN_END
+from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, CURRENT, DELETED, END, HASH, MODIFIED
 
 CHUNK_FILES = 256
 _SEQ, _NEXT = "__seq", "__next"
@@ -203,7 +203,7 @@ def scd2_from_snapshots(
 
     def value(name: str) -> Column:
         if name == END:
-            return F.coalesce(F.col("__until"), F.lit(OPEN_END).cast(end_type)).cast(end_type)
+            return F.coalesce(F.col("__until"), open_end(end_type)).cast(end_type)
         if name == CURRENT:
             return F.col("__until").isNull()
         return column(name)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeload.functions.identifiers import column, quote
 from lakeload.functions.scalars import instant
@@ -15,13 +16,17 @@ from lakeload.operators.merge import hash_differs, slice_flag
 from lakeload.schemas import CURRENT, END, OPEN_END, START
 
 
+def open_end(dtype: T.DataType) -> Column:
+    """The end of an open version; as an instant it is midnight UTC in every session."""
+    zone = "+00:00" if isinstance(dtype, T.TimestampType) else ""
+    return F.lit(OPEN_END + zone).cast(dtype)
+
+
 def open_versions(source: DataFrame, archive_ts) -> DataFrame:
     """Source rows as current versions valid from the archive time."""
     start = instant(archive_ts)
     opened = source.withColumn(START, start)
-    return opened.withColumn(END, F.lit(OPEN_END).cast(opened.schema[START].dataType)).withColumn(
-        CURRENT, F.lit(True)
-    )
+    return opened.withColumns({END: open_end(opened.schema[START].dataType), CURRENT: F.lit(True)})
 
 
 def scd2_merge_current(

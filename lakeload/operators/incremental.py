@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.functions.identifiers import column
-from lakeload.functions.scalars import day_number, instant
+from lakeload.functions.scalars import day_number, instant, utc_clock
 from lakeload.operators.matching import members
 from lakeload.schemas import LOG_PARTITION
 
@@ -34,7 +34,8 @@ def since(archive_log: DataFrame, watermark: Column, inclusive: bool) -> DataFra
     ts = F.col("ArchiveDatetimeUTC")
     rows = archive_log.where(ts >= watermark if inclusive else ts > watermark)
     if LOG_PARTITION in archive_log.columns:
-        rows = rows.where(F.col(LOG_PARTITION) >= day_number(watermark))
+        clock = utc_clock(watermark, archive_log.schema["ArchiveDatetimeUTC"].dataType)
+        rows = rows.where(F.col(LOG_PARTITION) >= day_number(clock))
     return rows
 
 

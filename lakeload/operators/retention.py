@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.functions.scalars import human_bytes, instant
+from lakeload.functions.scalars import human_bytes, instant, utc_clock
 from lakeload.operators.matching import members
 
 PURGE_AGE_DAYS = 31
@@ -43,7 +43,7 @@ def purge_candidates(
         "ArchiveYearUTC",
         "ArchiveMonthUTC",
         "ArchiveDayUTC",
-        F.weekofyear("ArchiveDatetimeUTC").alias("ArchiveWeekUTC"),
+        F.weekofyear(utc_clock(F.col("ArchiveDatetimeUTC"), log.schema["ArchiveDatetimeUTC"].dataType)).alias("ArchiveWeekUTC"),
     ).agg(newest)
 
     rules = {

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.functions.scalars import day_number
+from lakeload.functions.scalars import day_number, utc_clock
 from lakeload.operators.matching import members
 from lakeload.schemas import ARCHIVE_LOG, LOG_PARTITION
 from lakeload.sinks.files import archive_files, delete_files
@@ -29,7 +29,7 @@ def _logged(spark: SparkSession, log_path: str, listing: DataFrame, now: dt.date
     if log is None:
         return None
     oldest = F.least(F.min("modificationTime") - F.expr("INTERVAL 1 DAY"), F.lit(now))
-    oldest = listing.agg(day_number(oldest).alias("day")).scalar()
+    oldest = listing.agg(day_number(utc_clock(oldest)).alias("day")).scalar()
     return (
         log.where(F.col(LOG_PARTITION) >= oldest)
         .select(

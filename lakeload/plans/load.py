@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.functions.identifiers import column, parse_columns
-from lakeload.functions.scalars import instant
+from lakeload.functions.scalars import instant, utc_clock
 from lakeload.operators.fold import CHUNK_FILES, fact_fold, scd1_fold, scd2_from_snapshots
 from lakeload.operators.history import scd2_merge
 from lakeload.operators.incremental import (
@@ -23,7 +23,7 @@ from lakeload.operators.incremental import (
 from lakeload.operators.matching import members
 from lakeload.operators.merge import fact_merge, scd1_merge, touched_partitions
 from lakeload.operators.projection import prepare_source
-from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, DELETED, END, MODIFIED, PROCESS_LOG, STAGING_NAME
+from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, CURRENT, DELETED, END, MODIFIED, PROCESS_LOG, STAGING_NAME
 from lakeload.session import shared_dir
 from lakeload.sinks.logs import append_process_log
 from lakeload.sinks.storage import Storage
@@ -304,7 +304,7 @@ def _scd2_step(spark, spec, table, files, now, fold: bool) -> None:
 
 def _scd2_apply(spark, spec, table, files, rows, order, fold: bool) -> None:
     target = table.read()
-    ended = order.select(column(ARCHIVED).cast("date").alias(END_DATE)).distinct().collect()
+    ended = order.select(utc_clock(column(ARCHIVED)).cast("date").alias(END_DATE)).distinct().collect()
     dates = sorted({_OPEN_DATE, *(r[0] for r in ended)})
     part = None
     if target is not None:
@@ -323,7 +323,8 @@ def _scd2_apply(spark, spec, table, files, rows, order, fold: bool) -> None:
             filter_cols=spec.delete_filter or None,
             **_merge_options(spec),
         )
-    state = state.withColumn(END_DATE, column(END).cast("date"))
+    ended_on = utc_clock(column(END)).cast("date")
+    state = state.withColumn(END_DATE, F.when(column(CURRENT), F.lit(_OPEN_DATE)).otherwise(ended_on))
     touched = spark.createDataFrame([(d,) for d in dates], f"{END_DATE} date")
     if target is None:
         table.write(state, _stamp(files[-1]))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.functions.scalars import archive_calendar, file_extension, file_name, instant, name_prefix
+from lakeload.functions.scalars import archive_calendar, file_extension, file_name, instant, name_prefix, utc_clock
 from lakeload.operators.fold import number_in_order
 from lakeload.schemas import ARCHIVE_LOG
 
@@ -110,11 +110,12 @@ def plan_archive(listing: DataFrame, archive_path: str, now) -> DataFrame:
     """
     listing = number_in_order(listing, "modificationTime", ["path"])
     at = instant(now) + F.col("__seq") * F.expr("INTERVAL '0.000001' SECOND")
-    name = archive_name(F.col("path"), F.col("modificationTime"), F.col("length"), at)
-    target = F.concat(F.lit(archive_path.rstrip("/") + "/"), F.date_format(at, "yyyy/MM/dd"), F.lit("/"), name)
+    clock = utc_clock(at)
+    name = archive_name(F.col("path"), F.col("modificationTime"), F.col("length"), clock)
+    target = F.concat(F.lit(archive_path.rstrip("/") + "/"), F.date_format(clock, "yyyy/MM/dd"), F.lit("/"), name)
     rows = listing.select(
         at.alias("ArchiveDatetimeUTC"),
-        *[v.alias(k) for k, v in archive_calendar(at).items()],
+        *[v.alias(k) for k, v in archive_calendar(clock).items()],
         F.col("path").alias("OriginalStagingFilePath"),
         file_name(F.col("path")).alias("OriginalStagingFileName"),
         F.col("length").alias("OriginalStagingFileSize"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.functions.scalars import day_number
+from lakeload.functions.scalars import day_number, utc_clock
 from lakeload.operators.incremental import mark_ignorable, repair_log_types
 from lakeload.operators.retention import mark_purged
 from lakeload.schemas import ARCHIVE_LOG, EXPORT_LOG, LOG_PARTITION, PROCESS_LOG
@@ -67,7 +67,7 @@ def _rewrite(spark: SparkSession, path: str, touched: DataFrame, change) -> None
 
 def commit_purged(spark: SparkSession, path: str, purged: DataFrame, now) -> None:
     """Set the purge mark on deleted files; only the log days that hold them are rewritten."""
-    days = purged.select(day_number(F.col("ArchiveDatetimeUTC")).alias(LOG_PARTITION)).distinct()
+    days = purged.select(day_number(utc_clock(F.col("ArchiveDatetimeUTC"))).alias(LOG_PARTITION)).distinct()
     _rewrite(spark, path, days, lambda log: mark_purged(log, purged, now))
 
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.functions import archive_calendar, file_name
+from lakeload.functions import archive_calendar, file_name, utc_clock
 from lakeload.operators.projection import complex_as_string, underscore_names
 from lakeload.plans import (
     LoadSpec,
@@ -47,7 +47,7 @@ START_OF_TIME = dt.datetime(1990, 1, 1, tzinfo=dt.timezone.utc)
 
 def utc(ts):
     """Library stamps are instants; results show them without a zone."""
-    return ts.cast("timestamp_ntz")
+    return utc_clock(ts).cast("timestamp_ntz")
 
 
 # ---- readers -------------------------------------------------------------------------
@@ -200,13 +200,13 @@ def log_files(spark, data: str, log: str, every: str = "year") -> None:
     folders = [F.regexp_extract("path", f"{k}=([0-9]+)", 1) for k in ("yr", "mon")]
     yr = folders[0].cast("int")
     if every == "year":
-        ts = F.make_timestamp(yr + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+        ts = F.make_timestamp(yr + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))
     else:
-        ts = F.make_timestamp(yr, folders[1].cast("int"), F.lit(28), F.lit(0), F.lit(0), F.lit(0))
+        ts = F.make_timestamp(yr, folders[1].cast("int"), F.lit(28), F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))
     files = list_tree(spark, data).where(F.col("path").contains("yr="))
     rows = files.select(
         ts.alias("ArchiveDatetimeUTC"),
-        *[v.alias(k) for k, v in archive_calendar(ts).items()],
+        *[v.alias(k) for k, v in archive_calendar(utc_clock(ts)).items()],
         F.col("path").alias("OriginalStagingFilePath"),
         F.concat(F.lit("extract"), yr).alias("OriginalStagingFileName"),
         F.col("length").alias("OriginalStagingFileSize"),
