@@ -5,13 +5,14 @@ import inspect
 import pytest
 
 import __spark_entry__ as entry
+import registry
 from registry import files, streams
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-JOBS = {n for n, fn in entry.queries().items() if inspect.getmodule(fn) in (files, streams)}
+JOBS = {n for n, fn in registry.QUERIES.items() if inspect.getmodule(fn) in (files, streams)}
 # The jobs have tests of their own; a few stand for their kind here.
-CHOSEN = sorted((set(entry.oracle_sql()) - JOBS) | {"csv_scan", "json_scan", "parquet_scan_drifting", "load_scd2"})
+CHOSEN = sorted((set(registry.SQL) - JOBS) | {"csv_scan", "json_scan", "parquet_scan_drifting", "load_scd2"})
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +31,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(registry.QUERIES) <= set(entry.queries())
 
 
 def test_folds_and_merges_have_no_nested_loops(spark):
