@@ -11,6 +11,8 @@ from lakeload.llm.exact import exact_dedup
 from lakeload.llm.frames import read_token_files, write_token_files
 from lakeload.llm.packing import pack_documents
 from lakeload.llm.sharding import shard_rows
+from lakeload.llm.simhash import simhash_groups
+from lakeload.llm.substrings import substring_dedup
 from lakeload.session import shared_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,12 +49,22 @@ def token_files(spark, sf_dir):
     return read_token_files(files).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def substrings(spark, sf_dir):
+    return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
+def simhash(spark, sf_dir):
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": bpe,
+    "op2_substring_dedup": substrings,
     "op4_exact_dedup": exact,
     "op5_packing": packing,
     "op8_sharding": sharding,
     "op9_token_files": token_files,
+    "op10_simhash": simhash,
 }
 
 SQL = {
