@@ -25,6 +25,11 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def renamed(df: DataFrame) -> DataFrame:
+    """``df`` with columns of its own, where both sides of a cogroup come from one table."""
+    return df.select(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+
+
 def remainder(id_col: str, modulus: int) -> Column:
     """crc32 of the id's decimal digits modulo ``modulus``; a null id counts as empty text."""
     digits = F.coalesce(F.col(id_col).cast("string"), F.lit(""))

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lakeload.llm.bpe import round_trip_digests
-from lakeload.llm.common import table
+from lakeload.llm.common import remainder, table
 from lakeload.llm.exact import exact_dedup
 from lakeload.llm.frames import read_token_files, write_token_files
+from lakeload.llm.lattice import lattice_scores
 from lakeload.llm.packing import pack_documents
+from lakeload.llm.quality import train_quality, with_quality
 from lakeload.llm.sharding import shard_rows
 from lakeload.llm.simhash import simhash_groups
 from lakeload.llm.substrings import substring_dedup
+from lakeload.llm.tokens import default_vocabulary
+from lakeload.llm.vectors import vector_groups
 from lakeload.session import shared_dir
 
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+VOCABULARY = default_vocabulary()
 
 
 def bpe(spark, sf_dir):
@@ -57,14 +61,37 @@ def simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def vectors(spark, sf_dir):
+    return vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+def lattice(spark, sf_dir):
+    return lattice_scores(table(spark, sf_dir, "documents"), VOCABULARY, remainder("doc_id", 7) == 2)
+
+
+def quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 4) == 2
+    model = train_quality(docs, table(spark, sf_dir, "labels"), held_out)
+    return with_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_bpe": bpe,
     "op2_substring_dedup": substrings,
+    "op3_vectors": vectors,
     "op4_exact_dedup": exact,
     "op5_packing": packing,
+    "op6_lattice": lattice,
+    "op7_quality": quality,
     "op8_sharding": sharding,
     "op9_token_files": token_files,
     "op10_simhash": simhash,
+    "pipeline": pipeline,
 }
 
 SQL = {

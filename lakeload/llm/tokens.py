@@ -84,6 +84,13 @@ class Vocabulary:
         return found
 
 
+def default_vocabulary() -> str:
+    """The public byte-level BPE file installed beside the tokenizer libraries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 @functools.lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     """One per file and Python worker."""
