@@ -54,7 +54,7 @@ def token_files(spark, sf_dir):
 
 
 def substrings(spark, sf_dir):
-    return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
+    return substring_dedup(table(spark, sf_dir, "documents"), columns=["doc_id"], digest=True)
 
 
 def simhash(spark, sf_dir):

@@ -259,74 +259,68 @@ def keep(words: list[bytes], runs: list[tuple[int, int]], threshold: int) -> lis
 
 
 def substring_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 50, anchor: int = 17, digest: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 50, anchor: int = 17, columns=None, digest: bool = False
 ) -> DataFrame:
-    """The rows of ``docs`` with ``n_words``, ``n_removed`` and ``kept_text``; with ``digest`` only
-    the id, those counts and ``kept_sha256``.
+    """The rows of ``docs`` with what is left in the text column, ``n_words`` and ``n_removed``;
+    with ``digest`` the text column gives way to ``kept_sha256``.
 
     Words are runs of bytes other than ASCII blanks, unchanged.  Removed is each word in a window
     of ``threshold`` words that also starts in a document with a smaller id, judged on the input.
-    Kept words are joined by a blank; a text without repeats keeps its own white space in
-    ``kept_text``.
+    Kept words are joined by a blank; a text without repeats keeps its own white space (the digest
+    is of the joined words).
 
     Seeds are joined by anchor hash through aggregates: a passage in any number of documents costs
     rows in proportion.  Where a seed's whole neighbourhood repeats, all its windows are taken at
     once; only the first document of each neighbourhood is extended window by window against the
     others.  Windows are compared by 128 bits of hash.
 
-    Null texts have no words.  Rows with a null id lose nothing and make others lose nothing.
-    Repeated rows are alike and lose the same words; rows of one id and other texts are never
-    smaller than each other.  Empty tables give no rows; added columns replace those of their name.
+    Null texts stay null and have no words.  Rows with a null id lose nothing and make others lose
+    nothing.  Repeated rows are alike and lose the same words; rows of one id and other texts are
+    never smaller than each other.  Empty tables give no rows; added columns replace those of
+    their name.  ``columns`` limits what is carried along.
     """
     if not 0 < anchor <= threshold < 2048:
         raise ValueError("0 < anchor <= threshold < 2048")
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    source = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc"), F.xxhash64(text).alias("mark"), text.cast("binary").alias("bytes")
-    )
+    key = [F.col(f"`{id_col}`").cast("long").alias("doc"), F.xxhash64(text).alias("mark")]
     lists = (
-        repeats(source, threshold, anchor)
+        repeats(docs.select(*key, text.cast("binary").alias("bytes")), threshold, anchor)
         .groupBy("doc", "mark")
         .agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs"))
     )
-    if digest:
-        rows = docs.select(F.col(f"`{id_col}`").alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc"), text.alias("text"))
-    else:
-        carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-        rows = docs.select(F.struct(*carried).alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc"), text.alias("text"))
-    rows = rows.withColumn("mark", F.xxhash64("text")).withColumn("text", F.col("text").cast("binary"))
+    made = ("n_words", "n_removed", text_col, *(["kept_sha256"] if digest else []))
+    carried = [c for c in (docs.columns if columns is None else columns) if c not in made]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), *key, F.col(f"`{text_col}`").cast("binary").alias("text"))
     joined = rows.join(lists, ["doc", "mark"], "left").select("row", "text", "runs")
-    if digest:
-        kind = joined.schema["row"].dataType.simpleString()
-        return joined.mapInArrow(_cutter(threshold, True), f"row {kind}, n_words long, n_removed long, kept string").select(
-            F.col("row").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256")
-        )
     kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_cutter(threshold, False), f"row {kind}, n_words long, n_removed long, kept string").select(
-        "row.*", "n_words", "n_removed", F.col("kept").alias("kept_text")
-    )
+    cut = joined.mapInArrow(_cutter(threshold, digest), f"row {kind}, n_words long, n_removed long, kept string")
+    return cut.select("row.*", F.col("kept").alias("kept_sha256" if digest else text_col), "n_words", "n_removed")
 
 
 def _cutter(threshold: int, digest: bool):
+    def left(text: bytes | None, runs) -> tuple[int, int, str | None]:
+        words = (text or b"").split()
+        kept = words
+        if runs.is_valid:
+            pairs = runs.values
+            kept = keep(words, list(zip(pairs.field("first").to_pylist(), pairs.field("last").to_pylist())), threshold)
+        if digest:
+            value = hashlib.sha256(b" ".join(kept)).hexdigest()
+        elif text is None:
+            value = None
+        else:
+            value = (b" ".join(kept) if len(kept) < len(words) else text).decode("utf-8", "replace")
+        return len(words), len(words) - len(kept), value
+
     def run(batches):
         for batch in batches:
-            out = []
-            for text, runs in zip(batch.column(1), batch.column(2)):
-                raw = text.as_py()
-                words = raw.split()
-                kept = words
-                if runs.is_valid:
-                    pairs = runs.values
-                    kept = keep(words, list(zip(pairs.field("first").to_pylist(), pairs.field("last").to_pylist())), threshold)
-                if digest:
-                    value = hashlib.sha256(b" ".join(kept)).hexdigest()
-                else:
-                    value = (b" ".join(kept) if len(kept) < len(words) else raw).decode("utf-8", "replace")
-                out.append((len(words), len(words) - len(kept), value))
-            columns = list(zip(*out, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string()), strict=True)]],
-                names=["row", "n_words", "n_removed", "kept"],
-            )
+            for at in range(0, len(batch), 1_000):
+                part = batch.slice(at, 1_000)
+                out = [left(text.as_py(), runs) for text, runs in zip(part.column(1), part.column(2))]
+                columns = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string()), strict=True)]],
+                    names=["row", "n_words", "n_removed", "kept"],
+                )
 
     return run
