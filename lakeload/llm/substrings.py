@@ -230,15 +230,15 @@ def _extended(docs: DataFrame, wanted: DataFrame, threshold: int) -> DataFrame:
 def repeats(docs: DataFrame, threshold: int = 50, anchor: int = 17) -> DataFrame:
     """``(doc, mark, first, last)``: runs of starts of windows that also start in a smaller document."""
     found = staged(seeds(docs.where("doc IS NOT NULL"), threshold, anchor), "seeds")
-    contexts = found.groupBy("anchor", "context1", "context2").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    shared = (
-        found.groupBy("anchor")
-        .agg(F.min("doc").alias("least_seed"), F.max("doc").alias("most_seed"), F.min("context1").alias("c"), F.max("context1").alias("d"))
-        .where("least_seed < most_seed")
-        .select("anchor", (F.col("c") < F.col("d")).alias("several"))
+    # Most anchors stand in one document only and go before anything else is compared.
+    shared = staged(
+        found.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("anchor"), "shared-anchors"
     )
-    known = contexts.join(shared, "anchor").where("several OR least < most")
-    hits = staged(found.join(known, ["anchor", "context1", "context2"]).select("doc", "mark", "first", "last", "least", "several"), "seed-hits")
+    some = staged(found.join(shared, "anchor"), "shared-seeds")
+    contexts = some.groupBy("anchor", "context1", "context2").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    several = some.groupBy("anchor").agg((F.min("context1") < F.max("context1")).alias("several"))
+    known = contexts.join(several, "anchor").where("several OR least < most").drop("most")
+    hits = staged(some.join(known, ["anchor", "context1", "context2"]).select("doc", "mark", "first", "last", "least", "several"), "seed-hits")
     # The whole neighbourhood of the anchor stands in a smaller document: all its windows do.
     whole = hits.where("doc > least").select("doc", "mark", "first", "last")
     # The first of its neighbourhood, where others differ: extend to each side, window by window.
