@@ -164,7 +164,7 @@ def lattice_scores(
 
     A-Z is lower-cased; tokens are words and one end.  The pieces are those of the public
     vocabulary; a piece's score is its relative frequency, one added, in all training documents
-    (those not ``held_out``) when cut by that vocabulary.  ``score`` adds the log of each word's
+    (those not ``held_out``) when the vocabulary's merges cut each word.  ``score`` adds the log of each word's
     probability summed over every segmentation; ``base_score`` is the word unigram with one added.
 
     Counts are taken over all training documents.  A block's words, not its tokens, are joined to
