@@ -26,8 +26,9 @@ def hash_expression(schema: T.StructType, cols: Sequence[str] | None = None, mod
     ``concat``  values joined by ``||``; NULLs are skipped, so ``(a, NULL, b)`` and
                 ``(a, b, NULL)`` collide.  Kept for tables hashed this way before.
     ``json``    the row as a JSON object; NULL fields are left out, structs are fine.
-    ``safe``    every value carries its length and NULL has its own mark, so two
-                different rows never give the same text.
+    ``safe``    every value that is not NULL carries its column and its length, in the order of
+                column names, so two different rows never give the same text, and a row's hash
+                does not depend on columns that only other files of its batch have.
     """
     names = list(cols) if cols is not None else schema.fieldNames()
     if mode == "concat":
@@ -36,9 +37,10 @@ def hash_expression(schema: T.StructType, cols: Sequence[str] | None = None, mod
         text = F.to_json(F.struct(*[column(c) for c in names]))
     elif mode == "safe":
         parts = []
-        for name in names:
+        for name in sorted(names):
             value = _as_text(schema[name])
-            parts.append(F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("~")))
+            head = F.lit(f"{len(name)}:{name}=")
+            parts.append(F.coalesce(F.concat(head, F.length(value).cast("string"), F.lit(":"), value), F.lit("")))
         text = F.concat(*parts)
     else:
         raise ValueError(f"unknown hash mode: {mode}")

@@ -62,10 +62,12 @@ def pending_files(
     ``watermark``  later than the latest processed archive time (``inclusive``: or equal);
     ``absence``    later than the initial watermark and not in the process log, which
                    also finds files logged late with an earlier stamp.
+    Without ``initial`` a first run takes all files; ``initial_watermark`` gives a start some
+    days ago.
     """
     files = _with_modification_time(visible_files(archive_log))
     ts_type = archive_log.schema["ArchiveDatetimeUTC"].dataType
-    start = initial_watermark().cast(ts_type) if initial is None else instant(initial, ts_type)
+    start = instant(EXPORT_START if initial is None else initial, ts_type)
     if by == "watermark":
         if process_log is not None:
             latest = load_watermark(process_log).select(F.col("ArchiveDatetimeUTC").cast(ts_type))

@@ -26,7 +26,10 @@ def size_estimate(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    """Bytes that Spark broadcasts by itself; 0 where that is switched off."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip()
+    if text.startswith("-"):
+        return 0
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 

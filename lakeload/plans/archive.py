@@ -81,8 +81,8 @@ def archive_job(
     if listing.isEmpty():
         return 0
     deleted = archive_batch(spark, listing, archive_path, log_path, now).where(F.col("problem").isNull()).count()
-    today = now.astimezone(dt.timezone.utc)
-    compact_archive_log(spark, log_path, from_day=int(today.strftime("%Y%m%d")) - 1)
+    yesterday = now.astimezone(dt.timezone.utc) - dt.timedelta(days=1)
+    compact_archive_log(spark, log_path, from_day=int(yesterday.strftime("%Y%m%d")))
     if table_name:
         register_table(spark, table_name, log_path, ARCHIVE_LOG, [LOG_PARTITION])
     return deleted

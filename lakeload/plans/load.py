@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from lakeload.functions.scalars import instant, utc_clock
 from lakeload.operators.fold import CHUNK_FILES, fact_fold, scd1_fold, scd2_from_snapshots
 from lakeload.operators.history import scd2_merge
 from lakeload.operators.incremental import (
+    EXPORT_START,
     initial_watermark,
     load_order,
     pending_files,
@@ -65,7 +66,9 @@ class LoadSpec:
     on_duplicates: str = "error"
     order_by: Sequence[str] | None = None
     null_safe: bool = True
+    #: Where a first run starts: at a time, or at midnight some days ago; else it takes all files.
     initial: dt.datetime | None = None
+    initial_days: int | None = None
     pending_by: str = "watermark"
     partition_stable: bool = False
     string_delete_time: bool = False
@@ -90,15 +93,21 @@ class LoadSpec:
 
 @dataclass
 class LoadResult:
+    """``skipped`` files are older than the table's last one; they are named and not logged."""
+
     files: int = 0
     skipped: int = 0
+    skipped_paths: list[str] = field(default_factory=list)
 
 
 def _start_log(spark: SparkSession, spec: LoadSpec, now: dt.datetime) -> None:
     """First run: remember the initial watermark as a row of its own."""
     if read_process_log(spark, spec.log_path) is not None:
         return
-    start = instant(spec.initial) if spec.initial else initial_watermark(instant(now))
+    if spec.initial_days is not None:
+        start = initial_watermark(instant(now), spec.initial_days)
+    else:
+        start = instant(spec.initial or EXPORT_START)
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in PROCESS_LOG.fields]
     row = spark.range(1).select(*empty).withColumn("ArchiveDatetimeUTC", start)
     append_process_log(row, spec.log_path)
@@ -225,11 +234,11 @@ def load_scd1(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = Non
     for files in pending_batches(spark, spec, now):
         applied = table.applied()
         late = [f for f in files if applied and _stamp(f) < applied]
-        timely = [f for f in files if f not in late]
+        timely = [f for f in files if not applied or _stamp(f) >= applied]
         one_by_one = spec.update_filter is not None or not spec.null_safe
         steps = [[f] for f in late] + ([[f] for f in timely] if one_by_one else [timely] if timely else [])
         for step in steps:
-            _scd1_step(spark, spec, table, step, now, late=step[0] in late, fold=not one_by_one)
+            _scd1_step(spark, spec, table, step, now, late=bool(applied) and _stamp(step[0]) < applied, fold=not one_by_one)
         _commit(spark, spec, files, now)
         result.files += len(files)
     _finish(table, spec)
@@ -274,6 +283,15 @@ def _unapplied(table: LakeTable, files: list[Row]) -> list[Row]:
     return [f for f in files if applied is None or _stamp(f) > applied]
 
 
+def _report(spec: LoadSpec, result: LoadResult, skip: set[str], files: list[Row], todo: list[Row]) -> None:
+    done = {f["ArchiveFilePath"] for f in todo}
+    left = [f["ArchiveFilePath"] for f in files if f["ArchiveFilePath"] not in done]
+    skip.update(left)
+    result.files += len(todo)
+    result.skipped += len(left)
+    result.skipped_paths += left
+
+
 def load_scd2(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = None) -> LoadResult:
     """Bring a full-history table up to date with all pending files.
 
@@ -284,15 +302,15 @@ def load_scd2(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = Non
     """
     now = now or dt.datetime.now(dt.timezone.utc)
     table = LakeTable(spark, spec.target_path, [END_DATE, *spec.partition_by])
-    result = LoadResult()
-    for files in pending_batches(spark, spec, now):
+    result, skip = LoadResult(), set()
+    for files in pending_batches(spark, spec, now, skip):
         todo = _unapplied(table, files)
         fold = not spec.delete_filter and not spec.update_filter and spec.null_safe
         for step in ([todo] if todo else []) if fold else [[f] for f in todo]:
             _scd2_step(spark, spec, table, step, now, fold)
-        _commit(spark, spec, files, now)
-        result.files += len(todo)
-        result.skipped += len(files) - len(todo)
+        if todo:
+            _commit(spark, spec, todo, now)
+        _report(spec, result, skip, files, todo)
     _finish(table, spec)
     return result
 
@@ -341,14 +359,14 @@ def load_fact(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = Non
     """
     now = now or dt.datetime.now(dt.timezone.utc)
     table = LakeTable(spark, spec.target_path, spec.partition_by)
-    result = LoadResult()
-    for files in pending_batches(spark, spec, now):
+    result, skip = LoadResult(), set()
+    for files in pending_batches(spark, spec, now, skip):
         todo = _unapplied(table, files)
         if todo:
             _fact_steps(spark, spec, table, todo, now)
-        _commit(spark, spec, files, now)
-        result.files += len(todo)
-        result.skipped += len(files) - len(todo)
+        if todo:
+            _commit(spark, spec, todo, now)
+        _report(spec, result, skip, files, todo)
     _finish(table, spec)
     return result
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,13 +30,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_single_machine(master: str) -> None:
+    if not re.match(r"local($|\[)", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names the parent in ``spark.checkpoint.dir``; only where that is
-    unset (single-machine tests) a local temporary folder is taken.
+    The cluster names the parent in ``spark.checkpoint.dir``.  Where that is unset a local
+    temporary folder is taken on a single machine, and a cluster is refused: its executors
+    would not see each other's files.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if parent:
         return f"{parent.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    require_single_machine(spark.conf.get("spark.master", "local"))
     return tempfile.mkdtemp(prefix=f"run-{purpose}-", dir="/tmp")

@@ -13,6 +13,10 @@ class Storage:
         self._path_of = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def qualified(self, path: str) -> str:
+        """The path as Spark's listings spell it."""
+        return self._fs.makeQualified(self._path_of(path)).toString()
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path_of(path))
 

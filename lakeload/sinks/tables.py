@@ -259,8 +259,8 @@ def register_table(
 def clear_files(spark: SparkSession, path: str) -> int:
     """Remove the files directly in a folder, keep its sub-folders; executors delete."""
     from lakeload.sinks.files import delete_files
+    from lakeload.sources.landing import direct_files
 
     if not Storage(spark, path).exists(path):
         return 0
-    files = spark.read.format("binaryFile").load(path).select("path")
-    return delete_files(files).where(F.col("problem").isNull()).count()
+    return delete_files(direct_files(spark, path).select("path")).where(F.col("problem").isNull()).count()

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.schemas import FILE_LISTING
+from lakeload.sinks.storage import Storage
 
 
 def complete_file() -> Column:
@@ -20,7 +21,7 @@ def list_landing(spark: SparkSession, path: str) -> DataFrame:
     Spark lists the folder; file contents are not read.
     """
     try:
-        files = spark.read.format("binaryFile").load(path).select(FILE_LISTING.fieldNames())
+        files = direct_files(spark, path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in (error.getCondition() or ""):
             return spark.createDataFrame([], FILE_LISTING)
@@ -28,6 +29,17 @@ def list_landing(spark: SparkSession, path: str) -> DataFrame:
     return files.where(complete_file())
 
 
+def direct_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a folder itself, whatever its sub-folders are called.
+
+    A plain listing would take sub-folders named ``key=value`` for partitions of one table and
+    leave out, or mix in, the wrong files.  Names that start with ``_`` or ``.`` are marks of
+    writers and not listed.
+    """
+    folder = Storage(spark, path).qualified(path)
+    return list_tree(spark, path).where(F.regexp_replace("path", "/[^/]*$", "") == folder)
+
+
 def list_tree(spark: SparkSession, path: str) -> DataFrame:
     """All files below a folder, sub-folders included."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)

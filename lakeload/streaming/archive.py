@@ -29,6 +29,7 @@ def archive_stream(
     The checkpoint knows every file seen, so a growing folder is not compared with
     the log again and again, and the number of files per step is bounded.  A path is
     taken when first seen: producers write under a ``.partial`` name and rename.
+    A step whose files are not all archived fails and is repeated by the next start.
     Each step adds a small log file; ``compact_archive_log(..., to_day=yesterday)``
     joins those of past days, which the stream no longer writes to.
     """
@@ -37,18 +38,24 @@ def archive_stream(
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
         .option("maxFilesPerTrigger", max_files_per_trigger)
+        # A step that is repeated finds the files gone that it archived before.
+        .option("ignoreMissingFiles", True)
         .load(ingest_path)
         .drop("content")
     )
 
     def step(listing: DataFrame, batch_id: int) -> None:
         listing = listing.where(complete_file())
-        if listing.isEmpty():
+        seen = listing.count()
+        if not seen:
             return
         done = archive_batch(listing.sparkSession, listing, archive_path, log_path)
-        failed = done.where(F.col("problem").isNotNull()).count()
+        committed, failed = done.agg(F.count(F.lit(1)), F.count("problem")).first()
         if failed:
             raise OSError(f"{failed} archived landing files could not be removed")
+        if committed < seen:
+            # The checkpoint must not count them as done: the step fails and is repeated.
+            raise OSError(f"{seen - committed} landing files could not be archived")
 
     writer = files.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeload.functions import row_hash
 from lakeload.operators import keep_last
+from lakeload.sinks.files import _locator
 from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, MODIFIED, STAGING_NAME
 
 SPLIT = "1998-06-01 00:00:00"
@@ -198,3 +199,20 @@ ORDER_DELTA_SQL = _order_sql(
     "o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderkey IN (SELECT l_orderkey FROM lineitem)",
     2,
 )
+
+
+def write_named(df: DataFrame, name_col: str, text_col: str, folder: str, suffix: str) -> None:
+    """One text file per row, named by a column; the tasks write."""
+    locate = _locator()
+
+    def run(batches):
+        for batch in batches:
+            system, target = locate(folder)
+            system.create_dir(target, recursive=True)
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with system.open_output_stream(f"{target}/{name}{suffix}") as out:
+                    out.write(f"{text}\n".encode())
+            yield batch.slice(0, 0)
+
+    chosen = df.select(name_col, text_col)
+    chosen.mapInArrow(run, chosen.schema).count()

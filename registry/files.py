@@ -127,12 +127,19 @@ def orders_landed(spark, sf, purpose: str) -> str:
     return lake
 
 
-@query("list_landing", "SELECT count(DISTINCT o_orderpriority) >= 1 AS some, true AS complete FROM orders")
+@query(
+    "list_landing",
+    """SELECT r_name || '.csv' AS name, octet_length(encode(r_regionkey || ';' || r_name)) + 1 AS size
+    FROM region""",
+)
 def list_landing_query(spark, sf):
-    """Landing files directly in the folder; empty ones such as write marks are left out."""
-    lake = orders_landed(spark, sf, "landing")
+    """A file per region, directly in the folder; sub-folders named like partitions do not count."""
+    lake = shared_dir(spark, "landing")
+    regions = x.table(spark, sf, "region").select("r_name", F.concat_ws(";", "r_regionkey", "r_name").alias("value"))
+    x.write_named(regions, "r_name", "value", f"{lake}/ingest", ".csv")
+    x.write_named(regions, "r_name", "value", f"{lake}/ingest/yr=2001", ".csv")
     files = list_landing(spark, f"{lake}/ingest")
-    return files.agg((F.count(F.lit(1)) >= 1).alias("some"), F.bool_and(F.col("length") > 0).alias("complete"))
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"))
 
 
 @query("archive_batch", ORDER_ROWS_SQL)
@@ -420,12 +427,14 @@ def publish_as_is_query(spark, sf):
     return spark.read.parquet(f"{lake}/published")
 
 
-@query("clear_target", "SELECT count(*) - count(*) AS files FROM region")
+@query("clear_target", "SELECT r_regionkey, r_name FROM region")
 def clear_target(spark, sf):
     lake = shared_dir(spark, "clear")
-    x.table(spark, sf, "region").write.parquet(f"{lake}/published")
+    region = x.table(spark, sf, "region")
+    region.write.parquet(f"{lake}/published")
+    region.write.parquet(f"{lake}/published/kept=1")
     clear_files(spark, f"{lake}/published")
-    return list_tree(spark, f"{lake}/published").agg(F.count(F.lit(1)).alias("files"))
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{lake}/published").select("r_regionkey", "r_name")
 
 
 @query(
@@ -437,7 +446,11 @@ def stage_rows(spark, sf):
     """What a staging table receives: all pending files united."""
     lake = customer_archive(spark, sf, "stage")
     spec = spec_of(lake)
-    files = next(pending_batches(spark, spec, NOW))
+    seen: set[str] = set()
+    files = []
+    for batch in pending_batches(spark, spec, NOW, seen):
+        files += batch
+        seen.update(f["ArchiveFilePath"] for f in batch)
     rows = published_rows(spark, spec, files)
     return rows.withColumn("__ArchiveDatetimeUTC", utc(F.col("__ArchiveDatetimeUTC")))
 

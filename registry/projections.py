@@ -27,7 +27,9 @@ def row_hash_concat(spark, sf):
 
 
 def safe_sql(cols: list[str]) -> str:
-    parts = [f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')" for c in cols]
+    parts = [
+        f"coalesce('{len(c)}:{c}=' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '')" for c in sorted(cols)
+    ]
     return f"sha256({' || '.join(parts)}) AS __HashDiff"
 
 

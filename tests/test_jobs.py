@@ -206,9 +206,26 @@ def test_a_row_without_log_row_fails(spark, archive):
         attach_lineage(rows_of_files, listed, {"OriginalStagingFileName": "n"}).collect()
 
 
+def test_first_run_takes_all_files_by_default(spark, archive):
+    archive.parquet(0, [(1, "a", "x")])
+    assert load_scd1(spark, archive.spec(initial=None)).files == 1
+
+
+def test_late_files_of_a_history_are_named_and_not_logged(spark, archive):
+    archive.parquet(0, [(1, "a", "x")])
+    archive.parquet(2, [(1, "c", "x")])
+    spec = archive.spec(pending_by="absence")
+    assert load_scd2(spark, spec).files == 2
+    archive.parquet(1, [(1, "b", "x")])
+    for _ in range(2):
+        result = load_scd2(spark, spec)
+        assert (result.files, result.skipped, len(result.skipped_paths)) == (0, 1, 1)
+    assert read_process_log(spark, spec.log_path).where("ArchiveFilePath IS NOT NULL").count() == 2
+
+
 def test_first_run_skips_files_before_the_initial_watermark(spark, archive):
     archive.parquet(0, [(1, "a", "x")])
-    spec = archive.spec(initial=None)
+    spec = archive.spec(initial=None, initial_days=5)
     now = dt.datetime(2023, 1, 8, tzinfo=dt.timezone.utc)
     assert load_scd1(spark, spec, now).files == 0
     assert rows(read_process_log(spark, spec.log_path), "ArchiveDatetimeUTC", "ArchiveFilePath") == [(2, None)]
