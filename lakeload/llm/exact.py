@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import ascii_lower
+from lakeload.llm.common import ascii_lower, staged
 
 _ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 
@@ -52,6 +52,8 @@ def exact_dedup(
             F.when(F.count("*") > 1, F.raise_error(F.lit("different texts share 384 bits of hash"))).alias("__clash"),
         )
     )
+    # As a table of its own the join's shuffle can be split where a hash is hot.
+    groups = staged(groups, "text-groups")
     rows = base.select("__row", "__id", *content_key(F.col("__text")), F.sha2("__text", 256).alias("__sha"))
     return rows.join(groups.where("__clash IS NULL"), ["__h1", "__h2", "__sha"]).select(
         "__row.*",
