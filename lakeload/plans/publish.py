@@ -18,6 +18,7 @@ from lakeload.schemas import ARCHIVED, STAGING_NAME
 from lakeload.sinks.files import copy_files
 from lakeload.sinks.jdbc import DISTRIBUTION, MAX_STRING_LENGTH, overwrite_jdbc, overwrite_warehouse
 from lakeload.sinks.logs import append_process_log
+from lakeload.sinks.storage import Storage
 from lakeload.sinks.tables import clear_files
 from lakeload.session import shared_dir
 from lakeload.sources.archive import PUBLISH_CSV, SPARK_ERRORS, log_frame, read_logged
@@ -151,6 +152,13 @@ def _stage(spark, spec, now, write: Callable[[DataFrame], None]) -> PublishResul
     unreadable file costs only itself.
     """
     folder = shared_dir(spark, "stage")
+    try:
+        return _stage_in(spark, spec, now, write, folder)
+    finally:
+        Storage(spark, folder).remove(folder)
+
+
+def _stage_in(spark, spec, now, write: Callable[[DataFrame], None], folder: str) -> PublishResult:
     result, skip = PublishResult(), set()
     parts: list[str] = []
     logged: list[Row] = []

@@ -13,6 +13,7 @@ from lakeload.schemas import ARCHIVE_LOG, LOG_PARTITION
 from lakeload.session import shared_dir
 from lakeload.sinks.files import delete_files
 from lakeload.sinks.logs import commit_purged
+from lakeload.sinks.storage import Storage
 from lakeload.sinks.tables import finish_replacements
 from lakeload.sources.archive import read_archive_log
 
@@ -62,4 +63,8 @@ def purge_job(
         gone = deleted.where(F.col("ArchiveTable") == name)
         if not gone.isEmpty():
             commit_purged(spark, path, gone, now)
-    return purge_summary(candidates)
+    # One row per archive: taken before the work folder goes.
+    summary = purge_summary(candidates)
+    rows = summary.collect()
+    Storage(spark, work).remove(work)
+    return spark.createDataFrame(rows, summary.schema)

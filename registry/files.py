@@ -116,13 +116,19 @@ def parquet_scan_drifting(spark, sf):
 
 # ---- landing to archive --------------------------------------------------------------
 
-ORDER_ROWS_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders"
+ORDER_ROWS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(15,2)) AS o_totalprice,
+  o_orderdate, o_orderpriority FROM orders"""
+
+
+def whole_orders(spark, sf) -> DataFrame:
+    """All columns; prices as decimals, which print alike everywhere."""
+    return x.table(spark, sf, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(15,2)"))
 
 
 def orders_landed(spark, sf, purpose: str) -> str:
     """A lake with the orders as parquet files in its landing folder."""
     lake = shared_dir(spark, purpose)
-    orders = x.table(spark, sf, "orders").drop("o_totalprice")
+    orders = whole_orders(spark, sf)
     orders.repartition("o_orderpriority").write.parquet(f"{lake}/ingest")
     return lake
 
@@ -479,7 +485,7 @@ def compact_table(spark, sf):
     """Many small files joined; the older snapshot removed."""
     lake = shared_dir(spark, "compact")
     table = LakeTable(spark, f"{lake}/table")
-    table.write(x.table(spark, sf, "orders").drop("o_totalprice"))
+    table.write(whole_orders(spark, sf))
     table.compact()
     if table.expire(1) != [table.folder(1)]:
         raise AssertionError("the first snapshot should be removed")
@@ -497,7 +503,7 @@ def compact_log(spark, sf):
 def table_partition_replace(spark, sf):
     """One partition rewritten, one emptied, one left as it is."""
     lake = shared_dir(spark, "replace")
-    orders = x.table(spark, sf, "orders").drop("o_totalprice")
+    orders = whole_orders(spark, sf)
     table = LakeTable(spark, f"{lake}/table", ["o_orderstatus"])
     table.write(orders)
     new = orders.where("o_orderstatus = 'P'").withColumn("o_custkey", F.lit(0).cast("long"))
