@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakeload.llm.common import renamed, staged
 from lakeload.llm.tokens import encoder, vocabulary
@@ -52,7 +53,6 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, held_out: Column,
 
 
 def _block(number: int, ids: pa.Array, held: list[bool], texts: list[bytes]) -> pa.RecordBatch:
-    codes: dict[bytes, int] = {}
     fresh = count()
 
     class Numbers(dict):
@@ -111,12 +111,11 @@ class Lattice:
         get, n = self.scores.get, len(text)
         reached: list[list[float]] = [[] for _ in range(n + 1)]
         reached[0].append(0.0)
-        total = 0.0
         for i in range(n):
             into = reached[i]
             if not into:
                 continue
-            total, reached[i] = _log_sum(into), []
+            total, reached[i] = _log_sum(into), []  # reached sums are not needed again
             for j in range(i + 1, min(n, i + self.longest.get(text[i : i + 2], 1)) + 1):
                 score = get(text[i:j])
                 if score is not None:
@@ -204,7 +203,7 @@ def lattice_scores(
 
     def gather(words: pa.Table, block: pa.Table) -> pa.Table:
         order = np.argsort(words["k"].to_numpy())
-        base, score, known = (words[c].to_numpy(zero_copy_only=False)[order] if c == "known" else words[c].to_numpy()[order] for c in ("base", "score", "known"))
+        base, score, known = (words[c].to_numpy()[order] for c in ("base", "score", "known"))
         out = []
         for row in range(len(block)):
             codes = np.frombuffer(block["codes"][row].as_py(), np.uint32)
@@ -224,8 +223,6 @@ def lattice_scores(
         return pa.concat_tables(out) if out else EMPTY
 
     kind = blocks.schema["ids"].dataType.elementType
-    from pyspark.sql.pandas.types import to_arrow_type
-
     EMPTY = pa.table(
         [pa.array([], t) for t in (to_arrow_type(kind), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
         names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"],

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _DIGIT = bytes(range(48, 58))
-_BLANK = b" \t\n\r\x0b\x0c"
 _STOP = b".,;:?!'\"()-"
-_ODD = bytes(b for b in range(33, 127) if bytes([b]) not in (_UPPER + _LOWER + _DIGIT + _STOP) and b not in _UPPER + _LOWER + _DIGIT + _STOP)
+_ODD = bytes(b for b in range(33, 127) if b not in _UPPER + _LOWER + _DIGIT + _STOP)
 
 FEATURES = (
     "log_words",
