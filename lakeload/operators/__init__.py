@@ -8,6 +8,7 @@ from lakeload.operators.history import (
     scd2_current,
     scd2_merge,
     scd2_merge_current,
+    scd2_rewind,
 )
 from lakeload.operators.incremental import (
     changed_since,

@@ -143,6 +143,18 @@ def scd2_as_of(df: DataFrame, ts) -> DataFrame:
     return df.where((column(START) <= at) & (at < column(END)))
 
 
+def scd2_rewind(df: DataFrame, ts) -> DataFrame:
+    """The history as it was before any file stamped ``ts`` or later was applied.
+
+    Versions opened since are gone, and versions closed since are open again.
+    """
+    start = df.schema[START].dataType
+    ended = column(END) >= instant(ts, start).cast(df.schema[END].dataType)
+    before = df.where(column(START) < instant(ts, start))
+    reopened = F.when(ended, open_end(df.schema[END].dataType)).otherwise(column(END))
+    return before.withColumns({END: reopened, CURRENT: ended})
+
+
 def dimension_as_of(
     facts: DataFrame,
     dimension: DataFrame,

@@ -48,23 +48,15 @@ def scd1_merge(
     update_filter: str | Column | None = None,
     on_duplicates: str = "error",
     order_by: Sequence[str] | None = None,
-    newer_only: bool = False,
     strategy: str = "auto",
 ) -> DataFrame:
-    """Changed keys take the source row, unchanged keep theirs with its lineage, new ones are added.
-
-    ``newer_only`` leaves a target row alone when it stems from a later archive
-    time than the source row (late files).
-    """
+    """Changed keys take the source row, unchanged keep theirs with its lineage, new ones are added."""
     source = unique_source(source, bk, on_duplicates, order_by, null_safe)
     if target is None:
         return source
     target, source = align_schemas(target, source)
     paired = pair(target, source, bk, null_safe, strategy)
-    changed = hash_differs(update_filter)
-    if newer_only:
-        changed = changed & F.coalesce(column(ARCHIVED, "s") >= column(ARCHIVED, "t"), F.lit(True))
-    return _rows(paired, target, source, changed | ~F.col("in_t"), {})
+    return _rows(paired, target, source, hash_differs(update_filter) | ~F.col("in_t"), {})
 
 
 def touched_partitions(

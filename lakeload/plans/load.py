@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 from lakeload.functions.identifiers import column, parse_columns
 from lakeload.functions.scalars import instant, utc_clock
 from lakeload.operators.fold import CHUNK_FILES, fact_fold, scd1_fold, scd2_from_snapshots
-from lakeload.operators.history import scd2_merge
+from lakeload.operators.history import scd2_merge, scd2_rewind
 from lakeload.operators.incremental import (
     EXPORT_START,
     initial_watermark,
     load_order,
     pending_files,
     process_log_rows,
+    since,
+    visible_files,
 )
 from lakeload.operators.matching import members
 from lakeload.operators.merge import fact_merge, scd1_merge, touched_partitions
@@ -69,7 +71,7 @@ class LoadSpec:
     #: Where a first run starts: at a time, or at midnight some days ago; else it takes all files.
     initial: dt.datetime | None = None
     initial_days: int | None = None
-    pending_by: str = "watermark"
+    pending_by: str = "absence"
     partition_stable: bool = False
     string_delete_time: bool = False
     table_name: str | None = None
@@ -93,17 +95,18 @@ class LoadSpec:
 
 @dataclass
 class LoadResult:
-    """``skipped`` files are older than the table's last one; they are named and not logged."""
+    """``files`` were loaded, ``again`` read once more behind late ones; ``before_start`` files
+    are older than the start of a first run and never loaded."""
 
     files: int = 0
-    skipped: int = 0
-    skipped_paths: list[str] = field(default_factory=list)
+    again: int = 0
+    before_start: int = 0
 
 
-def _start_log(spark: SparkSession, spec: LoadSpec, now: dt.datetime) -> None:
-    """First run: remember the initial watermark as a row of its own."""
+def _start_log(spark: SparkSession, spec: LoadSpec, now: dt.datetime) -> int:
+    """First run: remember the initial watermark as a row of its own; how many files are older."""
     if read_process_log(spark, spec.log_path) is not None:
-        return
+        return 0
     if spec.initial_days is not None:
         start = initial_watermark(instant(now), spec.initial_days)
     else:
@@ -111,6 +114,10 @@ def _start_log(spark: SparkSession, spec: LoadSpec, now: dt.datetime) -> None:
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in PROCESS_LOG.fields]
     row = spark.range(1).select(*empty).withColumn("ArchiveDatetimeUTC", start)
     append_process_log(row, spec.log_path)
+    archive_log = read_archive_log(spark, spec.archive_log_path)
+    if archive_log is None or (spec.initial is None and spec.initial_days is None):
+        return 0
+    return visible_files(archive_log).where(F.col("ArchiveDatetimeUTC") <= start).count()
 
 
 def pending_batches(
@@ -220,52 +227,109 @@ def _touched(target: DataFrame, rows: DataFrame, spec: LoadSpec) -> DataFrame:
     return touched
 
 
-def load_scd1(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = None) -> LoadResult:
-    """Bring a current-image table up to date with all pending files.
+def _stamp(file: Row) -> str:
+    return file["ArchiveDatetimeUTC"].astimezone(dt.timezone.utc).isoformat(timespec="microseconds")
 
-    A batch of files is folded in one pass.  With an update filter, whose outcome
-    depends on every intermediate state, files are merged one after another.  Files
-    that turn up with an older stamp than the table only change rows that do not
-    stem from a later file.
+
+def _order(file: Row) -> tuple:
+    """The load order, for files from two lists."""
+    modified = file["OriginalModificationTime"]
+    return file["ArchiveDatetimeUTC"], modified is not None, modified or dt.datetime.min, file["ArchiveFilePath"]
+
+
+def _to_apply(
+    spark: SparkSession, spec: LoadSpec, table: LakeTable, files: list[Row]
+) -> tuple[list[Row], list[Row], dt.datetime | None]:
+    """Files to apply in load order, those of them applied before, and where the table is late.
+
+    A file stamped no later than the table's last one belongs between files that were applied
+    already: all from its stamp on are applied again, so that the order of arrival makes no
+    difference.  Files that are in the table but were not logged, after a crash, are passed over.
     """
+    known = set() if spec.include_previous else table.paths()
+    todo = [f for f in files if f["ArchiveFilePath"] not in known]
+    applied = table.applied()
+    if not todo or applied is None or _stamp(todo[0]) > applied:
+        return todo, [], None
+    first = todo[0]["ArchiveDatetimeUTC"]
+    process_log = read_process_log(spark, spec.log_path)
+    done = process_log.where(F.col("ArchiveFilePath").isNotNull()).select("ArchiveFilePath").distinct()
+    later = since(visible_files(read_archive_log(spark, spec.archive_log_path)), F.lit(first), True)
+    new = {f["ArchiveFilePath"] for f in todo}
+    again = {f["ArchiveFilePath"]: f for f in members(later, done, ["ArchiveFilePath"], salts=1).collect()}
+    again |= {f["ArchiveFilePath"]: f for f in files if f["ArchiveFilePath"] in known and _order(f) >= _order(todo[0])}
+    repeated = [f for path, f in again.items() if path not in new]
+    return sorted([*todo, *repeated], key=_order), repeated, first
+
+
+def _load(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None, table: LakeTable, apply) -> LoadResult:
+    """Batch after batch: apply what is pending, and what belongs after it, then log it."""
     now = now or dt.datetime.now(dt.timezone.utc)
-    table = LakeTable(spark, spec.target_path, spec.partition_by)
-    result = LoadResult()
+    result = LoadResult(before_start=_start_log(spark, spec, now))
     for files in pending_batches(spark, spec, now):
-        applied = table.applied()
-        late = [f for f in files if applied and _stamp(f) < applied]
-        timely = [f for f in files if not applied or _stamp(f) >= applied]
-        one_by_one = spec.update_filter is not None or not spec.null_safe
-        steps = [[f] for f in late] + ([[f] for f in timely] if one_by_one else [timely] if timely else [])
-        for step in steps:
-            _scd1_step(spark, spec, table, step, now, late=bool(applied) and _stamp(step[0]) < applied, fold=not one_by_one)
+        ordered, again, late = _to_apply(spark, spec, table, files)
+        if ordered:
+            apply(ordered, again, late, now)
         _commit(spark, spec, files, now)
-        result.files += len(files)
+        result.files += len(ordered) - len(again)
+        result.again += len(again)
     _finish(table, spec)
     return result
 
 
-def _scd1_step(spark, spec, table, files, now, late: bool, fold: bool) -> None:
-    with _source(spark, spec, files, now) as (rows, order):
-        _scd1_apply(spec, table, files, rows, order, late, fold)
+def _mark(table: LakeTable, files: list[Row], last: bool = True) -> dict:
+    """What the table remembers: the last stamp in it, and the files of a finished batch."""
+    stamp = max(filter(None, [table.applied(), *map(_stamp, files)]))
+    return {"applied": stamp, "paths": [f["ArchiveFilePath"] for f in files] if last else []}
 
 
-def _scd1_apply(spec, table, files, rows, order, late: bool, fold: bool) -> None:
+def _steps(files: list[Row], fold: bool) -> Iterator[tuple[list[Row], bool]]:
+    """All files at once or one by one, each step with whether it is the last."""
+    if fold:
+        yield files, True
+        return
+    for i, file in enumerate(files, 1):
+        yield [file], i == len(files)
+
+
+def load_scd1(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = None) -> LoadResult:
+    """Bring a current-image table up to date with all pending files.
+
+    A batch of files is folded in one pass.  With an update filter, whose outcome
+    depends on every intermediate state, files are merged one after another.  Behind a
+    file that turns up late, rows of later files are taken from those files again.
+    """
+    table = LakeTable(spark, spec.target_path, spec.partition_by)
+    fold = spec.update_filter is None and spec.null_safe
+
+    def apply(files, again, late, now) -> None:
+        for step, last in _steps(files, fold):
+            with _source(spark, spec, step, now) as (rows, order):
+                mark = _mark(table, files if last else step, last)
+                _scd1_apply(spark, spec, table, step, rows, order, again if fold else [], mark, fold)
+
+    return _load(spark, spec, now, table, apply)
+
+
+def _scd1_apply(spark, spec, table, files, rows, order, again, mark, fold: bool) -> None:
     target = table.read()
+    if again and target is not None:
+        # What stems from files that are read again is decided anew.
+        paths = spark.createDataFrame([(f["ArchiveFilePath"],) for f in again], f"{ARCHIVE_FILE} string")
+        earlier = lambda part: members(part, paths, [ARCHIVE_FILE], "left_anti")
+    else:
+        earlier = lambda part: part
 
     def state(part: DataFrame | None) -> DataFrame:
-        if fold and not late:
-            return scd1_fold(part, rows, spec.bk, order, chunk_files=_chunk(spec, files), **_options(spec))
-        return scd1_merge(part, rows, spec.bk, newer_only=late, **_merge_options(spec))
+        if fold:
+            return scd1_fold(earlier(part), rows, spec.bk, order, chunk_files=_chunk(spec, files), **_options(spec))
+        return scd1_merge(part, rows, spec.bk, **_merge_options(spec))
 
-    applied = max(filter(None, [table.applied(), _stamp(files[-1])]))
     if target is None or not spec.partition_by:
-        table.write(state(target), applied)
+        table.write(state(target), **mark)
     else:
         touched = _touched(target, rows, spec)
-        table.replace(
-            lambda parts: state(restrict_partitions(target, parts, spec.partition_by)), touched, applied
-        )
+        table.replace(lambda parts: state(restrict_partitions(target, parts, spec.partition_by)), touched, **mark)
 
 
 def _chunk(spec: LoadSpec, files: list[Row]) -> int | None:
@@ -273,60 +337,41 @@ def _chunk(spec: LoadSpec, files: list[Row]) -> int | None:
     return spec.chunk_files if spec.chunk_files and len(files) > spec.chunk_files else None
 
 
-def _stamp(file: Row) -> str:
-    return file["ArchiveDatetimeUTC"].astimezone(dt.timezone.utc).isoformat(timespec="microseconds")
-
-
-def _unapplied(table: LakeTable, files: list[Row]) -> list[Row]:
-    """Files newer than the last one in the table: history is never replayed onto itself."""
-    applied = table.applied()
-    return [f for f in files if applied is None or _stamp(f) > applied]
-
-
-def _report(spec: LoadSpec, result: LoadResult, skip: set[str], files: list[Row], todo: list[Row]) -> None:
-    done = {f["ArchiveFilePath"] for f in todo}
-    left = [f["ArchiveFilePath"] for f in files if f["ArchiveFilePath"] not in done]
-    skip.update(left)
-    result.files += len(todo)
-    result.skipped += len(left)
-    result.skipped_paths += left
-
-
 def load_scd2(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = None) -> LoadResult:
     """Bring a full-history table up to date with all pending files.
 
     Full extracts are folded in one pass; files that speak for slices only
     (``delete_filter``) are merged in order.  The table is partitioned by the date a
     version ended, so a load reads and rewrites the current versions and the dates it
-    closes versions on, and leaves older history alone.
+    closes versions on, and leaves older history alone.  For a file that turns up late the
+    history is taken back to its time, and later files are applied again.
     """
-    now = now or dt.datetime.now(dt.timezone.utc)
     table = LakeTable(spark, spec.target_path, [END_DATE, *spec.partition_by])
-    result, skip = LoadResult(), set()
-    for files in pending_batches(spark, spec, now, skip):
-        todo = _unapplied(table, files)
-        fold = not spec.delete_filter and not spec.update_filter and spec.null_safe
-        for step in ([todo] if todo else []) if fold else [[f] for f in todo]:
-            _scd2_step(spark, spec, table, step, now, fold)
-        if todo:
-            _commit(spark, spec, todo, now)
-        _report(spec, result, skip, files, todo)
-    _finish(table, spec)
-    return result
+    fold = not spec.delete_filter and not spec.update_filter and spec.null_safe
 
+    def apply(files, again, late, now) -> None:
+        for step, last in _steps(files, fold):
+            with _source(spark, spec, step, now) as (rows, order):
+                mark = _mark(table, files if last else step, last)
+                _scd2_apply(spark, spec, table, step, rows, order, late, mark, fold)
+            late = None
 
-def _scd2_step(spark, spec, table, files, now, fold: bool) -> None:
-    with _source(spark, spec, files, now) as (rows, order):
-        _scd2_apply(spark, spec, table, files, rows, order, fold)
+    return _load(spark, spec, now, table, apply)
 
 
-def _scd2_apply(spark, spec, table, files, rows, order, fold: bool) -> None:
+def _scd2_apply(spark, spec, table, files, rows, order, late, mark, fold: bool) -> None:
     target = table.read()
     ended = order.select(utc_clock(column(ARCHIVED)).cast("date").alias(END_DATE)).distinct().collect()
-    dates = sorted({_OPEN_DATE, *(r[0] for r in ended)})
+    dates = {_OPEN_DATE, *(r[0] for r in ended)}
     part = None
     if target is not None:
-        part = target.where(F.col(END_DATE).isin(dates)).drop(END_DATE)
+        if late is not None:
+            since_day = utc_clock(F.lit(late)).cast("date")
+            later = target.where(F.col(END_DATE) >= since_day).select(END_DATE).distinct()
+            dates |= {r[0] for r in later.collect()}
+        part = target.where(F.col(END_DATE).isin(sorted(dates))).drop(END_DATE)
+        if late is not None:
+            part = scd2_rewind(part, F.lit(late))
     if fold:
         state = scd2_from_snapshots(
             rows, spec.bk, target=part, snapshots=order, chunk_files=_chunk(spec, files), **_options(spec)
@@ -343,11 +388,11 @@ def _scd2_apply(spark, spec, table, files, rows, order, fold: bool) -> None:
         )
     ended_on = utc_clock(column(END)).cast("date")
     state = state.withColumn(END_DATE, F.when(column(CURRENT), F.lit(_OPEN_DATE)).otherwise(ended_on))
-    touched = spark.createDataFrame([(d,) for d in dates], f"{END_DATE} date")
+    touched = spark.createDataFrame([(d,) for d in sorted(dates)], f"{END_DATE} date")
     if target is None:
-        table.write(state, _stamp(files[-1]))
+        table.write(state, **mark)
     else:
-        table.replace(lambda _: state, touched, _stamp(files[-1]))
+        table.replace(lambda _: state, touched, **mark)
 
 
 def load_fact(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = None) -> LoadResult:
@@ -355,20 +400,14 @@ def load_fact(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = Non
 
     Full extracts are folded in one pass while the files bring every table column;
     files that speak for slices only are merged in order, each rewriting just the
-    partitions it touches.
+    partitions it touches.  Behind a file that turns up late, later files are applied again.
     """
-    now = now or dt.datetime.now(dt.timezone.utc)
     table = LakeTable(spark, spec.target_path, spec.partition_by)
-    result, skip = LoadResult(), set()
-    for files in pending_batches(spark, spec, now, skip):
-        todo = _unapplied(table, files)
-        if todo:
-            _fact_steps(spark, spec, table, todo, now)
-        if todo:
-            _commit(spark, spec, todo, now)
-        _report(spec, result, skip, files, todo)
-    _finish(table, spec)
-    return result
+
+    def apply(files, again, late, now) -> None:
+        _fact_steps(spark, spec, table, files, now)
+
+    return _load(spark, spec, now, table, apply)
 
 
 def _fact_steps(spark, spec, table, files, now) -> None:
@@ -380,14 +419,14 @@ def _fact_steps(spark, spec, table, files, now) -> None:
                 state = fact_fold(
                     target, rows, spec.bk, now, snapshots=order, chunk_files=chunk, **_options(spec)
                 )
-                table.write(state, _stamp(files[-1]))
+                table.write(state, **_mark(table, files))
                 return
-    for file in files:
-        with _source(spark, spec, [file], now) as (rows, _):
-            _fact_apply(spec, table, file, _with_delete_time(rows, spec), now)
+    for step, last in _steps(files, False):
+        with _source(spark, spec, step, now) as (rows, _):
+            _fact_apply(spec, table, _mark(table, files if last else step, last), _with_delete_time(rows, spec), now)
 
 
-def _fact_apply(spec, table, file, rows, now) -> None:
+def _fact_apply(spec, table, mark, rows, now) -> None:
     target = table.read()
     merge = {
         "delete": "filtered" if spec.delete_filter else "full",
@@ -395,14 +434,14 @@ def _fact_apply(spec, table, file, rows, now) -> None:
         **_merge_options(spec),
     }
     if target is None or not spec.partition_by or not spec.delete_filter:
-        table.write(fact_merge(target, rows, spec.bk, now, **merge), _stamp(file))
+        table.write(fact_merge(target, rows, spec.bk, now, **merge), **mark)
         return
     table.replace(
         lambda parts: fact_merge(
             restrict_partitions(target, parts, spec.partition_by), rows, spec.bk, now, **merge
         ),
         _touched(target, rows, spec),
-        _stamp(file),
+        **mark,
     )
 
 

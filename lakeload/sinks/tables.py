@@ -46,7 +46,7 @@ def replace_partitions(
     touched: DataFrame,
     partition_by: Sequence[str],
     schema: T.StructType | None = None,
-    applied: str | None = None,
+    notes: dict | None = None,
 ) -> None:
     """Give the touched partitions of a folder the content ``state_of(touched)``.
 
@@ -60,24 +60,26 @@ def replace_partitions(
     touched.distinct().write.parquet(f"{stage}/touched")
     df = state_of(spark.read.schema(touched.schema).parquet(f"{stage}/touched"))
     if schema is None:
-        save_meta(spark, f"{stage}/meta", {"schema": df.schema.jsonValue(), "applied": applied})
+        save_meta(spark, f"{stage}/meta", {"schema": df.schema.jsonValue(), **(notes or {})})
     write_balanced(df, f"{stage}/data", partition_by)
     _apply_stage(spark, path, stage, partition_by, schema or df.schema)
 
 
 def restrict_partitions(df: DataFrame, touched: DataFrame, columns: Sequence[str], limit: int = 1000) -> DataFrame:
-    """Rows in the touched partitions.
+    """Rows in the touched partitions; the join makes the result exact in any case."""
+    return members(name_partitions(df, touched, columns, limit), touched, columns)
 
-    Up to ``limit`` values are named in a filter, so that the scan lists and reads
-    only their folders; the join makes the result exact in any case.
-    """
+
+def name_partitions(df: DataFrame, touched: DataFrame, columns: Sequence[str], limit: int = 1000) -> DataFrame:
+    """Up to ``limit`` touched values named in a filter, so that the scan lists and reads only
+    their folders; beyond that all of ``df``."""
     few = touched.select(*[column(c) for c in columns]).limit(limit + 1).collect()
     if len(few) <= limit:
         for i, name in enumerate(columns):
             values = {r[i] for r in few}
             named = column(name).isin([v for v in values if v is not None])
             df = df.where(named | column(name).isNull() if None in values else named)
-    return members(df, touched, columns)
+    return df
 
 
 def finish_replacements(
@@ -105,7 +107,7 @@ def _apply_stage(
     if storage.exists(path) and any("=" in f for f in storage.folders(path)):
         # Partitions that were touched but hold no rows any more.
         parts = [column(c) for c in partition_by]
-        old = spark.read.schema(schema).parquet(path)
+        old = name_partitions(spark.read.schema(schema).parquet(path), touched, touched.columns)
         folders = old.select(*parts, F.regexp_extract("_metadata.file_path", _FOLDER, 1).alias("__folder")).distinct()
         folders = members(folders, touched, touched.columns)
         left = members(folders, data.select(*parts).distinct(), partition_by, "left_anti")
@@ -179,7 +181,8 @@ class LakeTable:
 
     def meta(self) -> dict:
         """Column types as written (folder names alone would turn text like ``01`` into
-        numbers) and ``applied``, the stamp of the last load that went into the table."""
+        numbers), ``applied``, the last stamp in the table, and ``paths``, the files of the
+        last batch that went into it."""
         return load_meta(self.spark, f"{self.current}/_meta")
 
     def schema(self) -> T.StructType:
@@ -188,6 +191,9 @@ class LakeTable:
     def applied(self) -> str | None:
         return self.meta().get("applied") if self.exists() else None
 
+    def paths(self) -> set[str]:
+        return set(self.meta().get("paths") or ()) if self.exists() else set()
+
     def read(self) -> DataFrame | None:
         folder = self.current
         if folder is None:
@@ -196,19 +202,30 @@ class LakeTable:
             finish_replacements(self.spark, folder, self.partition_by, self.schema())
         return self.spark.read.schema(self.schema()).parquet(folder)
 
-    def write(self, df: DataFrame, applied: str | None = None) -> str:
-        """A new snapshot."""
+    def write(self, df: DataFrame, applied: str | None = None, paths: Sequence[str] = ()) -> str:
+        """A new snapshot.
+
+        Without partitions the rows are written as the plan deals them out: adaptive execution
+        sizes the tasks of its last shuffle, and another one would only move the table again.
+        """
         folder = self.folder((self.versions() or [0])[-1] + 1)
         self._storage.remove(folder)
-        save_meta(self.spark, f"{folder}/_meta", {"schema": df.schema.jsonValue(), "applied": applied})
-        write_balanced(df, folder, self.partition_by)
+        save_meta(self.spark, f"{folder}/_meta", {"schema": df.schema.jsonValue(), "applied": applied, "paths": list(paths)})
+        if self.partition_by:
+            write_balanced(df, folder, self.partition_by)
+        else:
+            df.write.mode("append").parquet(folder)
         return folder
 
     def replace(
-        self, state_of: Callable[[DataFrame], DataFrame], touched: DataFrame, applied: str | None = None
+        self,
+        state_of: Callable[[DataFrame], DataFrame],
+        touched: DataFrame,
+        applied: str | None = None,
+        paths: Sequence[str] = (),
     ) -> str:
         """New content of the touched partitions inside the current snapshot."""
-        replace_partitions(self.spark, self.current, state_of, touched, self.partition_by, applied=applied)
+        replace_partitions(self.spark, self.current, state_of, touched, self.partition_by, notes={"applied": applied, "paths": list(paths)})
         return self.current
 
     def compact(self) -> str | None:
@@ -220,7 +237,7 @@ class LakeTable:
             # The column types stay as they are, so the table's own notes do too.
             compact_partitions(self.spark, folder, self.partition_by, self.schema())
             return folder
-        return self.write(self.read(), self.applied())
+        return self.write(self.read().hint("rebalance"), self.applied(), sorted(self.paths()))
 
     def expire(self, keep: int = 1) -> list[str]:
         """Remove all but the newest complete snapshots, and incomplete ones before them."""

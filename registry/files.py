@@ -193,8 +193,8 @@ def archive_log_rows(spark, sf):
 # ---- archive to tables ---------------------------------------------------------------
 
 
-def customer_archive(spark, sf, purpose: str, fmt: str = "parquet") -> str:
-    """A lake whose archive holds the yearly customer extracts and their log."""
+def customer_archive(spark, sf, purpose: str, fmt: str = "parquet", log: bool = True) -> str:
+    """A lake whose archive holds the yearly customer extracts and, unless told otherwise, their log."""
     lake = shared_dir(spark, purpose)
     orders = x.table(spark, sf, "orders").withColumn("yr", F.year("o_orderdate"))
     rows = x.customers_of(orders, x.table(spark, sf, "customer"), ["yr"])
@@ -203,12 +203,24 @@ def customer_archive(spark, sf, purpose: str, fmt: str = "parquet") -> str:
         writer.options(header=True, encoding="ISO-8859-1").csv(f"{lake}/archive/data")
     else:
         writer.format(fmt).save(f"{lake}/archive/data")
-    log_files(spark, f"{lake}/archive/data", f"{lake}/archive/log")
+    if log:
+        log_files(spark, f"{lake}/archive/data", f"{lake}/archive/log")
     return lake
 
 
-def log_files(spark, data: str, log: str, every: str = "year") -> None:
-    """Archive-log rows of the files below a folder, stamped by their ``yr=`` (and ``mon=``) folder."""
+def loaded_late(spark, lake: str, load, spec: LoadSpec, late, **options) -> None:
+    """Load all files but the ``late`` ones, then those, whose stamps lie before the others'."""
+    for only in (~late, late):
+        log_files(spark, f"{lake}/archive/data", f"{lake}/archive/log", only=only)
+        load(spark, spec, **options)
+
+
+LATE = F.col("path").rlike("yr=(1994|1996)/")
+
+
+def log_files(spark, data: str, log: str, every: str = "year", only=None) -> None:
+    """Archive-log rows of the files below a folder, stamped by their ``yr=`` (and ``mon=``) folder;
+    ``only`` chooses by the path."""
     # Files of one write share their names; archive file names are unique.
     folders = [F.regexp_extract("path", f"{k}=([0-9]+)", 1) for k in ("yr", "mon")]
     yr = folders[0].cast("int")
@@ -217,6 +229,8 @@ def log_files(spark, data: str, log: str, every: str = "year") -> None:
     else:
         ts = F.make_timestamp(yr, folders[1].cast("int"), F.lit(28), F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))
     files = list_tree(spark, data).where(F.col("path").contains("yr="))
+    if only is not None:
+        files = files.where(only)
     rows = files.select(
         ts.alias("ArchiveDatetimeUTC"),
         *[v.alias(k) for k, v in archive_calendar(utc_clock(ts)).items()],
@@ -286,6 +300,41 @@ def load_scd1_json(spark, sf):
     return shown(LakeTable(spark, f"{lake}/table").read())
 
 
+@query("load_scd1_late", f"{_LAST_CHANGE_SQL} SELECT {_SHOWN} FROM r WHERE rn = 1")
+def load_scd1_late(spark, sf):
+    """Two of the extracts are logged after all others were loaded."""
+    lake = customer_archive(spark, sf, "scd1late", log=False)
+    loaded_late(spark, lake, load_scd1, spec_of(lake, partition_by="status"), LATE)
+    return shown(LakeTable(spark, f"{lake}/table", ["status"]).read())
+
+
+@query(
+    "load_first_run_lookback",
+    f"""{_LAST_CHANGE_SQL.replace("*, dense_rank() OVER (ORDER BY __ArchiveDatetimeUTC) AS seq FROM y",
+        "*, dense_rank() OVER (ORDER BY __ArchiveDatetimeUTC) AS seq FROM y WHERE __ArchiveDatetimeUTC > TIMESTAMP '1998-06-01 00:00:00'")}
+    SELECT {_SHOWN}, 0 + (SELECT count(DISTINCT __ArchiveDatetimeUTC) FROM y
+      WHERE __ArchiveDatetimeUTC <= TIMESTAMP '1998-06-01 00:00:00') AS before_start FROM r WHERE rn = 1""",
+)
+def load_first_run_lookback(spark, sf):
+    """A first run that starts some days ago tells how many extracts are older."""
+    lake = customer_archive(spark, sf, "lookback")
+    days = (NOW.date() - dt.date(1998, 6, 1)).days
+    result = load_scd1(spark, spec_of(lake, initial=None, initial_days=days), NOW)
+    stamps = read_archive_log(spark, f"{lake}/archive/log").where("ArchiveDatetimeUTC <= '1998-06-01'")
+    if result.before_start != stamps.count():
+        raise AssertionError("the files left out are not counted")
+    left = stamps.select(F.count_distinct("ArchiveDatetimeUTC").alias("before_start"))
+    return shown(LakeTable(spark, f"{lake}/table").read()).withColumn("before_start", left.scalar())
+
+
+@query("load_first_run_all", f"{_LAST_CHANGE_SQL} SELECT {_SHOWN} FROM r WHERE rn = 1")
+def load_first_run_all(spark, sf):
+    """Without a start a first run takes all extracts, however old."""
+    lake = customer_archive(spark, sf, "firstall")
+    load_scd1(spark, spec_of(lake, initial=None), NOW)
+    return shown(LakeTable(spark, f"{lake}/table").read())
+
+
 _VALID = f"{START}, {END}, __Current"
 
 
@@ -298,6 +347,44 @@ def load_scd2_query(spark, sf):
     return shown(table, START, END, "__Current")
 
 
+@query("load_scd2_late", f"{HISTORY_SQL} SELECT {_SHOWN}, {_VALID} FROM h")
+def load_scd2_late(spark, sf):
+    """The history is taken back to the late extracts' times and continued from there."""
+    lake = customer_archive(spark, sf, "scd2late", log=False)
+    loaded_late(spark, lake, load_scd2, spec_of(lake), LATE)
+    return shown(LakeTable(spark, f"{lake}/table", [END_DATE]).read(), START, END, "__Current")
+
+
+@query(
+    "load_scd2_drifting",
+    f"""WITH {x.NUMBERED_YEARS_SQL},
+    d AS (SELECT * REPLACE (CASE WHEN __ArchiveDatetimeUTC > TIMESTAMP '1996-06-01 00:00:00' THEN segment END AS segment) FROM n),
+    l AS (SELECT *, lag(seq) OVER w AS ps, lag(segment) OVER w AS pg, lag(name) OVER w AS pn, lag(status) OVER w AS pt
+          FROM d WINDOW w AS (PARTITION BY custkey ORDER BY seq)),
+    g AS (SELECT *, sum(CASE WHEN ps = seq - 1 AND pg IS NOT DISTINCT FROM segment AND pn IS NOT DISTINCT FROM name
+                               AND pt IS NOT DISTINCT FROM status THEN 0 ELSE 1 END)
+               OVER (PARTITION BY custkey ORDER BY seq) AS run FROM l),
+    f AS (SELECT custkey, min(name) AS name, min(segment) AS segment, min(status) AS status, min(seq) AS lo, max(seq) AS hi
+          FROM g GROUP BY custkey, run),
+    t AS (SELECT DISTINCT seq, __ArchiveDatetimeUTC AS ts FROM n)
+    SELECT custkey, name, segment, status, a.ts AS {START},
+      coalesce(b.ts, TIMESTAMP '9999-12-31 00:00:00') AS {END}, b.ts IS NULL AS __Current
+    FROM f JOIN t a ON a.seq = f.lo LEFT JOIN t b ON b.seq = f.hi + 1""",
+)
+def load_scd2_drifting(spark, sf):
+    """Early extracts lack a column; the bounds of batches make no versions."""
+    lake = shared_dir(spark, "scd2drift")
+    orders = x.table(spark, sf, "orders").withColumn("yr", F.year("o_orderdate"))
+    rows = x.customers_of(orders, x.table(spark, sf, "customer"), ["yr"])
+    early = F.col("yr") < 1996
+    for part in (rows.where(early).drop("segment"), rows.where(~early)):
+        part.repartition("yr").write.mode("append").partitionBy("yr").parquet(f"{lake}/archive/data")
+    log_files(spark, f"{lake}/archive/data", f"{lake}/archive/log")
+    load_scd2(spark, spec_of(lake, hash_mode="safe", max_files=2))
+    table = LakeTable(spark, f"{lake}/table", [END_DATE]).read()
+    return table.select("custkey", "name", "segment", "status", utc(F.col(START)).alias(START), utc(F.col(END)).alias(END), "__Current")
+
+
 _FACT_SQL = f"""WITH {x.NUMBERED_YEARS_SQL},
     c AS (SELECT *, lag(__HashDiff) OVER w AS ph, lag(seq) OVER w AS ps, max(seq) OVER (PARTITION BY custkey) AS hi,
                  (SELECT max(seq) FROM n) AS final FROM n WINDOW w AS (PARTITION BY custkey ORDER BY seq)),
@@ -345,6 +432,49 @@ def load_fact_sliced(spark, sf):
     return table.select("o_orderkey", "o_custkey", "o_orderpriority", "yr", "mon", utc(F.col(DELETED)).alias(DELETED))
 
 
+@query("load_fact_late", _FACT_SQL)
+def load_fact_late(spark, sf):
+    """Late full extracts: the later ones decide again what exists."""
+    lake = customer_archive(spark, sf, "factlate", log=False)
+    loaded_late(spark, lake, load_fact, spec_of(lake), LATE, now=NOW)
+    return shown(LakeTable(spark, f"{lake}/table").read(), DELETED)
+
+
+def _entered(spark, sf) -> DataFrame:
+    orders = x.table(spark, sf, "orders")
+    return orders.select("o_orderkey", "o_orderpriority", F.month("o_orderdate").alias("mon"))
+
+
+@query(
+    "load_fact_late_slice",
+    """SELECT o_orderkey, o_orderpriority, CAST(month(o_orderdate) AS INTEGER) AS mon,
+      CASE WHEN o_orderpriority = '1-URGENT' AND month(o_orderdate) % 2 = 1
+           THEN TIMESTAMP '2023-03-01 08:30:00' END AS __DeletedDatetimeUTC FROM orders""",
+)
+def load_fact_late_slice(spark, sf):
+    """Urgent orders vanish in a late extract, and the even months, named later, have them again."""
+    lake = shared_dir(spark, "factlateslice")
+    orders = _entered(spark, sf)
+    for year, part in ((2001, orders), (2002, orders.where("o_orderpriority <> '1-URGENT'")), (2003, orders.where("mon % 2 = 0"))):
+        part.coalesce(1).write.parquet(f"{lake}/archive/data/yr={year}")
+    spec = spec_of(lake, bk="o_orderkey", delete_filter="mon", partition_by="mon")
+    loaded_late(spark, lake, load_fact, spec, F.col("path").contains("yr=2002/"), now=NOW)
+    table = LakeTable(spark, f"{lake}/table", ["mon"]).read()
+    return table.select("o_orderkey", "o_orderpriority", "mon", utc(F.col(DELETED)).alias(DELETED))
+
+
+@query("load_fact_equal_stamp", "SELECT o_orderkey, o_orderpriority, false AS deleted FROM orders")
+def load_fact_equal_stamp(spark, sf):
+    """Two halves of one extract bear one stamp; the second is logged after the first was loaded."""
+    lake = shared_dir(spark, "factequal")
+    orders = _entered(spark, sf)
+    for half in (0, 1):
+        orders.where(F.col("o_orderkey") % 2 == half).coalesce(1).write.parquet(f"{lake}/archive/data/yr=2001/half={half}")
+    loaded_late(spark, lake, load_fact, spec_of(lake, bk="o_orderkey"), F.col("path").contains("half=1/"), now=NOW)
+    table = LakeTable(spark, f"{lake}/table").read()
+    return table.select("o_orderkey", "o_orderpriority", F.col(DELETED).isNotNull().alias("deleted"))
+
+
 @query(
     "load_scd1_frame",
     "SELECT s_suppkey, s_name, s_nationkey, sha256(concat_ws('||', s_suppkey, s_name, s_nationkey)) AS __HashDiff FROM supplier",

@@ -13,6 +13,7 @@ from lakeload.operators import (
     scd2_current,
     scd2_from_snapshots,
     scd2_merge,
+    scd2_rewind,
 )
 from lakeload.schemas import ARCHIVED, END, START
 from registry import extracts as x
@@ -179,6 +180,18 @@ def scd2_snapshots_onto_table(spark, sf):
     )
 
 
+@query(
+    "scd2_rewind",
+    f"""{HISTORY_SQL} SELECT * REPLACE (
+      CASE WHEN {END} >= TIMESTAMP '2000-06-01 00:00:00' THEN {OPEN} ELSE {END} END AS {END},
+      {END} >= TIMESTAMP '2000-06-01 00:00:00' AS __Current) FROM h
+    WHERE {START} < TIMESTAMP '2000-06-01 00:00:00'""",
+)
+def scd2_rewind_query(spark, sf):
+    """The history as it was when only the early extracts were known."""
+    return scd2_rewind(history(spark, sf), x.stamp("2000-06-01 00:00:00"))
+
+
 @query("scd2_reappear", f"{HISTORY_SQL} SELECT * FROM h")
 def scd2_reappear(spark, sf):
     """The later extracts merged one by one: vanished customers come back as new versions."""

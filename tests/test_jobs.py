@@ -211,16 +211,51 @@ def test_first_run_takes_all_files_by_default(spark, archive):
     assert load_scd1(spark, archive.spec(initial=None)).files == 1
 
 
-def test_late_files_of_a_history_are_named_and_not_logged(spark, archive):
-    archive.parquet(0, [(1, "a", "x")])
-    archive.parquet(2, [(1, "c", "x")])
-    spec = archive.spec(pending_by="absence")
-    assert load_scd2(spark, spec).files == 2
-    archive.parquet(1, [(1, "b", "x")])
-    for _ in range(2):
-        result = load_scd2(spark, spec)
-        assert (result.files, result.skipped, len(result.skipped_paths)) == (0, 1, 1)
-    assert read_process_log(spark, spec.log_path).where("ArchiveFilePath IS NOT NULL").count() == 2
+FILES = {
+    0: [(1, "a", "x"), (2, "b", "x"), (4, "d", "y")],
+    1: [(1, "b", "x"), (3, "c", "x"), (4, "d", "y")],
+    2: [(1, "a", "x"), (2, "b", "x"), (4, "e", "y")],
+    3: [(1, "a", "x"), (2, "b2", "x"), (3, "c", "x")],
+}
+SHOWN = {
+    load_scd1: ["k", "a", "d", "__ArchiveDatetimeUTC"],
+    load_scd2: ["k", "a", "d", "__StartDatetimeUTC", "__EndDatetimeUTC", "__Current"],
+    load_fact: ["k", "a", "d", "__ArchiveDatetimeUTC", f"{DELETED} IS NULL"],
+}
+
+
+@pytest.mark.parametrize("load", [load_scd1, load_scd2, load_fact])
+@pytest.mark.parametrize("delete_filter", ["", "d"])
+def test_the_order_of_arrival_makes_no_difference(spark, lake, load, delete_filter):
+    def state(folder, steps):
+        files = Archive(spark, f"{lake}/{folder}")
+        spec = files.spec(delete_filter=delete_filter)
+        for step in steps:
+            for n in step:
+                files.parquet(n, FILES[n], "k int, a string, d string")
+            load(spark, spec)
+        log = read_process_log(spark, spec.log_path).where("ArchiveFilePath IS NOT NULL")
+        assert log.count() == log.select("ArchiveFilePath").distinct().count() == len(FILES)
+        table = LakeTable(spark, spec.target_path, [END_DATE] if load is load_scd2 else [])
+        return sorted(map(repr, table.read().selectExpr(*SHOWN[load]).collect()))
+
+    assert state("late", [[3], [0], [2, 1]]) == state("timely", [[0, 1, 2, 3]])
+
+
+@pytest.mark.parametrize("load", [load_scd1, load_scd2, load_fact])
+def test_batches_of_drifting_files_make_no_difference(spark, lake, load):
+    def state(max_files):
+        files = Archive(spark, f"{lake}/{max_files}")
+        files.parquet(0, [(1, "a"), (2, "b")], "k int, a string")
+        files.parquet(1, [(1, "a"), (2, "b2")], "k int, a string")
+        files.parquet(2, [(1, "a", None), (2, "b2", "new")])
+        files.parquet(3, [(1, "a", None), (2, "b2", "new")])
+        spec = files.spec(max_files=max_files)
+        assert load(spark, spec).files == 4
+        table = LakeTable(spark, spec.target_path, [END_DATE] if load is load_scd2 else [])
+        return sorted(map(repr, table.read().selectExpr(*SHOWN[load]).collect()))
+
+    assert state(1) == state(2) == state(10)
 
 
 def test_first_run_skips_files_before_the_initial_watermark(spark, archive):
@@ -244,7 +279,7 @@ def test_history_is_not_replayed_after_a_crash_before_the_log(spark, archive, de
     # The process log was lost: all files are pending again, and all are in the table.
     lost = archive.spec(delete_filter=delete_filter, partition_by="d", target_log_path=f"{archive.root}/other")
     result = load_scd2(spark, lost)
-    assert (result.files, result.skipped) == (0, 2)
+    assert (result.files, result.again) == (0, 0)
     assert rows(table.read(), *show) == want
 
 

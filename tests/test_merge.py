@@ -70,12 +70,6 @@ def test_update_filter_sees_both_sides(extract_of):
     assert rows(got, "k", "a") == [(1, "same"), (2, "new"), (3, "gone"), (4, "fresh")]
 
 
-def test_newer_only_keeps_rows_of_later_files(extract_of):
-    target = extract_of(5, [(1, "late", "x"), (2, "late", "x")]).union(extract_of(1, [(3, "early", "x")]))
-    got = scd1_merge(target, extract_of(2, [(1, "old", "x"), (3, "mid", "x"), (4, "new", "x")]), ["k"], newer_only=True)
-    assert rows(got, "k", "a") == [(1, "late"), (2, "late"), (3, "mid"), (4, "new")]
-
-
 def test_duplicate_keys_fail_or_reduce(extract_of):
     source = extract_of(1, [(1, "a", "1"), (1, "b", "2"), (2, "c", "1")])
     with pytest.raises(Exception, match="several source rows"):
