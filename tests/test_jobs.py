@@ -220,7 +220,7 @@ FILES = {
 SHOWN = {
     load_scd1: ["k", "a", "d", "__ArchiveDatetimeUTC"],
     load_scd2: ["k", "a", "d", "__StartDatetimeUTC", "__EndDatetimeUTC", "__Current"],
-    load_fact: ["k", "a", "d", "__ArchiveDatetimeUTC", f"{DELETED} IS NULL"],
+    load_fact: ["k", "a", "d", f"{DELETED} IS NULL"],
 }
 
 
