@@ -501,8 +501,12 @@ def skip_ignorable(spark, sf):
     """A file set aside by its operator is in no batch of files to load."""
     lake = customer_archive(spark, sf, "ignore")
     commit_ignorable(spark, f"{lake}/archive/log", "ArchiveYearUTC = 1998", "broken")
-    batch = next(pending_batches(spark, spec_of(lake), NOW))
-    files = spark.createDataFrame([(f["ArchiveDatetimeUTC"],) for f in batch], "ArchiveDatetimeUTC timestamp")
+    seen: set[str] = set()
+    stamps = []
+    for batch in pending_batches(spark, spec_of(lake), NOW, seen):
+        stamps += [(f["ArchiveDatetimeUTC"],) for f in batch]
+        seen.update(f["ArchiveFilePath"] for f in batch)
+    files = spark.createDataFrame(stamps, "ArchiveDatetimeUTC timestamp")
     return files.select(utc(F.col("ArchiveDatetimeUTC")).alias("ArchiveDatetimeUTC"))
 
 
