@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,3 +136,186 @@ def simhash_groups(
     return rows.join(members, "fingerprint").select(
         id_col, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+#: Bits of a sketch, a long fingerprint.  Its ring has a segment a byte; three segments without a
+#: difference are a join key, and eight are read ahead for the budgets of longer chains.
+SKETCH_BITS, KEY_SEGMENTS, AHEAD = 1024, 3, 8
+#: Share of bits that may differ.  At a similarity of 0.8 between sets of one size the mean is
+#: 0.152 with a deviation of 0.011.
+APART = 0.2
+
+
+def shingle_set(text: bytes, size: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, ascending; fewer words: one of the whole sequence."""
+    return np.unique(np.frombuffer(shingle_hashes(text.lower().split(), size), ">u8").astype(np.uint64))
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """SimHash with ``SKETCH_BITS`` bits: each hash is stretched by a mixing function first."""
+    votes = np.zeros(SKETCH_BITS, np.int64)
+    steps = np.arange(1, SKETCH_BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for k in range(0, len(hashes), 255):
+        x = hashes[k : k + 255, None] + steps
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        # At most 255 ones a column, so a byte holds their number.
+        votes += np.unpackbits(x.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(votes * 2 > len(hashes)).tobytes()
+
+
+def _set_row(text: bytes, size: int) -> tuple:
+    hashes = shingle_set(text, size)
+    return xxhash.xxh3_128_digest(hashes.tobytes()), sketch(hashes)
+
+
+def _sketch_keys(nodes: DataFrame) -> DataFrame:
+    """``(node, place, ahead)``: for each segment of the ring its number with the key that starts
+    there, and the 64 bits from there on."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            width = SKETCH_BITS // 8
+            ring = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, width)
+            ring = np.concatenate([ring, ring[:, : AHEAD - 1]], axis=1)
+            ahead = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(ring, AHEAD, axis=1))
+            ahead = ahead.view(">u8").reshape(-1, width).astype(np.uint64)
+            place = (np.arange(width, dtype=np.uint64) << np.uint64(KEY_SEGMENTS * 8)) | (ahead >> np.uint64(64 - KEY_SEGMENTS * 8))
+            for k in range(0, len(ring), 64):
+                part = slice(k, k + 64)
+                rows = pa.array(np.repeat(np.arange(len(ring))[part], width))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), pa.array(place[part].ravel().view(np.int64)), pa.array(ahead[part].ravel().view(np.int64))],
+                    names=["node", "place", "ahead"],
+                )
+
+    return nodes.select("node", "sketch").mapInArrow(run, "node long, place long, ahead long")
+
+
+def _checked(pairs: DataFrame, nodes: DataFrame, column: str, test) -> DataFrame:
+    """The pairs ``(a, b)`` for which ``test(value of a, value of b)`` holds."""
+
+    def run(batches):
+        for batch in batches:
+            left, right = batch.column(2), batch.column(3)
+            good = [test(x.as_buffer(), y.as_buffer()) for x, y in zip(left, right, strict=True)]
+            kept = batch.filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+
+    one = nodes.select(F.col("node").alias("a"), F.col(column).alias("x"))
+    two = nodes.select(F.col("node").alias("b"), F.col(column).alias("y"))
+    full = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    return full.mapInArrow(run, "a long, b long")
+
+
+def _sketches_near(x, y) -> bool:
+    apart = np.bitwise_xor(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+    return int(np.bitwise_count(apart).sum()) <= APART * SKETCH_BITS
+
+
+def jaccard(x, y) -> float:
+    """Similarity of two sets given as ascending 64-bit numbers."""
+    one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return common / (len(one) + len(two) - common)
+
+
+def sketch_candidates(nodes: DataFrame, hot: int = 8, leaders: int = 4) -> DataFrame:
+    """Distinct pairs ``a < b`` of nodes whose sketches differ in at most ``APART`` of their bits,
+    found by pigeonring chains.
+
+    Two sketches meet where a chain of ``KEY_SEGMENTS`` segments has no difference.  There every
+    longer chain that can be read ahead must keep to its share of the budget, then the whole
+    distance is checked.  In a key of more than ``hot`` sketches each is held against ``leaders``
+    of them, others at other keys, instead of all: the rows grow with the members, not their pairs.
+    """
+    keyed = _sketch_keys(nodes)
+    crowds = keyed.groupBy("place").agg(F.count("*").alias("n")).where("n > 1")
+    keyed = staged(keyed.join(crowds, "place"), "sketch-keys")
+    few, many = keyed.where(F.col("n") <= hot), keyed.where(F.col("n") > hot)
+    # The smallest of each lot of members leads; lots are drawn anew at each key.
+    lot = F.pmod(F.xxhash64("node", "place"), F.lit(leaders)).alias("lot")
+    first = many.groupBy("place", lot).agg(F.min(F.struct("node", "ahead")).alias("led")).select("place", "led.*")
+    apart = F.col("ahead").bitwiseXOR(F.col("ahead2"))
+    within = F.lit(True)
+    for length in range(KEY_SEGMENTS + 1, AHEAD + 1):
+        within &= F.bit_count(F.shiftrightunsigned(apart, 64 - length * 8)) <= int(length * 8 * APART)
+
+    def met(members: DataFrame, others: DataFrame, order: Column) -> DataFrame:
+        others = others.select("place", F.col("node").alias("node2"), F.col("ahead").alias("ahead2"))
+        found = members.join(others, "place").where(order & within)
+        return found.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
+
+    pairs = met(few, few, F.col("node") < F.col("node2")).union(met(many, first, F.col("node") != F.col("node2")))
+    return _checked(pairs.distinct(), nodes, "sketch", _sketches_near)
+
+
+def _shingles_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``(node, shingles)`` of the nodes in pairs, hashed again from their first documents: only
+    these few sets are ever written or moved."""
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "same", "least")
+    paired = staged(paired, "paired")
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"))
+    texts = texts.join(paired.select("least").distinct(), F.col("doc").eqNullSafe(F.col("least")), "left_semi")
+
+    def hashed(bodies: list) -> list[tuple]:
+        found = [shingle_set(t, size).tobytes() for t in bodies]
+        return [(xxhash.xxh3_128_digest(x), x) for x in found]
+
+    again = per_document(texts, "doc", "body", hashed, "same binary, shingles binary", binary=True).select("same", "shingles")
+    return again.join(paired, "same").groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def near_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 5,
+    similarity: float = 0.8,
+    hot: int = 8,
+    leaders: int = 4,
+) -> DataFrame:
+    """``(id, component_id)`` of each row: the smallest id that links reach.  Two texts are linked
+    if their sketches meet (``sketch_candidates``) and the sets of their ``size``-word shingles, A-Z
+    in lower case, have at least the Jaccard ``similarity``, which is computed from the whole sets.
+
+    Texts of one shingle set are one node (by 128 bits of hash).  Candidates are checked in steps:
+    first each node with its smallest partner, again with the smallest one outside its component,
+    then all that still join two components; pairs inside one cannot change the result.
+
+    Null, empty and blank texts share the empty set, fewer words than a shingle count as one.  Rows
+    with a null id take part and get the smallest id, null if there is none.  Repeated rows get a
+    row each, an empty table none; other columns are not read.
+    """
+    rows = staged(
+        per_document(docs, id_col, text_col, lambda texts: [_set_row(t, size) for t in texts], "same binary, sketch binary", binary=True),
+        "sketches",
+    )
+    sets = rows.groupBy("same").agg(F.min(id_col).alias("least"), F.first("sketch").alias("sketch"))
+    # Numbered once, in a written table.
+    nodes = staged(sets.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    pairs = staged(sketch_candidates(nodes, hot, leaders), "sketch-pairs")
+    shingles = staged(_shingles_of(pairs, nodes, docs, id_col, text_col, size), "shingles")
+    links, roots = None, None
+    for step in range(3):
+        open_pairs = pairs
+        if roots is not None:
+            one, two = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+            known = pairs.join(one, "a", "left").join(two, "b", "left")
+            open_pairs = staged(
+                known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), "open-pairs"
+            )
+        if step < 2:
+            open_pairs = open_pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        found = staged(_checked(open_pairs, shingles, "shingles", lambda x, y: jaccard(x, y) >= similarity), "near-links")
+        links = found if links is None else links.union(found)
+        roots = staged(components(links).distinct(), "near-roots")
+    rooted = staged(
+        nodes.join(roots, "node", "left").select("same", "least", F.coalesce("root", "node").alias("root")), "rooted"
+    )
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    members = rooted.join(named, "root").select("same", "component_id")
+    return rows.select(id_col, "same").join(members, "same").select(id_col, "component_id")

@@ -191,6 +191,59 @@ def test_near_links_reach_what_all_pairs_reach(spark, distance, segments, hot):
     assert {s: got.get(s, s) for s in signed} == want
 
 
+def plain_set(text, size=5):
+    words = lowered(text or "").encode().split()
+    return {b" ".join(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
+
+
+def plain_near(texts, similarity=0.8):
+    """All pairs of ids whose five-word shingle sets are similar."""
+    sets = {i: plain_set(t) for i, t in texts.items()}
+    return [
+        (a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])
+    ]
+
+
+def test_near_copies(spark, docs, empty, rows):
+    texts = {i: t for i, t in rows if i is not None}
+    linked = plain_near(texts)
+    root = plain_components(texts, linked)
+    got = simhash.near_copies(docs).collect()
+    assert len(got) == len(rows) and any(texts[a] != texts[b] for a, b in linked)
+    assert all(r.component_id == root[r.doc_id] for r in got if r.doc_id is not None)
+    assert simhash.near_copies(empty).count() == 0
+
+
+@pytest.mark.parametrize("hot", [1, 8])
+def test_near_copies_of_a_crowd(spark, hot):
+    """Copies of two texts, each with two words changed, and texts that share half with one."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    one, two = [word() for _ in range(200)], [word() for _ in range(160)]
+    found = []
+    for base in (one, two):
+        for _ in range(40):
+            copy = list(base)
+            for _ in range(2):
+                copy[rng.randrange(len(copy))] = word()
+            found.append(" ".join(copy))
+    found += [" ".join(one[:100] + [word() for _ in range(100)]) for _ in range(10)]
+    texts = dict(enumerate(found))
+    root = plain_components(texts, plain_near(texts))
+    assert len(set(root.values())) == 12
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(frame, hot=hot).collect()} == root
+
+
+def test_sketch_and_similarity():
+    text = b" ".join(b"w%d" % (k % 700) for k in range(3000))
+    hashes = simhash.shingle_set(text, 5)
+    assert len(hashes) == 700 and simhash.sketch(hashes) == simhash.sketch(hashes[::-1])
+    assert simhash.jaccard(hashes.tobytes(), hashes[70:].tobytes()) == 0.9
+    assert simhash._sketches_near(simhash.sketch(hashes), simhash.sketch(hashes[70:]))
+    assert not simhash._sketches_near(simhash.sketch(hashes[:350]), simhash.sketch(hashes[350:]))
+
+
 def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 103), (103, 101), (7, 7)]
     got = {(r.node, r.root) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

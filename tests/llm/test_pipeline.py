@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from lakeload.llm.common import staged
-from tests.llm.test_operators import lowered, plain_components, plain_print, plain_repeats
+from tests.llm.test_operators import lowered, plain_components, plain_near, plain_repeats
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -33,8 +33,8 @@ def test_stages(spark):
     for i, t in sorted(good):
         first.setdefault(lowered(t), (i, t))
     assert sorted(rows_of(kept["exact_dedup"])) == sorted(first.values())
-    prints = {i: plain_print(t) for i, t in first.values()}
-    root = plain_components(prints, [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2])
+    texts = {i: t for i, t in first.values()}
+    root = plain_components(texts, plain_near(texts))
     near = [(i, t) for i, t in first.values() if root[i] == i]
     assert sorted(rows_of(kept["simhash_near_dedup"])) == sorted(near)
     want = plain_repeats(near)
