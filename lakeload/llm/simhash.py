@@ -223,36 +223,55 @@ def jaccard(x, y) -> float:
     return common / (len(one) + len(two) - common)
 
 
-def sketch_candidates(nodes: DataFrame, hot: int = 8, leaders: int = 4) -> DataFrame:
-    """Distinct pairs ``a < b`` of nodes whose sketches differ in at most ``APART`` of their bits,
-    found by pigeonring chains.
-
-    Two sketches meet where a chain of ``KEY_SEGMENTS`` segments has no difference.  There every
-    longer chain that can be read ahead must keep to its share of the budget, then the whole
-    distance is checked.  In a key of more than ``hot`` sketches each is held against ``leaders``
-    of them, others at other keys, instead of all: the rows grow with the members, not their pairs.
-    """
+def shared_keys(nodes: DataFrame) -> DataFrame:
+    """``(place, node, ahead, n)``: the keys of more than one sketch, ``n`` of them."""
     keyed = _sketch_keys(nodes)
     crowds = keyed.groupBy("place").agg(F.count("*").alias("n")).where("n > 1")
-    keyed = staged(keyed.join(crowds, "place"), "sketch-keys")
-    few, many = keyed.where(F.col("n") <= hot), keyed.where(F.col("n") > hot)
-    # The smallest of each lot of members leads; lots are drawn anew at each key.
-    lot = F.pmod(F.xxhash64("node", "place"), F.lit(leaders)).alias("lot")
-    first = many.groupBy("place", lot).agg(F.min(F.struct("node", "ahead")).alias("led")).select("place", "led.*")
+    return keyed.join(crowds, "place")
+
+
+def _led(members: DataFrame, lot: Column) -> DataFrame:
+    """The smallest node of each lot at each key."""
+    return members.groupBy("place", lot.alias("lot")).agg(F.min(F.struct(*[c for c in members.columns if c != "place"])).alias("led")).select("place", "led.*")
+
+
+def _met(members: DataFrame, others: DataFrame, condition: str) -> DataFrame:
+    """Distinct pairs ``a < b`` that share a key, where each longer chain that can be read ahead
+    keeps to its share of the budget too."""
+    others = others.select("place", *[F.col(c).alias(f"{c}2") for c in others.columns if c != "place"])
     apart = F.col("ahead").bitwiseXOR(F.col("ahead2"))
-    within = F.lit(True)
+    within = F.expr(condition)
     for length in range(KEY_SEGMENTS + 1, AHEAD + 1):
         within &= F.bit_count(F.shiftrightunsigned(apart, 64 - length * 8)) <= int(length * 8 * APART)
+    found = members.join(others, "place").where(within)
+    return found.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
-    def met(members: DataFrame, others: DataFrame, order: Column) -> DataFrame:
-        others = others.select("place", F.col("node").alias("node2"), F.col("ahead").alias("ahead2"))
-        found = members.join(others, "place").where(order & within)
-        return found.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
 
-    pairs = met(few, few, F.col("node") < F.col("node2")).union(met(many, first, F.col("node") != F.col("node2")))
+def sketch_candidates(keyed: DataFrame, nodes: DataFrame, hot: int, leaders: int) -> DataFrame:
+    """Pairs whose sketches differ in at most ``APART`` of their bits, found by pigeonring chains.
+
+    Two sketches meet where a chain of ``KEY_SEGMENTS`` segments has no difference; longer chains
+    and at last the whole distance are checked.  In a key of more than ``hot`` sketches each is
+    held against ``leaders`` of them, the same ones at many keys, so that the pairs grow with the
+    members.
+    """
+    few, many = keyed.where(F.col("n") <= hot), keyed.where(F.col("n") > hot)
+    led = _led(many, F.pmod(F.xxhash64("node"), F.lit(leaders)))
+    pairs = _met(few, few, "node < node2").union(_met(many, led, "node <> node2"))
     return _checked(pairs.distinct(), nodes, "sketch", _sketches_near)
 
 
+def crowd_candidates(keyed: DataFrame, nodes: DataFrame, roots: DataFrame, hot: int, leaders: int) -> DataFrame:
+    """As before, but only where a crowded key still joins several components: each member is held
+    against ``leaders`` members of other components, drawn anew at each key."""
+    many = keyed.where(F.col("n") > hot).join(roots, "node", "left")
+    many = many.select("place", "node", "ahead", F.coalesce("root", "node").alias("root"))
+    mixed = many.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("place")
+    many = staged(many.join(mixed, "place"), "mixed-keys")
+    led = _led(many, F.pmod(F.xxhash64("root", "place"), F.lit(leaders)))
+    return _checked(_met(many, led, "root <> root2"), nodes, "sketch", _sketches_near)
+
+
 def _shingles_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """``(node, shingles)`` of the nodes in pairs, hashed again from their first documents: only
     these few sets are ever written or moved."""
@@ -269,6 +288,13 @@ def _shingles_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: st
     return again.join(paired, "same").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
+def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs that join two components."""
+    one, two = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    return pairs.join(one, "a", "left").join(two, "b", "left").where(apart).select("a", "b")
+
+
 def near_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -284,7 +310,8 @@ def near_copies(
 
     Texts of one shingle set are one node (by 128 bits of hash).  Candidates are checked in steps:
     first each node with its smallest partner, again with the smallest one outside its component,
-    then all that still join two components; pairs inside one cannot change the result.
+    then all that still join two components; pairs inside one cannot change the result.  Crowded
+    keys that still join several components then get other leaders (``crowd_candidates``).
 
     Null, empty and blank texts share the empty set, fewer words than a shingle count as one.  Rows
     with a null id take part and get the smallest id, null if there is none.  Repeated rows get a
@@ -297,22 +324,19 @@ def near_copies(
     sets = rows.groupBy("same").agg(F.min(id_col).alias("least"), F.first("sketch").alias("sketch"))
     # Numbered once, in a written table.
     nodes = staged(sets.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    pairs = staged(sketch_candidates(nodes, hot, leaders), "sketch-pairs")
-    shingles = staged(_shingles_of(pairs, nodes, docs, id_col, text_col, size), "shingles")
+    keyed = staged(shared_keys(nodes), "sketch-keys")
     links, roots = None, None
-    for step in range(3):
-        open_pairs = pairs
-        if roots is not None:
-            one, two = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-            known = pairs.join(one, "a", "left").join(two, "b", "left")
-            open_pairs = staged(
-                known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), "open-pairs"
-            )
-        if step < 2:
-            open_pairs = open_pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        found = staged(_checked(open_pairs, shingles, "shingles", lambda x, y: jaccard(x, y) >= similarity), "near-links")
-        links = found if links is None else links.union(found)
-        roots = staged(components(links).distinct(), "near-roots")
+    for crowded in (False, True):
+        found = crowd_candidates(keyed, nodes, roots, hot, leaders) if crowded else sketch_candidates(keyed, nodes, hot, leaders)
+        pairs = staged(found, "sketch-pairs")
+        shingles = staged(_shingles_of(pairs, nodes, docs, id_col, text_col, size), "shingles")
+        for step in range(3):
+            if roots is not None:
+                pairs = staged(_between(pairs, roots), "open-pairs")
+            tried = pairs if step == 2 else pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+            similar = staged(_checked(tried, shingles, "shingles", lambda x, y: jaccard(x, y) >= similarity), "near-links")
+            links = similar if links is None else links.union(similar)
+            roots = staged(components(links).distinct(), "near-roots")
     rooted = staged(
         nodes.join(roots, "node", "left").select("same", "least", F.coalesce("root", "node").alias("root")), "rooted"
     )
