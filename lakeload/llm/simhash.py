@@ -329,10 +329,14 @@ def near_copies(
     for crowded in (False, True):
         found = crowd_candidates(keyed, nodes, roots, hot, leaders) if crowded else sketch_candidates(keyed, nodes, hot, leaders)
         pairs = staged(found, "sketch-pairs")
+        if crowded and pairs.isEmpty():
+            break
         shingles = staged(_shingles_of(pairs, nodes, docs, id_col, text_col, size), "shingles")
         for step in range(3):
             if roots is not None:
                 pairs = staged(_between(pairs, roots), "open-pairs")
+                if pairs.isEmpty():
+                    break
             tried = pairs if step == 2 else pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
             similar = staged(_checked(tried, shingles, "shingles", lambda x, y: jaccard(x, y) >= similarity), "near-links")
             links = similar if links is None else links.union(similar)
