@@ -1,7 +1,9 @@
-"""SimHash near-dedup with pigeonring filtering."""
+"""SimHash near-dedup with pigeonring filtering; near copies by whole shingle sets."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -138,12 +140,10 @@ def simhash_groups(
     )
 
 
-#: Bits of a sketch, a long fingerprint.  Its ring has a segment a byte; three segments without a
-#: difference are a join key, and eight are read ahead for the budgets of longer chains.
-SKETCH_BITS, KEY_SEGMENTS, AHEAD = 1024, 3, 8
-#: Share of bits that may differ.  At a similarity of 0.8 between sets of one size the mean is
-#: 0.152 with a deviation of 0.011.
-APART = 0.2
+#: Bits of a sketch, and the similarity that near copies have at least.
+SKETCH_BITS, SIMILARITY = 1024, 0.8
+#: Documents that the order of shingles is drawn from, and shingles with a rank of their own in it.
+ORDER_DOCS, ORDER_SHINGLES = 8_192, 200_000
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -152,47 +152,82 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray) -> bytes:
-    """SimHash with ``SKETCH_BITS`` bits: each hash is stretched by a mixing function first."""
-    votes = np.zeros(SKETCH_BITS, np.int64)
-    steps = np.arange(1, SKETCH_BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for k in range(0, len(hashes), 255):
-        x = hashes[k : k + 255, None] + steps
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        # At most 255 ones a column, so a byte holds their number.
-        votes += np.unpackbits(x.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
-    return np.packbits(votes * 2 > len(hashes)).tobytes()
+    """The number of hashes, and for each of ``SKETCH_BITS`` places whether an odd number fell there.
+
+    A hash that only one of two sets has changes one bit, so sketches differ in no more bits than
+    sets do in hashes.
+    """
+    places = np.bincount((hashes % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.int64(len(hashes)).tobytes() + np.packbits(places & 1 == 1).tobytes()
+
+
+def _sketches_near(x, y, similarity: float = SIMILARITY) -> bool:
+    """False only for sets that cannot be similar."""
+    one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    small, large = sorted((int(one[0]), int(two[0])))
+    apart = int(np.bitwise_count(one[1:] ^ two[1:]).sum())
+    return small >= similarity * large - 1e-6 and apart <= (1 - similarity) / (1 + similarity) * (small + large) + 1e-6
+
+
+def jaccard(x, y) -> float:
+    """Similarity of two sets given as ascending 64-bit numbers."""
+    one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return common / (len(one) + len(two) - common)
+
+
+def shingle_order(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most common shingles of a sample, ascending, and the number of documents of each.
+
+    All documents arrange their shingles by it, unknown ones first, equal ones by hash.  Any one
+    order serves, so the sample decides only how many documents meet at a key.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    part = F.pmod(F.xxhash64(text), F.lit(max(1, docs.count() // ORDER_DOCS))) == 0
+
+    def hashed(batches):
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(body, size).view(np.int64))], names=["shingle"])
+
+    drawn = docs.where(part).select(text.cast("binary").alias("body")).mapInArrow(hashed, "shingle long")
+    counted = drawn.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    top = counted.orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).toArrow()
+    known = top["shingle"].to_numpy().view(np.uint64)
+    by = np.argsort(known)
+    return known[by], top["n"].to_numpy()[by]
 
 
-def _set_row(text: bytes, size: int) -> tuple:
-    hashes = shingle_set(text, size)
-    return xxhash.xxh3_128_digest(hashes.tobytes()), sketch(hashes)
+def prefix(hashes: np.ndarray, known: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set in the common order: as many as can be absent from a similar set,
+    and one more.  So similar sets share one of these."""
+    size = len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1
+    if not len(known):
+        return hashes[:size]
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return hashes[np.argsort(np.where(known[at] == hashes, counts[at], 0), kind="stable")[:size]]
 
 
-def _sketch_keys(nodes: DataFrame) -> DataFrame:
-    """``(node, place, ahead)``: for each segment of the ring its number with the key that starts
-    there, and the 64 bits from there on."""
+def shared_keys(nodes: DataFrame) -> DataFrame:
+    """``(key, node, place, size, n, leader)``: each shingle in the prefixes of ``n`` nodes, more
+    than one, with its place in the node's order and the smallest of the nodes."""
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            width = SKETCH_BITS // 8
-            ring = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, width)
-            ring = np.concatenate([ring, ring[:, : AHEAD - 1]], axis=1)
-            ahead = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(ring, AHEAD, axis=1))
-            ahead = ahead.view(">u8").reshape(-1, width).astype(np.uint64)
-            place = (np.arange(width, dtype=np.uint64) << np.uint64(KEY_SEGMENTS * 8)) | (ahead >> np.uint64(64 - KEY_SEGMENTS * 8))
-            for k in range(0, len(ring), 64):
-                part = slice(k, k + 64)
-                rows = pa.array(np.repeat(np.arange(len(ring))[part], width))
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                keys = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(2)]
+                sizes = [len(k) for k in keys]
+                rows = pa.array(np.repeat(np.arange(len(keys)), sizes))
+                places = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), pa.array(place[part].ravel().view(np.int64)), pa.array(ahead[part].ravel().view(np.int64))],
-                    names=["node", "place", "ahead"],
+                    [pa.array(np.concatenate(keys)), part.column(0).take(rows), pa.array(places), part.column(1).take(rows)],
+                    names=["key", "node", "place", "size"],
                 )
 
-    return nodes.select("node", "sketch").mapInArrow(run, "node long, place long, ahead long")
+    keyed = nodes.select("node", "size", "prefix").mapInArrow(run, "key long, node long, place int, size int")
+    met = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
+    return keyed.join(met, "key")
 
 
 def _checked(pairs: DataFrame, nodes: DataFrame, column: str, test) -> DataFrame:
@@ -211,88 +246,42 @@ def _checked(pairs: DataFrame, nodes: DataFrame, column: str, test) -> DataFrame
     return full.mapInArrow(run, "a long, b long")
 
 
-def _sketches_near(x, y) -> bool:
-    apart = np.bitwise_xor(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-    return int(np.bitwise_count(apart).sum()) <= APART * SKETCH_BITS
-
-
-def jaccard(x, y) -> float:
-    """Similarity of two sets given as ascending 64-bit numbers."""
-    one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    common = len(np.intersect1d(one, two, assume_unique=True))
-    return common / (len(one) + len(two) - common)
-
-
-def shared_keys(nodes: DataFrame) -> DataFrame:
-    """``(place, node, ahead, n)``: the keys of more than one sketch, ``n`` of them."""
-    keyed = _sketch_keys(nodes)
-    crowds = keyed.groupBy("place").agg(F.count("*").alias("n")).where("n > 1")
-    return keyed.join(crowds, "place")
-
-
-def _led(members: DataFrame, lot: Column) -> DataFrame:
-    """The smallest node of each lot at each key."""
-    return members.groupBy("place", lot.alias("lot")).agg(F.min(F.struct(*[c for c in members.columns if c != "place"])).alias("led")).select("place", "led.*")
-
-
-def _met(members: DataFrame, others: DataFrame, condition: str) -> DataFrame:
-    """Distinct pairs ``a < b`` that share a key, where each longer chain that can be read ahead
-    keeps to its share of the budget too."""
-    others = others.select("place", *[F.col(c).alias(f"{c}2") for c in others.columns if c != "place"])
-    apart = F.col("ahead").bitwiseXOR(F.col("ahead2"))
-    within = F.expr(condition)
-    for length in range(KEY_SEGMENTS + 1, AHEAD + 1):
-        within &= F.bit_count(F.shiftrightunsigned(apart, 64 - length * 8)) <= int(length * 8 * APART)
-    found = members.join(others, "place").where(within)
-    return found.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+def leader_candidates(keyed: DataFrame) -> DataFrame:
+    """Each node with the smallest one of each of its keys."""
+    return keyed.where("leader < node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def sketch_candidates(keyed: DataFrame, nodes: DataFrame, hot: int, leaders: int) -> DataFrame:
-    """Pairs whose sketches differ in at most ``APART`` of their bits, found by pigeonring chains.
-
-    Two sketches meet where a chain of ``KEY_SEGMENTS`` segments has no difference; longer chains
-    and at last the whole distance are checked.  In a key of more than ``hot`` sketches each is
-    held against ``leaders`` of them, the same ones at many keys, so that the pairs grow with the
-    members.
-    """
-    few, many = keyed.where(F.col("n") <= hot), keyed.where(F.col("n") > hot)
-    led = _led(many, F.pmod(F.xxhash64("node"), F.lit(leaders)))
-    pairs = _met(few, few, "node < node2").union(_met(many, led, "node <> node2"))
-    return _checked(pairs.distinct(), nodes, "sketch", _sketches_near)
+def open_keys(keyed: DataFrame, roots: DataFrame) -> DataFrame:
+    """The keys that still join several components; pairs inside one cannot change the result."""
+    rooted = keyed.drop("leader").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    return rooted.join(mixed, "key")
 
 
-def crowd_candidates(keyed: DataFrame, nodes: DataFrame, roots: DataFrame, hot: int, leaders: int) -> DataFrame:
-    """As before, but only where a crowded key still joins several components: each member is held
-    against ``leaders`` members of other components, drawn anew at each key."""
-    many = keyed.where(F.col("n") > hot).join(roots, "node", "left")
-    many = many.select("place", "node", "ahead", F.coalesce("root", "node").alias("root"))
-    mixed = many.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("place")
-    many = staged(many.join(mixed, "place"), "mixed-keys")
-    led = _led(many, F.pmod(F.xxhash64("root", "place"), F.lit(leaders)))
-    return _checked(_met(many, led, "root <> root2"), nodes, "sketch", _sketches_near)
+def open_pairs(keyed: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of two components that share a key, but for those that their sizes and the places
+    of the key in both orders rule out."""
+    others = keyed.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "root", "place", "size")])
+    most = F.least("place", "place2") + F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2"))
+    least = (F.col("size") + F.col("size2")) * (similarity / (1 + similarity)) - 1e-6
+    near = F.least("size", "size2") >= F.greatest("size", "size2") * similarity - 1e-6
+    found = keyed.join(others, "key").where((F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & near & (most >= least))
+    return found.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
-def _shingles_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``(node, shingles)`` of the nodes in pairs, hashed again from their first documents: only
+def _shingles_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``(node, shingles)`` of the nodes in ``wanted``, hashed again from their first documents: only
     these few sets are ever written or moved."""
-    paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "same", "least")
-    paired = staged(paired, "paired")
+    wanted = staged(wanted.select("node").distinct().join(nodes, "node").select("node", "same", "least"), "wanted")
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"))
-    texts = texts.join(paired.select("least").distinct(), F.col("doc").eqNullSafe(F.col("least")), "left_semi")
+    texts = texts.join(wanted.select("least").distinct(), F.col("doc").eqNullSafe(F.col("least")), "left_semi")
 
     def hashed(bodies: list) -> list[tuple]:
         found = [shingle_set(t, size).tobytes() for t in bodies]
         return [(xxhash.xxh3_128_digest(x), x) for x in found]
 
     again = per_document(texts, "doc", "body", hashed, "same binary, shingles binary", binary=True).select("same", "shingles")
-    return again.join(paired, "same").groupBy("node").agg(F.first("shingles").alias("shingles"))
-
-
-def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs that join two components."""
-    one, two = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    return pairs.join(one, "a", "left").join(two, "b", "left").where(apart).select("a", "b")
+    return again.join(wanted, "same").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def near_copies(
@@ -300,47 +289,54 @@ def near_copies(
     id_col: str = "doc_id",
     text_col: str = "text",
     size: int = 5,
-    similarity: float = 0.8,
+    similarity: float = SIMILARITY,
     hot: int = 8,
-    leaders: int = 4,
 ) -> DataFrame:
     """``(id, component_id)`` of each row: the smallest id that links reach.  Two texts are linked
-    if their sketches meet (``sketch_candidates``) and the sets of their ``size``-word shingles, A-Z
-    in lower case, have at least the Jaccard ``similarity``, which is computed from the whole sets.
+    if the sets of their ``size``-word shingles, A-Z in lower case, have at least the Jaccard
+    ``similarity``, which is computed from the whole sets.
 
-    Texts of one shingle set are one node (by 128 bits of hash).  Candidates are checked in steps:
-    first each node with its smallest partner, again with the smallest one outside its component,
-    then all that still join two components; pairs inside one cannot change the result.  Crowded
-    keys that still join several components then get other leaders (``crowd_candidates``).
+    Texts of one shingle set are one node (by 128 bits of hash).  Every similar pair is a candidate:
+    its sets share one of their first shingles in an order common to all (``prefix``), the rarer ones
+    of a sample first.  Only what cannot be similar is ruled out, by sizes, places and sketches.
+    First each node is held against the smallest one of each of its keys.  At keys that then still
+    join several components all pairs are.
 
     Null, empty and blank texts share the empty set, fewer words than a shingle count as one.  Rows
     with a null id take part and get the smallest id, null if there is none.  Repeated rows get a
     row each, an empty table none; other columns are not read.
     """
-    rows = staged(
-        per_document(docs, id_col, text_col, lambda texts: [_set_row(t, size) for t in texts], "same binary, sketch binary", binary=True),
-        "sketches",
-    )
-    sets = rows.groupBy("same").agg(F.min(id_col).alias("least"), F.first("sketch").alias("sketch"))
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity must be in (0, 1]")
+    known, counts = shingle_order(docs, text_col, size)
+
+    def described(bodies: list) -> list[tuple]:
+        sets = [shingle_set(t, size) for t in bodies]
+        return [
+            (xxhash.xxh3_128_digest(x.tobytes()), len(x), sketch(x), prefix(x, known, counts, similarity).tobytes()) for x in sets
+        ]
+
+    described_as = "same binary, size int, sketch binary, prefix binary"
+    rows = staged(per_document(docs, id_col, text_col, described, described_as, binary=True), "sketches")
+    firsts = [F.first(c).alias(c) for c in ("size", "sketch", "prefix")]
     # Numbered once, in a written table.
-    nodes = staged(sets.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    keyed = staged(shared_keys(nodes), "sketch-keys")
-    links, roots = None, None
-    for crowded in (False, True):
-        found = crowd_candidates(keyed, nodes, roots, hot, leaders) if crowded else sketch_candidates(keyed, nodes, hot, leaders)
-        pairs = staged(found, "sketch-pairs")
-        if crowded and pairs.isEmpty():
-            break
-        shingles = staged(_shingles_of(pairs, nodes, docs, id_col, text_col, size), "shingles")
-        for step in range(3):
-            if roots is not None:
-                pairs = staged(_between(pairs, roots), "open-pairs")
-                if pairs.isEmpty():
-                    break
-            tried = pairs if step == 2 else pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-            similar = staged(_checked(tried, shingles, "shingles", lambda x, y: jaccard(x, y) >= similarity), "near-links")
-            links = similar if links is None else links.union(similar)
-            roots = staged(components(links).distinct(), "near-roots")
+    nodes = staged(rows.groupBy("same").agg(F.min(id_col).alias("least"), *firsts).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    keyed = staged(shared_keys(nodes), "shared-keys")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return staged(_shingles_of(wanted, nodes, docs, id_col, text_col, size), "shingles")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        pairs = staged(_checked(pairs, nodes, "sketch", lambda x, y: _sketches_near(x, y, similarity)), "sketch-pairs")
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        return staged(_checked(pairs, sets, "shingles", lambda x, y: jaccard(x, y) >= similarity), "near-links")
+
+    links = similar(leader_candidates(keyed))
+    roots = staged(components(links).distinct(), "near-roots")
+    keyed = staged(open_keys(keyed, roots), "open-keys")
+    if not keyed.isEmpty():
+        links = links.union(similar(open_pairs(keyed, similarity)))
+        roots = staged(components(links).distinct(), "near-roots")
     rooted = staged(
         nodes.join(roots, "node", "left").select("same", "least", F.coalesce("root", "node").alias("root")), "rooted"
     )

@@ -235,6 +235,24 @@ def test_near_copies_of_a_crowd(spark, hot):
     assert {r.doc_id: r.component_id for r in simhash.near_copies(frame, hot=hot).collect()} == root
 
 
+def near_as_all_pairs(spark, found):
+    """Components of ``near_copies``, held against all pairs."""
+    texts = dict(enumerate(found))
+    root = plain_components(texts, plain_near(texts))
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(frame).collect()} == root
+    return root
+
+
+def test_near_copies_of_short_texts(spark):
+    """Eight words and the same with one appended: similar by exactly 0.8."""
+    rng = random.Random(29)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    short = [[word() for _ in range(8)] for _ in range(60)]
+    root = near_as_all_pairs(spark, [" ".join(w) for w in short] + [" ".join([*w, word()]) for w in short])
+    assert len(set(root.values())) == 60
+
+
 def test_sketch_and_similarity():
     text = b" ".join(b"w%d" % (k % 700) for k in range(3000))
     hashes = simhash.shingle_set(text, 5)
