@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import components, per_document, staged
+from lakeload.llm.common import components, per_document, renamed, staged
+from lakeload.llm.vectors import _forest
 
 BITS = 64
 
@@ -144,6 +146,8 @@ def simhash_groups(
 SKETCH_BITS, SIMILARITY = 1024, 0.8
 #: Documents that the order of shingles is drawn from, and shingles with a rank of their own in it.
 ORDER_DOCS, ORDER_SHINGLES = 8_192, 200_000
+#: Nodes and shingles of a block of a crowd.
+BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 17
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -269,6 +273,71 @@ def open_pairs(keyed: DataFrame, similarity: float) -> DataFrame:
     return found.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4_096) -> np.ndarray:
+    """How many members each set of one side shares with each of the other."""
+    out = np.zeros((len(left), len(right)))
+    sides = [np.concatenate(s) for s in (left, right)]
+    rows = [np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (left, right)]
+    both = np.intersect1d(*sides)
+    kept = [np.isin(s, both) for s in sides]
+    rows = [r[k] for r, k in zip(rows, kept, strict=True)]
+    cols = [np.searchsorted(both, s[k]) for s, k in zip(sides, kept, strict=True)]
+    for at in range(0, len(both), width):
+        parts = []
+        for r, c, n in zip(rows, cols, out.shape, strict=True):
+            inside = (c >= at) & (c < at + width)
+            part = np.zeros((n, min(width, len(both) - at)), np.float32)
+            part[r[inside], c[inside] - at] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _tile_links(left: pa.Table, right: pa.Table, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """``(node, smallest node reached)`` by the similar pairs of two blocks that are in different
+    components."""
+    sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in t["shingles"]] for t in (left, right)]
+    roots = [t["root"].to_numpy() for t in (left, right)]
+    names, back = np.unique(np.concatenate([left["node"].to_numpy(), right["node"].to_numpy()]), return_inverse=True)
+    common = overlaps(*sets)
+    sizes = [np.array([len(x) for x in s]) for s in sets]
+    near = common / (sizes[0][:, None] + sizes[1] - common) >= similarity
+    i, j = np.nonzero(near & (roots[0][:, None] != roots[1]))
+    a, b = back[i], back[len(left) + j]
+    reached, met = _forest(a, b, names), np.unique(np.concatenate([a, b]))
+    return names[met], reached[met]
+
+
+def crowd_links(keyed: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """Links ``(a, b)`` that connect what all similar pairs of different components at crowded keys
+    connect.
+
+    A node lies in a block of its most crowded key, a key's nodes in as many blocks as they need.
+    Blocks that meet at some key are a tile; all pairs of a tile are compared inside a task, which
+    returns one edge per node.  So a pair is compared once, however many keys it shares.
+    """
+    homes = keyed.groupBy("node").agg(
+        F.max(F.struct("n", "key")).getField("key").alias("home"), F.first("root").alias("root"), F.first("size").alias("size")
+    )
+    needed = F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum("size") / BLOCK_SHINGLES))
+    blocks = homes.groupBy("home").agg(needed.alias("blocks"))
+    placed = homes.join(blocks, "home").select("node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), "blocks")).alias("block"))
+    placed = staged(placed.join(shingles, "node"), "crowd-blocks")
+    at = keyed.select("key", "node").join(placed.select("node", "block"), "node").select("key", "block").distinct()
+    at = staged(at, "crowd-keys")
+    tiles = at.join(at.select("key", F.col("block").alias("block2")), "key").where("block <= block2")
+    tiles = staged(tiles.select("block", "block2").distinct(), "crowd-tiles")
+    left = tiles.join(placed, "block").select("block", "block2", "node", "root", "shingles")
+    right = tiles.join(placed.withColumnRenamed("block", "block2"), "block2").select("block", "block2", "node", "root", "shingles")
+
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        found = _tile_links(one, two, similarity) if len(one) and len(two) else [np.zeros(0, np.int64)] * 2
+        return pa.table([pa.array(v) for v in found], names=["a", "b"])
+
+    tile = ["block", "block2"]
+    return left.groupBy(*tile).cogroup(renamed(right).groupBy(*tile)).applyInArrow(compare, "a long, b long").where("a <> b")
+
+
 def _shingles_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """``(node, shingles)`` of the nodes in ``wanted``, hashed again from their first documents: only
     these few sets are ever written or moved."""
@@ -300,7 +369,8 @@ def near_copies(
     its sets share one of their first shingles in an order common to all (``prefix``), the rarer ones
     of a sample first.  Only what cannot be similar is ruled out, by sizes, places and sketches.
     First each node is held against the smallest one of each of its keys.  At keys that then still
-    join several components all pairs are.
+    join several components all pairs are, those of more than ``hot`` nodes by tiles
+    (``crowd_links``).
 
     Null, empty and blank texts share the empty set, fewer words than a shingle count as one.  Rows
     with a null id take part and get the smallest id, null if there is none.  Repeated rows get a
@@ -334,9 +404,14 @@ def near_copies(
     links = similar(leader_candidates(keyed))
     roots = staged(components(links).distinct(), "near-roots")
     keyed = staged(open_keys(keyed, roots), "open-keys")
-    if not keyed.isEmpty():
-        links = links.union(similar(open_pairs(keyed, similarity)))
-        roots = staged(components(links).distinct(), "near-roots")
+    few, many = keyed.where(F.col("n") <= hot), keyed.where(F.col("n") > hot)
+    found = []
+    if not few.isEmpty():
+        found.append(similar(open_pairs(few, similarity)))
+    if not many.isEmpty():
+        found.append(staged(crowd_links(many, sets_of(many), similarity), "crowd-links"))
+    if found:
+        roots = staged(components(reduce(DataFrame.union, found, links)).distinct(), "near-roots")
     rooted = staged(
         nodes.join(roots, "node", "left").select("same", "least", F.coalesce("root", "node").alias("root")), "rooted"
     )

@@ -253,6 +253,20 @@ def test_near_copies_of_short_texts(spark):
     assert len(set(root.values())) == 60
 
 
+def test_near_copies_of_a_star(spark):
+    """An original amid 1,000 copies that link to it and mostly not to each other."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    base, star = [word() for _ in range(204)], []
+    for _ in range(1000):
+        copy, at = list(base), rng.randrange(0, 180)
+        copy[at : at + 12] = [word() for _ in range(12)]
+        star.append(" ".join(copy))
+    star.insert(500, " ".join(base))
+    assert len(plain_near(dict(enumerate(star[:100])))) < 1000
+    assert set(near_as_all_pairs(spark, star).values()) == {0}
+
+
 def test_sketch_and_similarity():
     text = b" ".join(b"w%d" % (k % 700) for k in range(3000))
     hashes = simhash.shingle_set(text, 5)
