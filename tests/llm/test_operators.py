@@ -267,6 +267,15 @@ def test_near_copies_of_a_star(spark):
     assert set(near_as_all_pairs(spark, star).values()) == {0}
 
 
+def test_near_copies_amid_boilerplate(spark):
+    """Near pairs among texts of which most is the same, though too little to link them all."""
+    rng = random.Random(37)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    form, own = [word() for _ in range(90)], [[word() for _ in range(30)] for _ in range(100)]
+    root = near_as_all_pairs(spark, [" ".join(form + w) for w in own] + [" ".join([*form, *w[:-2], word(), word()]) for w in own[:40]])
+    assert len(set(root.values())) == 100
+
+
 def test_sketch_and_similarity():
     text = b" ".join(b"w%d" % (k % 700) for k in range(3000))
     hashes = simhash.shingle_set(text, 5)
