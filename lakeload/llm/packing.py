@@ -87,15 +87,26 @@ class Packer:
 
     def balance(self, last: bool = False) -> None:
         """Deals the closed windows to steps: the longest first, each to the step with the least
-        attention work that still has room, so steps hold alike mixes of lengths."""
+        attention work that still has room, so steps hold alike mixes of lengths.  Where none has
+        room another step is opened."""
         total = sum(n for n, _ in self.full)
         steps = max(1, -(-total // self.step_tokens)) if total else 0
         heap = [(0, 0, k) for k in range(steps)]
         dealt: list[list] = [[] for _ in range(steps)]
         for length, pieces in sorted(self.full, key=lambda w: -w[0]):
-            work, tokens, k = heapq.heappop(heap)
+            full = []
+            while heap and heap[0][1] + length > self.step_tokens:
+                full.append(heapq.heappop(heap))
+            if heap:
+                work, tokens, k = heapq.heappop(heap)
+            else:
+                work, tokens, k = 0, 0, len(dealt)
+                dealt.append([])
             dealt[k].append((length, pieces))
-            heapq.heappush(heap, (work + length * length, tokens + length, k))
+            # A step without room for this window may have some for a shorter one.
+            for step in [*full, (work + length * length, tokens + length, k)]:
+                if step[1] < self.step_tokens:
+                    heapq.heappush(heap, step)
         for k, windows in enumerate(dealt):
             for length, pieces in windows:
                 offset, placed = 0, []
@@ -104,7 +115,7 @@ class Packer:
                     offset += n
                 self.emit(self.sequences, length, self.steps + k, placed)
                 self.sequences += 1
-        self.steps += steps
+        self.steps += len(dealt)
         self.full = []
 
 

@@ -317,6 +317,17 @@ def test_packing(docs, empty, rows, library):
     assert packing.pack_documents(empty, PATH).count() == 0
 
 
+def test_steps_hold_no_more_than_their_tokens():
+    held, seen = collections.Counter(), []
+    packer = packing.Packer(packing.TIERS, 4096, lambda sequence, length, step, pieces: (held.update({step: length}), seen.append(length)))
+    for doc, tokens in enumerate([1024] * 10 + [512] * 40 + [128] * 11):
+        packer.add(doc, tokens)
+    packer.pack()
+    packer.finish()
+    assert sum(seen) == 1024 * 10 + 512 * 40 + 128 * 11 and set(seen) >= {1024, 512}
+    assert max(held.values()) <= 4096
+
+
 def test_token_files(spark, docs, empty, rows, library):
     files = frames.write_token_files(docs, PATH, shared_dir(spark, "token-test"))
     got = sorted(frames.read_token_files(files).collect(), key=lambda r: r.start)
