@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from lakeload.session import shared_dir
 
 
+ROW_GROUP_BYTES = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -18,10 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut.
 
-    Any executor can read the files again, so a lost executor costs no recomputation.
+    Any executor can read the files again, so a lost executor costs no recomputation.  Small row
+    groups bound what the writers of an executor hold at once.
     """
     path = shared_dir(df.sparkSession, f"llm-{purpose}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from lakeload.llm.bpe import round_trip_digests
 from lakeload.llm.common import remainder, table
+from lakeload.llm.crosstoken import align_tokenizers
 from lakeload.llm.exact import exact_dedup
 from lakeload.llm.frames import read_token_files, write_token_files
 from lakeload.llm.lattice import lattice_scores
+from lakeload.llm.mixing import mix_sources
 from lakeload.llm.packing import pack_documents
 from lakeload.llm.quality import train_quality, with_quality
 from lakeload.llm.sharding import shard_rows
@@ -17,9 +19,10 @@ from lakeload.llm.simhash import simhash_groups
 from lakeload.llm.substrings import substring_dedup
 from lakeload.llm.tokens import default_vocabulary
 from lakeload.llm.vectors import vector_groups
+from lakeload.llm.whitening import component_rows, whiten
 from lakeload.session import shared_dir
 
-VOCABULARY = default_vocabulary()
+VOCABULARY, PIECES = default_vocabulary(), default_vocabulary("piece_bpe_32k.model")
 
 
 def bpe(spark, sf_dir):
@@ -76,6 +79,20 @@ def quality(spark, sf_dir):
     return with_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def crosstoken(spark, sf_dir):
+    return align_tokenizers(table(spark, sf_dir, "documents"), VOCABULARY, PIECES)
+
+
+def whitening(spark, sf_dir):
+    rows = component_rows(whiten(table(spark, sf_dir, "embeddings")))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def mixing(spark, sf_dir):
+    taken = mix_sources(table(spark, sf_dir, "documents"), [5, 2, 1]).taken()
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -91,6 +108,9 @@ QUERIES = {
     "op8_sharding": sharding,
     "op9_token_files": token_files,
     "op10_simhash": simhash,
+    "op11_crosstoken": crosstoken,
+    "op12_whitening": whitening,
+    "op13_mixing": mixing,
     "pipeline": pipeline,
 }
 

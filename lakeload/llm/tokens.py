@@ -84,11 +84,11 @@ class Vocabulary:
         return found
 
 
-def default_vocabulary() -> str:
-    """The public byte-level BPE file installed beside the tokenizer libraries."""
+def default_vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A public vocabulary file installed beside the tokenizer libraries."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @functools.lru_cache(maxsize=4)
