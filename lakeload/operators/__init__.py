@@ -1,5 +1,5 @@
 from lakeload.operators.alignment import align_schemas, common_schema, conform, union_drifting
-from lakeload.operators.fold import fact_fold, number_in_order, scd1_fold, scd2_from_snapshots
+from lakeload.operators.fold import fact_fold, number_in_order, scd1_fold, scd1_fold_filtered, scd2_from_snapshots
 from lakeload.operators.history import (
     dimension_as_of,
     open_versions,
@@ -42,4 +42,5 @@ from lakeload.operators.projection import (
     with_lineage,
     with_partition_columns,
 )
-from lakeload.operators.retention import choose_tables, mark_purged, purge_candidates, purge_summary, purge_totals
+from lakeload.operators.retention import choose_tables, mark_purged, purge_candidates, purge_report, purge_summary, purge_totals
+from lakeload.operators.splice import fact_splice, scd2_splice, unseen_since

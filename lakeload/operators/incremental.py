@@ -61,7 +61,8 @@ def pending_files(
 
     ``watermark``  later than the latest processed archive time (``inclusive``: or equal);
     ``absence``    later than the initial watermark and not in the process log, which
-                   also finds files logged late with an earlier stamp.
+                   also finds files logged late with an earlier stamp;
+    ``digest``     the same, searched only in log days where the two logs differ.
     Without ``initial`` a first run takes all files; ``initial_watermark`` gives a start some
     days ago.
     """
@@ -73,9 +74,11 @@ def pending_files(
             latest = load_watermark(process_log).select(F.col("ArchiveDatetimeUTC").cast(ts_type))
             start = F.coalesce(latest.scalar(), start)
         return load_order(since(files, start, inclusive))
-    if by == "absence":
+    if by in ("absence", "digest"):
         files = since(files, start, inclusive)
         if process_log is not None:
+            if by == "digest" and not inclusive and LOG_PARTITION in archive_log.columns:
+                files, process_log = _differing(files, process_log, ts_type)
             done = process_log.where(F.col("ArchiveFilePath").isNotNull())
             if inclusive:
                 # Files of the latest processed time are taken once more.
@@ -86,6 +89,37 @@ def pending_files(
     raise ValueError(f"unknown rule: {by}")
 
 
+def day_digests(log: DataFrame) -> DataFrame:
+    """Per log day the number of files and 128 bits made from their paths, whatever their order.
+
+    A few numbers per task and day are shuffled instead of all paths.
+    """
+    path = F.col("ArchiveFilePath")
+    day = day_number(utc_clock(F.col("ArchiveDatetimeUTC"), log.schema["ArchiveDatetimeUTC"].dataType))
+    return log.groupBy(day.alias(LOG_PARTITION)).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.bit_xor(F.xxhash64(path)).alias("one"),
+        F.bit_xor(F.xxhash64(F.lit("second"), path)).alias("two"),
+    )
+
+
+def _differing(files: DataFrame, process_log: DataFrame, ts_type, limit: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """Both logs without the days on which they agree.
+
+    A file logged twice makes its day differ, which costs a search there and nothing else.  Up to
+    ``limit`` days are named, so that only their partitions are read; beyond that all are.
+    """
+    done = process_log.where(F.col("ArchiveFilePath").isNotNull())
+    mine, theirs = day_digests(files).alias("l"), day_digests(done).alias("r")
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in (LOG_PARTITION, "files", "one", "two")]
+    days = [r[0] for r in mine.join(theirs, same, "left_anti").select(LOG_PARTITION).limit(limit + 1).collect()]
+    if len(days) > limit:
+        return files, process_log
+    # A stamp belongs to one day, so a file's log rows of both kinds do.
+    stamp = day_number(utc_clock(F.col("ArchiveDatetimeUTC"), ts_type))
+    return files.where(F.col(LOG_PARTITION).isin(days)), process_log.where(stamp.isin(days))
+
+
 def mark_ignorable(archive_log: DataFrame, predicate: str | Column, note: str | None = None) -> DataFrame:
     """Hide the chosen files from every load."""
     hit = F.expr(predicate) if isinstance(predicate, str) else predicate

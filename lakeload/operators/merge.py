@@ -14,7 +14,7 @@ from lakeload.functions.identifiers import column, quote
 from lakeload.functions.scalars import instant
 from lakeload.operators.alignment import align_schemas
 from lakeload.operators.matching import SALTS, any_null, members, pair, unique_source
-from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, DELETED, HASH, MODIFIED, STAGING_NAME
+from lakeload.schemas import ABSENT, ARCHIVE_FILE, ARCHIVED, DELETED, HASH, MODIFIED, SEEN, STAGING_NAME
 
 
 def hash_differs(update_filter: str | Column | None = None) -> Column:
@@ -50,13 +50,19 @@ def scd1_merge(
     order_by: Sequence[str] | None = None,
     strategy: str = "auto",
 ) -> DataFrame:
-    """Changed keys take the source row, unchanged keep theirs with its lineage, new ones are added."""
+    """Changed keys take the source row, unchanged keep theirs with its lineage, new ones are added.
+
+    A column ``__SeenDatetimeUTC`` moves on for every key of the source.
+    """
     source = unique_source(source, bk, on_duplicates, order_by, null_safe)
     if target is None:
         return source
     target, source = align_schemas(target, source)
     paired = pair(target, source, bk, null_safe, strategy)
-    return _rows(paired, target, source, hash_differs(update_filter) | ~F.col("in_t"), {})
+    more = {}
+    if SEEN in source.columns:
+        more[SEEN] = lambda v: F.greatest(v, column(SEEN, "s"))
+    return _rows(paired, target, source, hash_differs(update_filter) | ~F.col("in_t"), more)
 
 
 def touched_partitions(
@@ -124,6 +130,7 @@ def fact_merge(
     on_duplicates: str = "error",
     order_by: Sequence[str] | None = None,
     strategy: str = "auto",
+    absent_at=None,
 ) -> DataFrame:
     """Fact load in one join.
 
@@ -133,6 +140,8 @@ def fact_merge(
     3. only in the source: insert;
     4. only in the target and not yet deleted: soft-delete, for ``delete="full"``
        always, for ``delete="filtered"`` inside the slices the source speaks for.
+
+    A column ``__AbsentDatetimeUTC`` takes ``absent_at``, the time of the extract that lacked a row.
     """
     if delete not in (None, "full", "filtered"):
         raise ValueError(f"unknown delete: {delete}")
@@ -168,6 +177,9 @@ def fact_merge(
         DELETED: lambda v: F.when(gone, stamp).when(revive, F.lit(None)).otherwise(v),
         MODIFIED: lambda v: F.when(gone | revive, now).otherwise(v),
     }
+    if ABSENT in columns and absent_at is not None:
+        at = instant(absent_at).cast(target.schema[ABSENT].dataType)
+        more[ABSENT] = lambda v: F.when(gone, at).when(revive, F.lit(None)).otherwise(v)
     for name in (ARCHIVED, ARCHIVE_FILE, STAGING_NAME):
         if name in source.columns:
             more[name] = lambda v, name=name: F.when(revive, column(name, "s")).otherwise(v)

@@ -91,6 +91,12 @@ def purge_summary(candidates: DataFrame) -> DataFrame:
     return _with_texts(candidates.groupBy("ArchiveTable").agg(*_sizes()))
 
 
+def purge_report(candidates: DataFrame) -> DataFrame:
+    """The summary per archive table and, with ``IsTotal``, over all of them, from one aggregate."""
+    total = F.grouping("ArchiveTable").cast("boolean").alias("IsTotal")
+    return _with_texts(candidates.rollup("ArchiveTable").agg(*_sizes(), total))
+
+
 def purge_totals(candidates: DataFrame) -> DataFrame:
     """The same over all tables, one row."""
     return _with_texts(candidates.agg(*_sizes()))

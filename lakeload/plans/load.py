@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeload.functions.identifiers import column, parse_columns
 from lakeload.functions.scalars import instant, utc_clock
-from lakeload.operators.fold import CHUNK_FILES, fact_fold, scd1_fold, scd2_from_snapshots
+from lakeload.operators.fold import CHUNK_FILES, fact_fold, scd1_fold, scd1_fold_filtered, scd2_from_snapshots
 from lakeload.operators.history import scd2_merge, scd2_rewind
 from lakeload.operators.incremental import (
     EXPORT_START,
@@ -26,11 +26,23 @@ from lakeload.operators.incremental import (
 from lakeload.operators.matching import members
 from lakeload.operators.merge import fact_merge, scd1_merge, touched_partitions
 from lakeload.operators.projection import prepare_source
-from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, CURRENT, DELETED, END, MODIFIED, PROCESS_LOG, STAGING_NAME
+from lakeload.operators.splice import fact_splice, scd2_splice, unseen_since
+from lakeload.schemas import (
+    ABSENT,
+    ARCHIVE_FILE,
+    ARCHIVED,
+    CURRENT,
+    DELETED,
+    END,
+    MODIFIED,
+    PROCESS_LOG,
+    SEEN,
+    STAGING_NAME,
+)
 from lakeload.session import shared_dir
 from lakeload.sinks.logs import append_process_log
 from lakeload.sinks.storage import Storage
-from lakeload.sinks.tables import LakeTable, restrict_partitions
+from lakeload.sinks.tables import LakeTable, name_partitions, restrict_partitions
 from lakeload.sources.archive import (
     LOAD_CSV,
     log_frame,
@@ -42,6 +54,7 @@ from lakeload.sources.tables import read_jdbc
 
 END_DATE = "__EndDate"
 _OPEN_DATE = dt.date(9999, 12, 31)
+_FEW_PARTITIONS = 1000
 
 
 @dataclass
@@ -88,6 +101,16 @@ class LoadSpec:
             for name in ("bk", "partition_by", "delete_filter"):
                 setattr(self, name, [c.replace(" ", "_") for c in getattr(self, name)])
 
+    @property
+    def folds(self) -> bool:
+        """Whether a batch of files is applied in one pass."""
+        return self.update_filter is None and self.null_safe
+
+    @property
+    def splices(self) -> bool:
+        """Whether a late file can be put in its place without later ones."""
+        return self.folds and not self.delete_filter
+
     @property
     def log_path(self) -> str:
         return f"{self.target_log_path.rstrip('/')}/processDatetime"
@@ -136,7 +159,7 @@ def pending_batches(
             return
         process_log = read_process_log(spark, spec.log_path)
         initial = None
-        if spec.pending_by == "absence":
+        if spec.pending_by != "watermark":
             first = process_log.agg(F.min("ArchiveDatetimeUTC").alias("first"))
             initial = first.scalar()
         pending = pending_files(archive_log, process_log, inclusive, initial, spec.pending_by)
@@ -222,6 +245,8 @@ def _touched(target: DataFrame, rows: DataFrame, spec: LoadSpec) -> DataFrame:
     if spec.delete_filter:
         slices = rows.select(*[column(c) for c in spec.delete_filter]).distinct()
         needed = target.select(*[column(c) for c in dict.fromkeys([*spec.partition_by, *spec.delete_filter])])
+        # A slice column that is a partition column leaves other partitions unread.
+        needed = name_partitions(needed, slices, spec.delete_filter)
         inside = members(needed, slices, spec.delete_filter).select(*[column(c) for c in spec.partition_by])
         touched = touched.unionByName(inside).distinct()
     return touched
@@ -237,42 +262,108 @@ def _order(file: Row) -> tuple:
     return file["ArchiveDatetimeUTC"], modified is not None, modified or dt.datetime.min, file["ArchiveFilePath"]
 
 
-def _to_apply(
-    spark: SparkSession, spec: LoadSpec, table: LakeTable, files: list[Row]
-) -> tuple[list[Row], list[Row], dt.datetime | None]:
-    """Files to apply in load order, those of them applied before, and where the table is late.
+@dataclass
+class _Step:
+    """Files to apply together: ``files`` in load order, ``mark`` for the table's notes.
+
+    ``spliced``: late files to put in their place.  ``again_from``: the first of several steps that
+    read later files once more; what the table holds from that time on is decided anew.
+    """
+
+    files: list[Row]
+    mark: dict
+    spliced: bool = False
+    again_from: dt.datetime | None = None
+
+
+class LateFileError(RuntimeError):
+    """A late file belongs before files that are gone, and the table cannot take it without them."""
+
+
+def _processed_since(spark: SparkSession, spec: LoadSpec, first: dt.datetime) -> DataFrame:
+    """Archive-log rows of processed files from a stamp on, purged ones included."""
+    process_log = read_process_log(spark, spec.log_path)
+    done = process_log.where(F.col("ArchiveFilePath").isNotNull()).select("ArchiveFilePath").distinct()
+    later = since(read_archive_log(spark, spec.archive_log_path), F.lit(first), True)
+    return members(later, done, ["ArchiveFilePath"], salts=1)
+
+
+def _pages(files: DataFrame, size: int) -> Iterator[list[Row]]:
+    """Log rows in load order, about ``size`` at a time; one stamp is never divided."""
+    rest = files
+    while True:
+        page = load_order(rest).limit(size).collect()
+        if not page:
+            return
+        last = F.lit(page[-1]["ArchiveDatetimeUTC"])
+        if len(page) == size:
+            page = load_order(rest.where(F.col("ArchiveDatetimeUTC") <= last)).collect()
+        yield page
+        if len(page) < size:
+            return
+        rest = rest.where(F.col("ArchiveDatetimeUTC") > last)
+
+
+def _plan(
+    spark: SparkSession, spec: LoadSpec, table: LakeTable, files: list[Row], exact: bool
+) -> Iterator[tuple[_Step, int]]:
+    """Steps that apply one batch of pending files, each with the number of files read again.
 
     A file stamped no later than the table's last one belongs between files that were applied
-    already: all from its stamp on are applied again, so that the order of arrival makes no
-    difference.  Files that are in the table but were not logged, after a crash, are passed over.
+    already.  Where each file speaks for all keys (``spec.splices``) it is put in its place without
+    them.  Otherwise all files from its stamp on are applied again, page by page; one that is gone
+    stops the load before anything is written.  A current image (``exact`` off) is read again as
+    long as all later files are there, since only they tell every row's lineage.  Files that are in
+    the table but were not logged, after a crash, are passed over.
     """
     known = set() if spec.include_previous else table.paths()
     todo = [f for f in files if f["ArchiveFilePath"] not in known]
     applied = table.applied()
-    if not todo or applied is None or _stamp(todo[0]) > applied:
-        return todo, [], None
-    first = todo[0]["ArchiveDatetimeUTC"]
-    process_log = read_process_log(spark, spec.log_path)
-    done = process_log.where(F.col("ArchiveFilePath").isNotNull()).select("ArchiveFilePath").distinct()
-    later = since(visible_files(read_archive_log(spark, spec.archive_log_path)), F.lit(first), True)
+    late = [f for f in todo if applied is not None and _stamp(f) <= applied]
+    if not late:
+        if todo:
+            yield _Step(todo, _mark(table, files)), 0
+        return
+    first = late[0]["ArchiveDatetimeUTC"]
+    processed = _processed_since(spark, spec, first)
+    gone = processed.where(F.col("IsPurged") | F.col("IsIgnorable"))
+    if spec.splices and not spec.include_previous and (exact or not gone.isEmpty()):
+        taken = known | {f["ArchiveFilePath"] for f in late}
+        yield _Step(late, _mark(table, [f for f in files if f["ArchiveFilePath"] in taken]), spliced=True), 0
+        fresh = [f for f in todo if f["ArchiveFilePath"] not in taken]
+        if fresh:
+            yield _Step(fresh, _mark(table, files)), 0
+        return
+    lost = gone.select("ArchiveFilePath").first()
+    if lost is not None:
+        raise LateFileError(f"{late[0]['ArchiveFilePath']} belongs before {lost[0]}, which is gone")
     new = {f["ArchiveFilePath"] for f in todo}
-    again = {f["ArchiveFilePath"]: f for f in members(later, done, ["ArchiveFilePath"], salts=1).collect()}
-    again |= {f["ArchiveFilePath"]: f for f in files if f["ArchiveFilePath"] in known and _order(f) >= _order(todo[0])}
-    repeated = [f for path, f in again.items() if path not in new]
-    return sorted([*todo, *repeated], key=_order), repeated, first
-
-
-def _load(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None, table: LakeTable, apply) -> LoadResult:
+    unlogged = [f for f in files if f["ArchiveFilePath"] in known and _order(f) >= _order(todo[0])]
+    pending = log_frame(spark, [*todo, *unlogged])
+    again = members(processed, pending.select("ArchiveFilePath"), ["ArchiveFilePath"], "left_anti", salts=1)
+    pages = _pages(again.select(*pending.columns).unionByName(pending), spec.max_files)
+    page, start = next(pages), first
+    while page is not None:
+        following = next(pages, None)
+        mark = _mark(table, page) if following is None else _mark(table, page, False)
+        if following is None:
+            mark["paths"] = [f["ArchiveFilePath"] for f in files]
+        yield _Step(page, mark, again_from=start), sum(f["ArchiveFilePath"] not in new for f in page)
+        page, start = following, None
+
+
+def _load(
+    spark: SparkSession, spec: LoadSpec, now: dt.datetime | None, table: LakeTable, apply, exact: bool = True
+) -> LoadResult:
     """Batch after batch: apply what is pending, and what belongs after it, then log it."""
     now = now or dt.datetime.now(dt.timezone.utc)
     result = LoadResult(before_start=_start_log(spark, spec, now))
     for files in pending_batches(spark, spec, now):
-        ordered, again, late = _to_apply(spark, spec, table, files)
-        if ordered:
-            apply(ordered, again, late, now)
+        for step, again in _plan(spark, spec, table, files, exact):
+            apply(step, now)
+            result.files += len(step.files) - again
+            result.again += again
         _commit(spark, spec, files, now)
-        result.files += len(ordered) - len(again)
-        result.again += len(again)
     _finish(table, spec)
     return result
 
@@ -283,53 +374,73 @@ def _mark(table: LakeTable, files: list[Row], last: bool = True) -> dict:
     return {"applied": stamp, "paths": [f["ArchiveFilePath"] for f in files] if last else []}
 
 
-def _steps(files: list[Row], fold: bool) -> Iterator[tuple[list[Row], bool]]:
-    """All files at once or one by one, each step with whether it is the last."""
-    if fold:
-        yield files, True
-        return
-    for i, file in enumerate(files, 1):
-        yield [file], i == len(files)
+def _singly(step: _Step, table: LakeTable) -> Iterator[tuple[list[Row], dict]]:
+    """The files of a step one by one, each with what the table remembers then."""
+    for i, file in enumerate(step.files, 1):
+        yield [file], step.mark if i == len(step.files) else _mark(table, [file], False)
+
+
+def _applied_stamps(spark: SparkSession, spec: LoadSpec, step: _Step, table: LakeTable) -> tuple[DataFrame, DataFrame]:
+    """Stamp, path and staging name of the files in the table from the step's first stamp on, and of
+    the step's files.  The process log knows them, also those purged since."""
+    names = {"ArchiveDatetimeUTC": ARCHIVED, "ArchiveFilePath": ARCHIVE_FILE, "OriginalStagingFileName": STAGING_NAME}
+    columns = [F.col(k).alias(v) for k, v in names.items()]
+    own = log_frame(spark, step.files).select(*columns)
+    log = read_process_log(spark, spec.log_path).where(F.col("ArchiveFilePath").isNotNull())
+    done = log.where(F.col("ArchiveDatetimeUTC") >= F.lit(step.files[0]["ArchiveDatetimeUTC"])).select(*columns)
+    unlogged = sorted(table.paths() - {f["ArchiveFilePath"] for f in step.files})
+    if unlogged:
+        paths = spark.createDataFrame([(p,) for p in unlogged], "ArchiveFilePath string")
+        archive_log = read_archive_log(spark, spec.archive_log_path)
+        done = done.unionByName(members(archive_log, paths, ["ArchiveFilePath"], salts=1).select(*columns))
+    return done.distinct(), own
 
 
 def load_scd1(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = None) -> LoadResult:
     """Bring a current-image table up to date with all pending files.
 
-    A batch of files is folded in one pass.  With an update filter, whose outcome
-    depends on every intermediate state, files are merged one after another.  Behind a
-    file that turns up late, rows of later files are taken from those files again.
+    A batch of files is folded in one pass, with an update filter too.  Under plain key equality
+    files are merged one after another.  Behind a file that turns up late, rows of later files are
+    taken from those files again; where one of these is gone, the late file only decides keys that
+    no later file held (``__SeenDatetimeUTC``), and the lineage of others stays as it is.
     """
     table = LakeTable(spark, spec.target_path, spec.partition_by)
-    fold = spec.update_filter is None and spec.null_safe
 
-    def apply(files, again, late, now) -> None:
-        for step, last in _steps(files, fold):
-            with _source(spark, spec, step, now) as (rows, order):
-                mark = _mark(table, files if last else step, last)
-                _scd1_apply(spark, spec, table, step, rows, order, again if fold else [], mark, fold)
+    def apply(step: _Step, now) -> None:
+        if spec.null_safe:
+            with _source(spark, spec, step.files, now) as (rows, order):
+                _scd1_apply(spark, spec, table, step, rows.withColumn(SEEN, F.col(ARCHIVED)), order)
+            return
+        for files, mark in _singly(step, table):
+            with _source(spark, spec, files, now) as (rows, order):
+                merged = _Step(files, mark)
+                _scd1_apply(spark, spec, table, merged, rows.withColumn(SEEN, F.col(ARCHIVED)), order)
 
-    return _load(spark, spec, now, table, apply)
+    return _load(spark, spec, now, table, apply, exact=False)
 
 
-def _scd1_apply(spark, spec, table, files, rows, order, again, mark, fold: bool) -> None:
+def _scd1_apply(spark, spec, table, step, rows, order) -> None:
     target = table.read()
-    if again and target is not None:
-        # What stems from files that are read again is decided anew.
-        paths = spark.createDataFrame([(f["ArchiveFilePath"],) for f in again], f"{ARCHIVE_FILE} string")
-        earlier = lambda part: members(part, paths, [ARCHIVE_FILE], "left_anti")
-    else:
-        earlier = lambda part: part
+    if step.spliced:
+        if SEEN not in target.columns:
+            target = target.withColumn(SEEN, F.lit(None).cast("timestamp"))
+        rows = unseen_since(target, rows, spec.bk)
 
     def state(part: DataFrame | None) -> DataFrame:
-        if fold:
-            return scd1_fold(earlier(part), rows, spec.bk, order, chunk_files=_chunk(spec, files), **_options(spec))
-        return scd1_merge(part, rows, spec.bk, **_merge_options(spec))
+        if not spec.null_safe:
+            return scd1_merge(part, rows, spec.bk, **_merge_options(spec))
+        if part is not None and step.again_from is not None and spec.update_filter is None:
+            # What stems from files that are read again is decided anew.
+            part = part.where(F.col(ARCHIVED) < F.lit(step.again_from))
+        if spec.update_filter is not None:
+            return scd1_fold_filtered(part, rows, spec.bk, order, spec.update_filter, **_options(spec))
+        return scd1_fold(part, rows, spec.bk, order, chunk_files=_chunk(spec, step.files), **_options(spec))
 
     if target is None or not spec.partition_by:
-        table.write(state(target), **mark)
+        table.write(state(target), **step.mark)
     else:
         touched = _touched(target, rows, spec)
-        table.replace(lambda parts: state(restrict_partitions(target, parts, spec.partition_by)), touched, **mark)
+        table.replace(lambda parts: state(restrict_partitions(target, parts, spec.partition_by)), touched, **step.mark)
 
 
 def _chunk(spec: LoadSpec, files: list[Row]) -> int | None:
@@ -340,115 +451,156 @@ def _chunk(spec: LoadSpec, files: list[Row]) -> int | None:
 def load_scd2(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = None) -> LoadResult:
     """Bring a full-history table up to date with all pending files.
 
-    Full extracts are folded in one pass; files that speak for slices only
-    (``delete_filter``) are merged in order.  The table is partitioned by the date a
-    version ended, so a load reads and rewrites the current versions and the dates it
-    closes versions on, and leaves older history alone.  For a file that turns up late the
-    history is taken back to its time, and later files are applied again.
+    Extracts are folded in one pass, also those that speak for slices only (``delete_filter``); with an
+    update filter or plain key equality they are merged in order.  The table is partitioned by the
+    date a version ended, so a load reads and rewrites the current versions and the dates it closes
+    versions on, and leaves older history alone.  With ``partition_by`` and files that speak for slices,
+    of these only the partitions that the files can touch.  A full extract that turns up late is put
+    in its place; else the history is taken back to its time, and later files are applied again.
     """
     table = LakeTable(spark, spec.target_path, [END_DATE, *spec.partition_by])
-    fold = not spec.delete_filter and not spec.update_filter and spec.null_safe
 
-    def apply(files, again, late, now) -> None:
-        for step, last in _steps(files, fold):
-            with _source(spark, spec, step, now) as (rows, order):
-                mark = _mark(table, files if last else step, last)
-                _scd2_apply(spark, spec, table, step, rows, order, late, mark, fold)
-            late = None
+    def apply(step: _Step, now) -> None:
+        if spec.folds:
+            with _source(spark, spec, step.files, now) as (rows, order):
+                _scd2_apply(spark, spec, table, step, rows, order, now)
+            return
+        start = step.again_from
+        for files, mark in _singly(step, table):
+            with _source(spark, spec, files, now) as (rows, order):
+                _scd2_apply(spark, spec, table, _Step(files, mark, again_from=start), rows, order, now)
+            start = None
 
     return _load(spark, spec, now, table, apply)
 
 
-def _scd2_apply(spark, spec, table, files, rows, order, late, mark, fold: bool) -> None:
+def _scd2_apply(spark, spec, table, step, rows, order, now) -> None:
     target = table.read()
-    ended = order.select(utc_clock(column(ARCHIVED)).cast("date").alias(END_DATE)).distinct().collect()
-    dates = {_OPEN_DATE, *(r[0] for r in ended)}
-    part = None
+    back = step.files[0]["ArchiveDatetimeUTC"] if step.spliced else step.again_from
+    dates = {_OPEN_DATE, *(f["ArchiveDatetimeUTC"].astimezone(dt.timezone.utc).date() for f in step.files)}
+    part, touched = None, spark.createDataFrame([(d,) for d in sorted(dates)], f"{END_DATE} date")
     if target is not None:
-        if late is not None:
-            since_day = utc_clock(F.lit(late)).cast("date")
-            later = target.where(F.col(END_DATE) >= since_day).select(END_DATE).distinct()
-            dates |= {r[0] for r in later.collect()}
-        part = target.where(F.col(END_DATE).isin(sorted(dates))).drop(END_DATE)
-        if late is not None:
-            part = scd2_rewind(part, F.lit(late))
-    if fold:
+        chosen = F.col(END_DATE).isin(sorted(dates))
+        if back is not None:
+            since_day = utc_clock(F.lit(back)).cast("date")
+            chosen = chosen | (F.col(END_DATE) >= since_day)
+            later = target.where(F.col(END_DATE) >= since_day).select(END_DATE)
+            touched = touched.union(later).distinct()
+        part = target.where(chosen)
+        if spec.partition_by and spec.delete_filter and back is None:
+            part, touched = _scd2_partitions(spec, part, rows, sorted(dates))
+        part = part.drop(END_DATE)
+        if step.again_from is not None:
+            part = scd2_rewind(part, F.lit(step.again_from))
+    if step.spliced:
+        applied, late = _applied_stamps(spark, spec, step, table)
+        state = scd2_splice(part, rows, spec.bk, applied, late, now, **_options(spec))
+    elif spec.folds:
         state = scd2_from_snapshots(
-            rows, spec.bk, target=part, snapshots=order, chunk_files=_chunk(spec, files), **_options(spec)
+            rows,
+            spec.bk,
+            target=part,
+            snapshots=order,
+            filter_cols=spec.delete_filter or None,
+            chunk_files=_chunk(spec, step.files),
+            **_options(spec),
         )
     else:
         state = scd2_merge(
             part,
             rows,
             spec.bk,
-            F.lit(files[0]["ArchiveDatetimeUTC"]),
+            F.lit(step.files[0]["ArchiveDatetimeUTC"]),
             delete="filtered" if spec.delete_filter else "full",
             filter_cols=spec.delete_filter or None,
             **_merge_options(spec),
         )
     ended_on = utc_clock(column(END)).cast("date")
     state = state.withColumn(END_DATE, F.when(column(CURRENT), F.lit(_OPEN_DATE)).otherwise(ended_on))
-    touched = spark.createDataFrame([(d,) for d in sorted(dates)], f"{END_DATE} date")
     if target is None:
-        table.write(state, **mark)
+        table.write(state, **step.mark)
     else:
-        table.replace(lambda _: state, touched, **mark)
+        table.replace(lambda _: state, touched, **step.mark)
+
+
+def _scd2_partitions(
+    spec: LoadSpec, part: DataFrame, rows: DataFrame, dates: list[dt.date]
+) -> tuple[DataFrame, DataFrame]:
+    """Of the dates to rewrite the partitions that files speaking for slices can touch.
+
+    These are the partitions of the rows, of the versions in their slices, and of keys that live
+    elsewhere (not searched for with ``partition_stable``); their values are named in the scan.
+    """
+    current = part.where(column(CURRENT))
+    named = _touched(current, rows, spec)
+    few = named.limit(_FEW_PARTITIONS + 1).collect()
+    if len(few) <= _FEW_PARTITIONS:
+        # As plain values they cost no second search.
+        named = part.sparkSession.createDataFrame(few, named.schema)
+    narrowed = restrict_partitions(part, named, spec.partition_by)
+    both = named.withColumn(END_DATE, F.explode(F.array(*[F.lit(d) for d in dates])))
+    return narrowed, both.select(END_DATE, *[column(c) for c in spec.partition_by])
 
 
 def load_fact(spark: SparkSession, spec: LoadSpec, now: dt.datetime | None = None) -> LoadResult:
     """Bring a fact table with soft deletes up to date with all pending files.
 
-    Full extracts are folded in one pass while the files bring every table column;
-    files that speak for slices only are merged in order, each rewriting just the
-    partitions it touches.  Behind a file that turns up late, later files are applied again.
+    Extracts are folded in one pass while the files bring every table column, also those that speak for
+    slices only, which rewrite just the partitions they touch.  A full extract that turns up late
+    is put in its place; behind one that speaks for slices, later files are applied again.
     """
     table = LakeTable(spark, spec.target_path, spec.partition_by)
 
-    def apply(files, again, late, now) -> None:
-        _fact_steps(spark, spec, table, files, now)
+    def apply(step: _Step, now) -> None:
+        _fact_steps(spark, spec, table, step, now)
 
     return _load(spark, spec, now, table, apply)
 
 
-def _fact_steps(spark, spec, table, files, now) -> None:
-    if not spec.delete_filter and not spec.update_filter and spec.null_safe:
-        with _source(spark, spec, files, now) as (rows, order):
+def _fact_steps(spark, spec, table, step, now) -> None:
+    if spec.folds:
+        with _source(spark, spec, step.files, now) as (rows, order):
             rows, target = _with_delete_time(rows, spec), table.read()
+            if target is not None and ABSENT not in target.columns:
+                target = target.withColumn(ABSENT, F.lit(None).cast("timestamp"))
+            if step.spliced:
+                applied, late = _applied_stamps(spark, spec, step, table)
+                table.write(fact_splice(target, rows, spec.bk, applied, late, now, **_options(spec)), **step.mark)
+                return
             if target is None or set(target.columns) <= set(rows.columns):
-                chunk = _chunk(spec, files)
-                state = fact_fold(
-                    target, rows, spec.bk, now, snapshots=order, chunk_files=chunk, **_options(spec)
-                )
-                table.write(state, **_mark(table, files))
+                fold = {
+                    "snapshots": order,
+                    "filter_cols": spec.delete_filter or None,
+                    "chunk_files": _chunk(spec, step.files),
+                    **_options(spec),
+                }
+                _fact_write(spec, table, target, rows, step.mark, lambda part: fact_fold(part, rows, spec.bk, now, **fold))
                 return
-    for step, last in _steps(files, False):
-        with _source(spark, spec, step, now) as (rows, _):
-            _fact_apply(spec, table, _mark(table, files if last else step, last), _with_delete_time(rows, spec), now)
-
-
-def _fact_apply(spec, table, mark, rows, now) -> None:
-    target = table.read()
-    merge = {
-        "delete": "filtered" if spec.delete_filter else "full",
-        "filter_cols": spec.delete_filter or None,
-        **_merge_options(spec),
-    }
+    for files, mark in _singly(step, table):
+        with _source(spark, spec, files, now) as (rows, _):
+            rows = _with_delete_time(rows, spec)
+            merge = {
+                "delete": "filtered" if spec.delete_filter else "full",
+                "filter_cols": spec.delete_filter or None,
+                "absent_at": F.lit(files[0]["ArchiveDatetimeUTC"]),
+                **_merge_options(spec),
+            }
+            _fact_write(spec, table, table.read(), rows, mark, lambda part: fact_merge(part, rows, spec.bk, now, **merge))
+
+
+def _fact_write(spec, table, target, rows, mark, state) -> None:
     if target is None or not spec.partition_by or not spec.delete_filter:
-        table.write(fact_merge(target, rows, spec.bk, now, **merge), **mark)
+        table.write(state(target), **mark)
         return
     table.replace(
-        lambda parts: fact_merge(
-            restrict_partitions(target, parts, spec.partition_by), rows, spec.bk, now, **merge
-        ),
-        _touched(target, rows, spec),
-        **mark,
+        lambda parts: state(restrict_partitions(target, parts, spec.partition_by)), _touched(target, rows, spec), **mark
     )
 
 
 def _with_delete_time(rows: DataFrame, spec: LoadSpec) -> DataFrame:
     """The empty delete time: a timestamp, or text for tables that keep it as text."""
     kind = "string" if spec.string_delete_time else "timestamp"
-    return rows.withColumn(DELETED, F.lit(None).cast(kind))
+    return rows.withColumns({DELETED: F.lit(None).cast(kind), ABSENT: F.lit(None).cast("timestamp")})
 
 
 def load_scd1_jdbc(

@@ -10,6 +10,10 @@ ARCHIVED = "__ArchiveDatetimeUTC"
 ARCHIVE_FILE = "__ArchiveFilePath"
 STAGING_NAME = "__OriginalStagingFileName"
 DELETED = "__DeletedDatetimeUTC"
+#: In tables of the load jobs: the last extract with a current-image row, and the first extract
+#: without a deleted fact row.
+SEEN = "__SeenDatetimeUTC"
+ABSENT = "__AbsentDatetimeUTC"
 START = "__StartDatetimeUTC"
 END = "__EndDatetimeUTC"
 CURRENT = "__Current"
