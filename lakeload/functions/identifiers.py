@@ -35,3 +35,8 @@ def brackets_to_backticks(text: str) -> str:
 def catalog_name(path: str, prefix: str = "archive_") -> str:
     """Table name under which the log of an archive path is registered."""
     return prefix + re.sub(r"[/\\-]", "_", path.strip("/"))
+
+
+def catalog_name_of(path: Column, prefix: str = "archive_") -> Column:
+    """The same for a column of paths."""
+    return F.concat(F.lit(prefix), F.regexp_replace(F.trim(path, F.lit("/")), r"[/\\-]", "_"))

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.operators.retention import PURGE_AGE_DAYS, purge_candidates, purge_summary
+from lakeload.operators.retention import PURGE_AGE_DAYS, purge_candidates, purge_report, purge_summary
 from lakeload.schemas import ARCHIVE_LOG, LOG_PARTITION
 from lakeload.session import shared_dir
 from lakeload.sinks.files import delete_files
@@ -16,6 +16,7 @@ from lakeload.sinks.logs import commit_purged
 from lakeload.sinks.storage import Storage
 from lakeload.sinks.tables import finish_replacements
 from lakeload.sources.archive import read_archive_log
+from lakeload.sources.tables import archive_log_locations
 
 
 def read_logs(spark: SparkSession, logs: Mapping[str, str]) -> DataFrame:
@@ -40,6 +41,7 @@ def purge_job(
     older_than_days: int = PURGE_AGE_DAYS,
     now: dt.datetime | None = None,
     dry_run: bool = True,
+    summarize: Callable[[DataFrame], DataFrame] = purge_summary,
     **rules,
 ) -> DataFrame:
     """Byte summary per archive; a real run also deletes the due files and marks them.
@@ -51,7 +53,7 @@ def purge_job(
     cutoff = F.lit(now - dt.timedelta(days=older_than_days))
     candidates = purge_candidates(read_logs(spark, logs), cutoff, **rules)
     if dry_run:
-        return purge_summary(candidates)
+        return summarize(candidates)
     work = shared_dir(spark, "purge")
     candidates.write.mode("overwrite").parquet(f"{work}/candidates")
     candidates = spark.read.parquet(f"{work}/candidates")
@@ -64,7 +66,23 @@ def purge_job(
         if not gone.isEmpty():
             commit_purged(spark, path, gone, now)
     # One row per archive: taken before the work folder goes.
-    summary = purge_summary(candidates)
+    summary = summarize(candidates)
     rows = summary.collect()
     Storage(spark, work).remove(work)
     return spark.createDataFrame(rows, summary.schema)
+
+
+def purge_catalog(
+    spark: SparkSession,
+    database: str,
+    include: Sequence[str] = ("archive_",),
+    exclude: Sequence[str] = (),
+    **options,
+) -> DataFrame:
+    """Retention over all archive logs registered in a database, chosen by name prefix, in one job.
+
+    The logs are united, so there is one ranking, one deletion and one report with a row for all
+    archives (``IsTotal``); ``options`` are those of ``purge_job``.
+    """
+    logs = archive_log_locations(spark, database, include, exclude)
+    return purge_job(spark, logs, summarize=purge_report, **options)

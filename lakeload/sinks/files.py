@@ -27,7 +27,7 @@ def spread(listing: DataFrame, path_col: str = "path") -> DataFrame:
     return listing.repartition(tasks, F.col(path_col))
 
 
-def _locator():
+def locator():
     """File system and name of a path; made by a function so that tasks carry it with them."""
 
     def locate(path: str):
@@ -51,7 +51,7 @@ def copy_files(listing: DataFrame) -> DataFrame:
 
     Running the frame copies: write it once and read the written rows.
     """
-    locate = _locator()
+    locate = locator()
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -75,7 +75,7 @@ def copy_files(listing: DataFrame) -> DataFrame:
 
 def delete_files(listing: DataFrame, path_col: str = "path") -> DataFrame:
     """Delete the files; a file that is gone already counts as deleted."""
-    locate = _locator()
+    locate = locator()
 
     def delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

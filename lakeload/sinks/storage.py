@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
 
+LISTING_BATCH = 10_000
+
 
 class Storage:
     """Folder listing, removal and small text files with the session's storage settings."""
@@ -25,6 +30,27 @@ class Storage:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path_of(path)) if s.isDirectory())
 
+    def names(self, path: str) -> list[str]:
+        """Names of the files of a small folder."""
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path_of(path)) if s.isFile())
+
+    def file_batches(self, path: str, size: int = LISTING_BATCH) -> Iterator[list[tuple]]:
+        """The files of one folder as ``(path, modification time, length)``, ``size`` at a time."""
+        if not self.exists(path):
+            return
+        found, entries = [], self._fs.listStatusIterator(self._path_of(path))
+        while entries.hasNext():
+            status = entries.next()
+            if not status.isFile():
+                continue
+            at = dt.datetime.fromtimestamp(status.getModificationTime() / 1000, dt.timezone.utc)
+            found.append((status.getPath().toString(), at, status.getLen()))
+            if len(found) == size:
+                yield found
+                found = []
+        if found:
+            yield found
+
     def remove(self, path: str, recursive: bool = True) -> bool:
         return self._fs.delete(self._path_of(path), recursive)
 

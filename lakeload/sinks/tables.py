@@ -228,8 +228,13 @@ class LakeTable:
         replace_partitions(self.spark, self.current, state_of, touched, self.partition_by, notes={"applied": applied, "paths": list(paths)})
         return self.current
 
-    def compact(self) -> str | None:
-        """Join small files: whole table, or only crowded partitions."""
+    def compact(self, small_bytes: int = COMPACT_FILE_BYTES // 2) -> str | None:
+        """Join small files: those of the table, or crowded partitions.
+
+        The new snapshot of an unpartitioned table takes large files as they are, copied by the
+        executors, and the rows of files below ``small_bytes`` in files of the advisory size.  With
+        less than two of these nothing is done.
+        """
         folder = self.current
         if folder is None:
             return None
@@ -237,7 +242,28 @@ class LakeTable:
             # The column types stay as they are, so the table's own notes do too.
             compact_partitions(self.spark, folder, self.partition_by, self.schema())
             return folder
-        return self.write(self.read().hint("rebalance"), self.applied(), sorted(self.paths()))
+        return self._compact_files(folder, small_bytes)
+
+    def _compact_files(self, folder: str, small_bytes: int) -> str:
+        from lakeload.sinks.files import copy_files
+        from lakeload.sources.landing import direct_files
+
+        files = direct_files(self.spark, folder).where(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
+        small = [r[0] for r in files.where(F.col("length") < small_bytes).select("path").toLocalIterator()]
+        if len(small) < 2:
+            return folder
+        new = self.folder(self.versions()[-1] + 1)
+        self._storage.remove(new)
+        save_meta(self.spark, f"{new}/_meta", load_meta(self.spark, f"{folder}/_meta"))
+        large = files.where(F.col("length") >= small_bytes)
+        target = F.concat(F.lit(self._storage.qualified(new) + "/"), F.element_at(F.split("path", "/"), -1))
+        problem = copy_files(large.withColumn("target", target)).where("problem IS NOT NULL").select("problem").first()
+        if problem is not None:
+            raise OSError(f"a file of {folder} could not be copied: {problem[0]}")
+        # Written last: its mark makes the snapshot complete.
+        rows = self.spark.read.schema(self.schema()).parquet(*small)
+        rows.hint("rebalance").write.mode("append").parquet(new)
+        return new
 
     def expire(self, keep: int = 1) -> list[str]:
         """Remove all but the newest complete snapshots, and incomplete ones before them."""

@@ -7,8 +7,9 @@ from lakeload.sources.archive import (
     read_log,
     read_process_log,
 )
-from lakeload.sources.landing import list_landing, list_tree
+from lakeload.sources.landing import direct_files, list_landing, list_tree
 from lakeload.sources.tables import (
+    archive_log_locations,
     archive_tables,
     jdbc_options,
     read_archive_tables,

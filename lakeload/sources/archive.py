@@ -15,6 +15,7 @@ from lakeload.functions.identifiers import column
 from lakeload.operators.alignment import union_drifting
 from lakeload.operators.matching import members
 from lakeload.schemas import ARCHIVE_LOG, EXPORT_LOG, PROCESS_LOG
+from lakeload.sources.census import header_census, reachable, schema_census
 
 # CSV defaults of table loads and of publish and staging jobs.
 LOAD_CSV = {"encoding": "ISO-8859-1", "sep": ","}
@@ -61,9 +62,13 @@ def _read_parquet(spark: SparkSession, paths: list[str], with_file: bool) -> Dat
         if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     # A column changed its type: one scan per distinct schema, widened and united.
+    if reachable(paths):
+        kinds = list(schema_census(spark, paths).values())
+    else:
+        kinds = [[path] for path in paths]
     by_schema: dict[str, list[str]] = {}
-    for path in paths:
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    for same in kinds:
+        by_schema.setdefault(spark.read.parquet(same[0]).schema.json(), []).extend(same)
     return union_drifting([_named(spark.read.parquet(*group), with_file) for group in by_schema.values()])
 
 
@@ -74,9 +79,13 @@ def _read_csv(
     if encoding:
         options["encoding"] = encoding
     # Spark takes the header of one file for all, so files are read per distinct header.
+    if len(paths) > 1 and reachable(paths):
+        kinds = list(header_census(spark, paths, encoding).values())
+    else:
+        kinds = [[path] for path in paths]
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        by_header.setdefault(tuple(spark.read.options(**options).csv(path).columns), []).append(path)
+    for same in kinds or [paths[:1]]:
+        by_header.setdefault(tuple(spark.read.options(**options).csv(same[0]).columns), []).extend(same)
     frames = []
     for header, group in by_header.items():
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])

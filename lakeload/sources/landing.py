@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from itertools import chain
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.schemas import FILE_LISTING
+from lakeload.session import shared_dir
 from lakeload.sinks.storage import Storage
 
 
@@ -16,28 +18,25 @@ def complete_file() -> Column:
 
 
 def list_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Complete files directly below a folder: path, modificationTime, length.
-
-    Spark lists the folder; file contents are not read.
-    """
-    try:
-        files = direct_files(spark, path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in (error.getCondition() or ""):
-            return spark.createDataFrame([], FILE_LISTING)
-        raise
-    return files.where(complete_file())
+    """Complete files directly below a folder: path, modificationTime, length; none without the folder."""
+    return direct_files(spark, path).where(complete_file())
 
 
 def direct_files(spark: SparkSession, path: str) -> DataFrame:
-    """The files of a folder itself, whatever its sub-folders are called.
+    """The files of a folder itself, whatever they or its sub-folders are called.
 
-    A plain listing would take sub-folders named ``key=value`` for partitions of one table and
-    leave out, or mix in, the wrong files.  Names that start with ``_`` or ``.`` are marks of
-    writers and not listed.
+    The file system's own listing of the one folder, taken in batches: sub-folders are not
+    visited.  More than a batch is written to the shared folder, so the driver holds one batch.
     """
-    folder = Storage(spark, path).qualified(path)
-    return list_tree(spark, path).where(F.regexp_replace("path", "/[^/]*$", "") == folder)
+    batches = Storage(spark, path).file_batches(path)
+    first = next(batches, [])
+    second = next(batches, None)
+    if second is None:
+        return spark.createDataFrame(first, FILE_LISTING)
+    folder = shared_dir(spark, "listing")
+    for batch in chain([first, second], batches):
+        spark.createDataFrame(batch, FILE_LISTING).coalesce(1).write.mode("append").parquet(folder)
+    return spark.read.schema(FILE_LISTING).parquet(folder)
 
 
 def list_tree(spark: SparkSession, path: str) -> DataFrame:

@@ -31,6 +31,18 @@ def archive_tables(
     return choose_tables(sorted(names), tuple(include), tuple(exclude))
 
 
+def archive_log_locations(
+    spark: SparkSession, database: str, include: Sequence[str] = ("archive_",), exclude: Sequence[str] = ()
+) -> dict[str, str]:
+    """Folders of the registered archive logs chosen by prefix, by qualified table name."""
+    found = {}
+    for name in archive_tables(spark, database, include, exclude):
+        qualified = f"{quote(database)}.{quote(name)}"
+        about = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}").where("col_name = 'Location'")
+        found[qualified] = about.first()["data_type"]
+    return found
+
+
 def read_archive_tables(spark: SparkSession, database: str, names: Sequence[str]) -> DataFrame:
     """Several archive logs as one frame with ``ArchiveTable``, for one retention job over all."""
     frames = []

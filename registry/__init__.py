@@ -25,6 +25,7 @@ def load_all() -> None:
         exports,
         files,
         histories,
+        late,
         logs,
         merges,
         projections,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeload.functions import row_hash
 from lakeload.operators import keep_last
-from lakeload.sinks.files import _locator
+from lakeload.sinks.files import locator
 from lakeload.schemas import ARCHIVE_FILE, ARCHIVED, MODIFIED, STAGING_NAME
 
 SPLIT = "1998-06-01 00:00:00"
@@ -203,7 +203,7 @@ ORDER_DELTA_SQL = _order_sql(
 
 def write_named(df: DataFrame, name_col: str, text_col: str, folder: str, suffix: str) -> None:
     """One text file per row, named by a column; the tasks write."""
-    locate = _locator()
+    locate = locator()
 
     def run(batches):
         for batch in batches:

@@ -30,6 +30,7 @@ from lakeload.sinks.tables import LakeTable, clear_files
 from lakeload.sources.archive import SOURCE_FILE
 from lakeload.sources import (
     attach_lineage,
+    direct_files,
     list_landing,
     list_tree,
     read_archive,
@@ -133,17 +134,26 @@ def orders_landed(spark, sf, purpose: str) -> str:
     return lake
 
 
+def orders_by_day(spark, sf) -> DataFrame:
+    """The orders of each day as one text; file names begin with a digit, ``_`` or ``.``."""
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    prefix = F.element_at(F.array(F.lit(""), F.lit("_"), F.lit(".")), F.dayofmonth("o_orderdate") % 3 + 1)
+    keys = F.array_join(F.sort_array(F.collect_list("o_orderkey")), ";")
+    return x.table(spark, sf, "orders").groupBy(F.concat(prefix, day).alias("name")).agg(keys.alias("value"))
+
+
 @query(
     "list_landing",
-    """SELECT r_name || '.csv' AS name, octet_length(encode(r_regionkey || ';' || r_name)) + 1 AS size
-    FROM region""",
+    """SELECT ['', '_', '.'][CAST(day(o_orderdate) % 3 + 1 AS INTEGER)] || strftime(o_orderdate, '%Y%m%d') || '.csv' AS name,
+      octet_length(encode(string_agg(CAST(o_orderkey AS VARCHAR), ';'))) + 1 AS size
+    FROM orders GROUP BY ALL""",
 )
 def list_landing_query(spark, sf):
-    """A file per region, directly in the folder; sub-folders named like partitions do not count."""
+    """A file per day of orders, whatever its name; a folder named like a partition is not visited."""
     lake = shared_dir(spark, "landing")
-    regions = x.table(spark, sf, "region").select("r_name", F.concat_ws(";", "r_regionkey", "r_name").alias("value"))
-    x.write_named(regions, "r_name", "value", f"{lake}/ingest", ".csv")
-    x.write_named(regions, "r_name", "value", f"{lake}/ingest/yr=2001", ".csv")
+    days = orders_by_day(spark, sf)
+    x.write_named(days, "name", "value", f"{lake}/ingest", ".csv")
+    x.write_named(days, "name", "value", f"{lake}/ingest/yr=2001", ".csv")
     files = list_landing(spark, f"{lake}/ingest")
     return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"))
 
@@ -418,8 +428,8 @@ def load_fact_sliced(spark, sf):
         F.month("o_orderdate").cast("long").alias("month_of"),
     )
     kept = orders.where(F.col("o_orderpriority") != "1-URGENT")
-    orders.coalesce(1).write.parquet(f"{lake}/archive/data/yr=2001")
-    kept.coalesce(1).write.parquet(f"{lake}/archive/data/yr=2002")
+    for year, part in ((2001, orders), (2002, kept)):
+        part.repartition(4).write.parquet(f"{lake}/archive/data/yr={year}")
     log_files(spark, f"{lake}/archive/data", f"{lake}/archive/log")
     spec = spec_of(
         lake,
@@ -460,7 +470,7 @@ def load_fact_late_slice(spark, sf):
     lake = shared_dir(spark, "factlateslice")
     orders = _entered(spark, sf)
     for year, part in ((2001, orders), (2002, orders.where("o_orderpriority <> '1-URGENT'")), (2003, orders.where("mon % 2 = 0"))):
-        part.coalesce(1).write.parquet(f"{lake}/archive/data/yr={year}")
+        part.repartition(4).write.parquet(f"{lake}/archive/data/yr={year}")
     spec = spec_of(lake, bk="o_orderkey", delete_filter="mon", partition_by="mon")
     loaded_late(spark, lake, load_fact, spec, "yr=2002/", now=NOW)
     table = LakeTable(spark, f"{lake}/table", ["mon"]).read()
@@ -473,7 +483,7 @@ def load_fact_equal_stamp(spark, sf):
     lake = shared_dir(spark, "factequal")
     orders = _entered(spark, sf)
     for half in (0, 1):
-        orders.where(F.col("o_orderkey") % 2 == half).coalesce(1).write.parquet(f"{lake}/archive/data/yr=2001/half={half}")
+        orders.where(F.col("o_orderkey") % 2 == half).repartition(3).write.parquet(f"{lake}/archive/data/yr=2001/half={half}")
     loaded_late(spark, lake, load_fact, spec_of(lake, bk="o_orderkey"), "half=1/", now=NOW)
     table = LakeTable(spark, f"{lake}/table").read()
     return table.select("o_orderkey", "o_orderpriority", F.col(DELETED).isNotNull().alias("deleted"))
@@ -571,14 +581,18 @@ def publish_as_is_query(spark, sf):
     return spark.read.parquet(f"{lake}/published")
 
 
-@query("clear_target", "SELECT r_regionkey, r_name FROM region")
+@query("clear_target", ORDER_ROWS_SQL)
 def clear_target(spark, sf):
+    """A published copy of the orders and files of any name go; a sub-folder stays."""
     lake = shared_dir(spark, "clear")
-    region = x.table(spark, sf, "region")
-    region.write.parquet(f"{lake}/published")
-    region.write.parquet(f"{lake}/published/kept=1")
+    orders = whole_orders(spark, sf)
+    orders.repartition(8).write.parquet(f"{lake}/published")
+    orders.write.parquet(f"{lake}/published/kept=1")
+    x.write_named(orders_by_day(spark, sf), "name", "value", f"{lake}/published", ".csv")
     clear_files(spark, f"{lake}/published")
-    return spark.read.option("recursiveFileLookup", True).parquet(f"{lake}/published").select("r_regionkey", "r_name")
+    if not direct_files(spark, f"{lake}/published").isEmpty():
+        raise AssertionError("files are left")
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{lake}/published")
 
 
 @query(
@@ -623,7 +637,7 @@ def compact_table(spark, sf):
     """Many small files joined; the older snapshot removed."""
     lake = shared_dir(spark, "compact")
     table = LakeTable(spark, f"{lake}/table")
-    table.write(whole_orders(spark, sf))
+    table.write(whole_orders(spark, sf).repartition(16))
     table.compact()
     if table.expire(1) != [table.folder(1)]:
         raise AssertionError("the first snapshot should be removed")

@@ -195,9 +195,8 @@ def scd2_rewind_query(spark, sf):
 @query("scd2_reappear", f"{HISTORY_SQL} SELECT * FROM h")
 def scd2_reappear(spark, sf):
     """The later extracts merged one by one: vanished customers come back as new versions."""
-    table, late, _ = _split_years(spark, sf)
-    for year in (2001, 2002):
-        taken = x.stamp(f"{year}-01-01 00:00:00")
+    table, late, files = _split_years(spark, sf)
+    for taken in [F.lit(r[ARCHIVED]).cast("timestamp_ntz") for r in files.orderBy(ARCHIVED).collect()]:
         table = scd2_merge(table, late.where(F.col(ARCHIVED) == taken), ["custkey"], taken, delete="full")
     return table
 

@@ -154,12 +154,13 @@ def mark_ignorable_query(spark, sf):
 
 @query(
     "repair_log_types",
-    f"""SELECT * REPLACE (CAST(least(OriginalStagingFileSize, 2000000000) AS BIGINT) AS OriginalStagingFileSize,
+    f"""SELECT * REPLACE (OriginalStagingFileSize // 1000 AS OriginalStagingFileSize,
     CAST(NULL AS TIMESTAMP) AS OriginalModificationTime) FROM ({DAY_LOG_SQL})""",
 )
 def repair_log_types_query(spark, sf):
-    small = F.least(F.col("OriginalStagingFileSize"), F.lit(2_000_000_000)).cast("int")
-    old = day_log(spark, sf).withColumn("OriginalStagingFileSize", small).drop("OriginalModificationTime")
+    """A log that kept sizes as int, here in thousands of bytes."""
+    thousands = F.floor(F.col("OriginalStagingFileSize") / 1000).cast("int")
+    old = day_log(spark, sf).withColumn("OriginalStagingFileSize", thousands).drop("OriginalModificationTime")
     return repair_log_types(old)
 
 
@@ -195,3 +196,14 @@ def epoch_millis_query(spark, sf):
     return x.table(spark, sf, "events").select(
         "event_id", epoch_millis(millis).cast("timestamp_ntz").alias("at"), name_prefix(F.col("ts")).alias("prefix")
     )
+
+
+@query(
+    "pending_files_digest",
+    f"""{_PENDING} AND ArchiveDatetimeUTC > TIMESTAMP '1997-06-01 12:00:00'
+    AND ArchiveFilePath NOT IN (SELECT ArchiveFilePath FROM ({DONE_SQL}))""",
+)
+def pending_files_digest(spark, sf):
+    """The search is limited to log days whose digests differ between the logs."""
+    log, done = day_log(spark, sf), done_log(spark, sf)
+    return pending_files(log, done, initial=x.stamp("1997-06-01 12:00:00"), by="digest")

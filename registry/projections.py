@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeload.functions import catalog_name, parse_columns, row_hash
+from lakeload.functions import catalog_name, catalog_name_of, parse_columns, row_hash
 from lakeload.operators import (
     complex_as_string,
     drop_null_keys,
@@ -189,5 +189,4 @@ def catalog_names(spark, sf):
     expected = catalog_name("/source/data-set/")
     if expected != "archive_source_data_set":
         raise AssertionError(expected)
-    cleaned = F.concat(F.lit("archive_"), F.regexp_replace(F.trim(F.col("url"), F.lit("/")), r"[/\\-]", "_"))
-    return x.table(spark, sf, "pages").select("url", cleaned.alias("name"))
+    return x.table(spark, sf, "pages").select("url", catalog_name_of(F.col("url")).alias("name"))

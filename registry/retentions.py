@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from lakeload.functions import archive_calendar, human_bytes
+from lakeload.plans import purge_catalog
+from lakeload.session import shared_dir
+from lakeload.sinks.logs import append_archive_log
+from lakeload.sinks.tables import register_table
+from lakeload.schemas import ARCHIVE_LOG, LOG_PARTITION
 from lakeload.operators import mark_purged, purge_candidates, purge_summary, purge_totals
 from registry import extracts as x
 from registry import query
@@ -176,3 +183,38 @@ def human_bytes_query(spark, sf):
     )
     sized = x.table(spark, sf, "orders").select("o_orderkey", size.alias("size"))
     return sized.withColumn("text", human_bytes(F.col("size")))
+
+
+def _report_sql(candidates: str) -> str:
+    """Sums per table and over all, and their texts made from the sums alone."""
+    return f"""WITH c AS ({candidates})
+      SELECT ArchiveTable, grouping(ArchiveTable) = 1 AS IsTotal,
+        CAST(coalesce(sum(OriginalStagingFileSize) FILTER (NOT IsPurged AND IsToBePurged), 0) AS BIGINT) AS BytesToPurge,
+        CAST(coalesce(sum(OriginalStagingFileSize) FILTER (NOT IsPurged AND NOT IsToBePurged), 0) AS BIGINT) AS BytesToRetain,
+        CAST(coalesce(sum(OriginalStagingFileSize) FILTER (IsPurged), 0) AS BIGINT) AS BytesPurged
+      FROM c GROUP BY ROLLUP (ArchiveTable)"""
+
+
+_CATALOG_LOG_SQL = f"SELECT * FROM ({EVENT_LOG_SQL}) WHERE ArchiveTable NOT LIKE 'archive_view%'"
+
+
+@query("purge_catalog", _report_sql(candidates_sql(_CATALOG_LOG_SQL, CUTOFF)))
+def purge_catalog_query(spark, sf):
+    """The logs of a database, one left out by its prefix, in one job with totals."""
+    lake, database = shared_dir(spark, "purgecatalog"), "purge_catalog_query"
+    log = event_log(spark, sf)
+    filled = [F.lit(None).cast(f.dataType).alias(f.name) for f in ARCHIVE_LOG.fields if f.name not in log.columns]
+    log = log.select("*", *filled).withColumn("IsIgnorable", F.lit(False)).persist()
+    names = [r[0] for r in log.select("ArchiveTable").distinct().collect()]
+    for name in names:
+        append_archive_log(log.where(F.col("ArchiveTable") == name), f"{lake}/{name}")
+        register_table(spark, f"{database}.{name}", f"{lake}/{name}", ARCHIVE_LOG, [LOG_PARTITION])
+    log.unpersist()
+    days = dt.timedelta(days=31)
+    now = dt.datetime.fromisoformat(CUTOFF).replace(tzinfo=dt.timezone.utc) + days
+    report = purge_catalog(spark, database, exclude=["archive_view"], now=now, older_than_days=31)
+    table = F.regexp_extract("ArchiveTable", "`([^`]*)`$", 1)
+    return report.select(
+        F.when(F.col("ArchiveTable").isNotNull(), table).alias("ArchiveTable"),
+        "IsTotal", "BytesToPurge", "BytesToRetain", "BytesPurged",
+    )

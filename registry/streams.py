@@ -8,7 +8,8 @@ from lakeload.plans import load_scd2
 from lakeload.plans.load import END_DATE
 from lakeload.schemas import END, START
 from lakeload.sinks.tables import LakeTable
-from lakeload.streaming import archive_stream, export_stream, load_stream
+from lakeload.sinks.storage import Storage
+from lakeload.streaming import archive_stream, export_stream, exported_rows, load_stream
 from lakeload.session import shared_dir
 from registry import extracts as x
 from registry import query
@@ -64,3 +65,21 @@ def export_stream_query(spark, sf):
             available_now=True,
         ).awaitTermination()
     return spark.read.parquet(f"{lake}/out")
+
+
+@query("export_stream_once", "SELECT event_id, user_id, event_type, value FROM events")
+def export_stream_once(spark, sf):
+    """A batch whose end was not recorded is written again and replaces itself."""
+    lake = shared_dir(spark, "exportonce")
+    events = x.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    early = F.col("event_type") == "click"
+    for part in (events.where(early), events.where(~early)):
+        part.write.mode("append").parquet(f"{lake}/changes")
+        for _ in range(2):
+            run = {"target": f"{lake}/out", "available_now": True}
+            export_stream(spark, f"{lake}/changes", events.schema, f"{lake}/checkpoint", **run).awaitTermination()
+            # As after a crash between the write of the batch and its mark in the checkpoint.
+            commits = Storage(spark, lake)
+            last = max(commits.names(f"{lake}/checkpoint/commits"), key=lambda n: int(n) if n.isdigit() else -1)
+            commits.remove(f"{lake}/checkpoint/commits/{last}")
+    return exported_rows(spark, f"{lake}/out")
