@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from lakeload.llm.common import staged
 from lakeload.operators.matching import members
 
-#: Slots that one row of the draw stands for, and rows of one ordered bucket.
+#: Slots that one row of the draw stands for, and rows of one ordered bucket (about).
 RUN_SLOTS = 65_536
-BUCKET_ROWS = 65_536
+BUCKET_ROWS = 4_096
 #: A mixture is a list of sources with weights; the driver holds that list.
 MOST_SOURCES = 100_000
 
@@ -227,7 +227,9 @@ def _slots(spark, counts: np.ndarray, blocks: list[int], seed: int) -> DataFrame
         cells, "shard int, number int, before_source long, before_shard long, shard_slots long, blocks long, n long"
     )
     run = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN_SLOTS).cast("long")))
-    runs = drawn.withColumn("first", run).repartition("shard", "number", "first")
+    # A given number of tasks: adaptive execution would join these few bytes, and one task would make all slots.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = drawn.withColumn("first", run).repartition(tasks, "shard", "number", "first")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,4 +246,5 @@ def _slots(spark, counts: np.ndarray, blocks: list[int], seed: int) -> DataFrame
                     [*alike, pa.array(slot), pa.array(block)], names=["shard", "number", "slot", "block"]
                 )
 
-    return runs.mapInArrow(make, "shard int, number int, slot long, block long")
+    # As a table its size is known to the join with the pieces.
+    return staged(runs.mapInArrow(make, "shard int, number int, slot long, block long"), "mixing-slots")
