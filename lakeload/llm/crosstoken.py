@@ -3,19 +3,20 @@
 Token-byte incidence matrices A and B in compressed sparse rows; the products A x B' (Gustavson, row
 by row) are the overlap links, the products of token-group incidences the shared-group links.
 
-Both tokenizers treat a blank between two characters that are no white space as the start of a
-word, so a text is a sequence of such words, each aligned by itself and once per worker.  Counts
+Both tokenizers treat a blank or line feed between two characters that are no white space as the
+start of a word, so a text is a sequence of such words, each aligned by itself and once per worker.  Counts
 over the corpus come from joins of the pairs that occur in blocks of documents.
 """
 
 from __future__ import annotations
 
+import copy
 import functools
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeload.llm.common import staged
-from lakeload.llm.tokens import byte_letters
+from lakeload.llm.tokens import Encoder, vocabulary
 
-#: Where both tokenizers begin a new word.
-CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Text of one block in characters; a longer document is a block of its own.
 BLOCK_CHARS = 2 << 20
 #: Words aligned by one product, in characters, and words a worker remembers.
 BATCH_CHARS = 1 << 18
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 300_000
 
 
 @dataclass
@@ -79,88 +78,120 @@ class Csr:
 
 
 class Aligner:
-    """Two tokenizers and the alignments of the words seen lately."""
+    """Two tokenizers and the alignments of the words seen lately.
+
+    A word is given with the blank or line feed before it, which is its first token's first byte.
+    """
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
+        plain = copy.copy(vocabulary(path_a))
         # Special strings in a text are ordinary text.
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        plain.special = {}
+        self.a = Encoder(path_a, cached_words=100_000)
+        self.a.vocabulary = plain
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        letters, vocab = byte_letters(), self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = [b""] * (1 + max(vocab.values()))
-        for word, i in vocab.items():
-            self.bytes_a[i] = bytes(map(letters.__getitem__, word))
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_a = plain.bytes
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
-        # A piece with a blank after another character would join words.
-        joined = any("▁" in p.lstrip("▁") for p in pieces)
-        self.words_of = (lambda text: [text]) if joined else CUT.split
+        self.long_a, self.long_b = (np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b))
+        # A piece with a blank or line feed after another character would join words.
+        cut = None if any("▁" in p.lstrip("▁") for p in pieces) else r" "
+        if cut and not any("\n" in p for p in pieces) and self._pieces(["\na"])[0][:1] == [b"\n"]:
+            cut = r"[ \n]"
+        self.cut = re.compile(rf"(?<=\S)(?={cut}\S)") if cut else None
+        # Ids as text, with what may follow them in the text of groups.
+        self.names_a = [f"{i}{c}" for c in ",|" for i in range(len(self.bytes_a))]
+        self.names_b = [f"{i}{c}" for c in ",;" for i in range(len(self.bytes_b))]
         self.known: dict[str, tuple | None] = {}
 
+    def words_of(self, text: str) -> list[str]:
+        text = " " + text
+        return self.cut.split(text) if self.cut else [text]
+
+    def _encode_b(self, words: list[str]) -> list[list[int]]:
+        """B puts a blank before each text: it stands for a word's own one, or is taken off again."""
+        ids = self.b.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
+        return [i if w[0] == " " else i[1:] for i, w in zip(ids, words)]
+
+    def _pieces(self, words: list[str]) -> list[list[bytes]]:
+        return [[self.bytes_b[i] for i in ids] for ids in self._encode_b(words)]
+
     def word_alignments(self, words: list[str]) -> list[tuple | None]:
         """For each word ``(n_a, n_b, n_groups, n_links, n_shared, groups, pairs)``, or None where the
         tokens do not spell it."""
-        missing = [w for w in words if w not in self.known]
+        found = list(map(self.known.get, words, repeat(0)))
+        missing = [w for w, f in zip(words, found) if f == 0]
         if len(self.known) + len(missing) > KNOWN_WORDS:
             self.known.clear()
-            missing = words
         begin = size = 0
+        fresh: dict[str, tuple | None] = {}
         for i, word in enumerate(missing):
             size += len(word)
             if size >= BATCH_CHARS or i + 1 == len(missing):
                 part = missing[begin : i + 1]
-                self.known.update(zip(part, self._align(part)))
+                fresh.update(zip(part, self._align(part)))
                 begin, size = i + 1, 0
-        return [self.known[w] for w in words]
+        if len(fresh) <= KNOWN_WORDS:
+            self.known.update(fresh)
+        return [fresh[w] if f == 0 else f for w, f in zip(words, found)]
 
     def _align(self, words: list[str]) -> list[tuple | None]:
-        spaced = [" " + w for w in words]
-        ids_a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
-        ids_b = self.b.encode(words, num_threads=1)
-        good = [
-            i
-            for i, (text, a, b) in enumerate(zip(spaced, ids_a, ids_b))
-            if b"".join(map(self.bytes_a.__getitem__, a)) == text.encode() == b"".join(map(self.bytes_b.__getitem__, b))
-        ]
+        ids_a, ids_b = self.a.encode(words), self._encode_b(words)
+        n_a = np.array([len(x) for x in ids_a]) // 4
+        n_b = np.array([len(x) for x in ids_b])
+        flat_a = np.frombuffer(b"".join(ids_a), "<u4").astype(np.int64)
+        flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64, int(n_b.sum()))
+        texts = [w.encode() for w in words]
+        good = self._spelt(flat_a, n_a, self.long_a, self.bytes_a, texts) & self._spelt(
+            flat_b, n_b, self.long_b, self.bytes_b, texts
+        )
         out: list[tuple | None] = [None] * len(words)
-        if not good:
+        if not good.any():
             return out
-        flat_a = np.array([t for i in good for t in ids_a[i]], np.int64)
-        flat_b = np.array([t for i in good for t in ids_b[i]], np.int64)
-        a = Csr.of_runs(np.array([len(self.bytes_a[t]) for t in flat_a.tolist()]))
-        b = Csr.of_runs(np.array([len(self.bytes_b[t]) for t in flat_b.tolist()]))
-        borders = np.intersect1d(a.starts[1:], b.starts[1:])
+        flat_a, flat_b = flat_a[np.repeat(good, n_a)], flat_b[np.repeat(good, n_b)]
+        n_a, n_b = n_a[good], n_b[good]
+        a, b = Csr.of_runs(self.long_a[flat_a]), Csr.of_runs(self.long_b[flat_b])
+        borders = np.intersect1d(a.starts[1:], b.starts[1:], assume_unique=True)
         group_a, group_b = np.searchsorted(borders, a.starts[1:]), np.searchsorted(borders, b.starts[1:])
         links = a.times(b.transposed())
         shared = Csr.of_labels(group_a, len(borders)).times(Csr.of_labels(group_b, len(borders)).transposed())
         pairs = (flat_a[links.rows()] << 32) | flat_b[links.columns]
-        first_a = np.concatenate([[0], np.cumsum([len(ids_a[i]) for i in good])]).tolist()
-        first_b = np.concatenate([[0], np.cumsum([len(ids_b[i]) for i in good])]).tolist()
+        # The tokens of each group, those of A first; the last one of each side has another sign behind it.
+        last_a, last_b = np.append(group_a[1:] != group_a[:-1], True), np.append(group_b[1:] != group_b[:-1], True)
+        names = list(map(self.names_a.__getitem__, (flat_a + last_a * len(self.bytes_a)).tolist()))
+        names += map(self.names_b.__getitem__, (flat_b + last_b * len(self.bytes_b)).tolist())
+        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
+        names = list(map(names.__getitem__, order.tolist()))
         # Words end where tokens of both end, so groups and links lie within words.
-        text_a, text_b = self._grouped(flat_a, group_a, len(borders)), self._grouped(flat_b, group_b, len(borders))
-        for k, i in enumerate(good):
-            (a0, a1), (b0, b1) = first_a[k : k + 2], first_b[k : k + 2]
-            g0, g1 = int(group_a[a0]), int(group_a[a1 - 1]) + 1
-            groups = ";".join(f"{x}|{y}" for x, y in zip(text_a[g0:g1], text_b[g0:g1]))
-            own = pairs[links.starts[a0] : links.starts[a1]]
-            n_shared = int(shared.starts[a1] - shared.starts[a0])
-            out[i] = (a1 - a0, b1 - b0, g1 - g0, len(own), n_shared, groups, own)
+        ends_a, ends_b = np.cumsum(n_a), np.cumsum(n_b)
+        ends_group = group_a[ends_a - 1] + 1
+        ends_link, ends_shared = links.starts[ends_a], shared.starts[ends_a]
+        counts = [np.diff(x, prepend=0).tolist() for x in (ends_group, ends_link, ends_shared)]
+        names_end, link_end = (ends_a + ends_b).tolist(), ends_link.tolist()
+        raw, x, y = pairs.tobytes(), 0, 0
+        rows = zip(np.flatnonzero(good).tolist(), n_a.tolist(), n_b.tolist(), *counts, names_end, link_end)
+        for i, na, nb, groups, linked, together, name, link in rows:
+            out[i] = (na, nb, groups, linked, together, "".join(names[x:name])[:-1], raw[8 * y : 8 * link])
+            x, y = name, link
         return out
 
     @staticmethod
-    def _grouped(ids: np.ndarray, group: np.ndarray, n: int) -> list[str]:
-        ends = np.searchsorted(group, np.arange(n), "right").tolist()
-        names = list(map(str, ids.tolist()))
-        return [",".join(names[x:y]) for x, y in zip([0, *ends], ends)]
+    def _spelt(flat: np.ndarray, n: np.ndarray, long: np.ndarray, table: list[bytes], texts: list[bytes]) -> np.ndarray:
+        """Which texts their tokens spell."""
+        ends = np.cumsum(n)
+        total = np.concatenate([[0], np.cumsum(long[flat])])
+        sizes = total[ends] - total[ends - n]
+        good = (sizes == np.array([len(t) for t in texts])) & (n > 0)
+        if good.all() and b"".join(map(table.__getitem__, flat.tolist())) == b"".join(texts):
+            return good
+        for i in np.flatnonzero(good).tolist():
+            good[i] = b"".join(map(table.__getitem__, flat[ends[i] - n[i] : ends[i]].tolist())) == texts[i]
+        return good
 
 
 @functools.lru_cache(maxsize=2)
@@ -196,18 +227,19 @@ class _Block:
         found = self.tool.word_alignments(list(self.numbers))
         spelt = np.array([f is not None for f in found], bool)
         table = np.array([f[:5] if f else (0,) * 5 for f in found], np.int64).reshape(-1, 5)
+        texts = [f[5] if f else "" for f in found]
         counts, digests, kept = [], [], []
         for words in self.words:
             fine = len(words) > 0 and spelt[words].all()
             kept.append(words if fine else words[:0])
             counts.append(table[words].sum(0) if fine else np.zeros(5, np.int64))
-            groups = ";".join([found[w][5] for w in words.tolist()]) if fine else ""
+            groups = ";".join(map(texts.__getitem__, words.tolist())) if fine else ""
             digests.append(hashlib.sha256(groups.encode()).hexdigest() if fine else "")
         times = np.bincount(np.concatenate([np.zeros(0, np.int32), *kept]), minlength=len(found))
-        links = [f[6] if f else np.zeros(0, np.int64) for f in found]
-        flat = np.concatenate([np.zeros(0, np.int64), *links])
+        flat = np.frombuffer(b"".join([f[6] for f in found if f]), np.int64)
+        widths = table[:, 3]
         pairs, position = np.unique(flat, return_inverse=True)
-        often = np.bincount(position, np.repeat(times, [len(x) for x in links]), len(pairs)).astype(np.int64)
+        often = np.bincount(position, np.repeat(times, widths), len(pairs)).astype(np.int64)
         columns = {
             "block": pa.array([number], pa.int64()),
             "ids": pa.array([self.ids], pa.list_(id_type)),
@@ -216,7 +248,7 @@ class _Block:
             "words": pa.array([np.concatenate([np.zeros(0, np.int32), *kept]).tobytes()], pa.binary()),
             "lengths": pa.array([np.array([len(x) for x in kept], np.int32).tobytes()], pa.binary()),
             "places": pa.array([position.astype(np.int32).tobytes()], pa.binary()),
-            "widths": pa.array([np.array([len(x) for x in links], np.int32).tobytes()], pa.binary()),
+            "widths": pa.array([widths.astype(np.int32).tobytes()], pa.binary()),
             "pairs": pa.array([pairs], pa.list_(pa.int64())),
             "often": pa.array([often], pa.list_(pa.int64())),
         }
