@@ -10,18 +10,23 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.llm.common import staged
+from lakeload.operators.matching import members
 
-#: Odd multipliers of the two rolling hashes.
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_BLANKS = np.zeros(256, bool)
-_BLANKS[[9, 10, 11, 12, 13, 32]] = True
+#: Bases of the two rolling hashes, polynomials modulo a prime: modulo a power of two every odd base
+#: would collide on the same inputs.
+BASES = (0x19E3779B97F4A7C1, 0x12B2AE3D27D4EB4F)
+PRIME = (1 << 61) - 1
+_P, _LOW31, _LOW30 = np.uint64(PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_30, _31, _61 = np.uint64(30), np.uint64(31), np.uint64(61)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -32,11 +37,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> _61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo ``PRIME`` of numbers below it, from halves of 31 bits."""
+    a_up, a_low, b_up, b_low = a >> _31, a & _LOW31, b >> _31, b & _LOW31
+    middle = a_low * b_up + a_up * b_low
+    return _reduced(a_up * b_up * np.uint64(2) + (middle >> _30) + ((middle & _LOW30) << _31) + a_low * b_low)
+
+
 class _Powers:
-    """Powers of a base and of its inverse modulo 2^64, as many as were asked for."""
+    """Powers of a base and of its inverse modulo ``PRIME``, as many as were asked for."""
 
     def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.base, self.inverse = base % PRIME, pow(base, -1, PRIME)
         self.up = self.down = np.ones(1, np.uint64)
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,9 +64,11 @@ class _Powers:
 
     @staticmethod
     def _of(base: int, size: int) -> np.ndarray:
-        steps = np.full(size, base, np.uint64)
-        steps[0] = 1
-        return np.cumprod(steps, dtype=np.uint64)
+        out = np.ones(1, np.uint64)
+        while len(out) < size:
+            step = np.full(len(out), pow(base, len(out), PRIME), np.uint64)
+            out = np.concatenate([out, _product(out, step)])
+        return out
 
 
 _POWERS = [_Powers(b) for b in BASES]
@@ -57,54 +76,41 @@ _POWERS = [_Powers(b) for b in BASES]
 
 def _prefix(values: np.ndarray, which: int) -> np.ndarray:
     up, _ = _POWERS[which].get(len(values) + 1)
+    terms = _product(values, up[: len(values)])
+    # Sums of the halves stay below 2^64 for any batch; they are put together modulo the prime.
+    low, high = np.cumsum(terms & _LOW31, dtype=np.uint64), np.cumsum(terms >> _31, dtype=np.uint64)
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], dtype=np.uint64, out=out[1:])
+    out[1:] = _reduced(_reduced(low) + _product(_reduced(high), np.full(len(high), 1 << 31, np.uint64)))
     return out
 
 
 def _run(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
     """Hash of values ``begin`` to ``end``, the same wherever they stand."""
     _, down = _POWERS[which].get(len(prefix))
-    return _mixed((prefix[end] - prefix[begin]) * down[begin] + (end - begin).astype(np.uint64))
+    between = _reduced(prefix[end] + (_P - prefix[begin]))
+    return _mixed(_product(between, down[begin]) + (end - begin).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 class Words:
-    """Word hashes of a batch of texts, one buffer of bytes after another."""
+    """Word hashes of a batch of texts, one buffer of bytes after another.
+
+    A word is known by the two halves of its XXH3-128, each a number modulo ``PRIME``.
+    """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        inside = ~_BLANKS[data]
-        before = np.empty(len(data), bool)
-        before[1:] = inside[:-1]
-        if len(data):
-            before[0] = False
-        # The first byte of a text begins a word even if the text before ends in one.
-        firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
-        begin_mask = inside & ~before
-        begin_mask[firsts] = inside[firsts]
-        after = np.empty(len(data), bool)
-        after[:-1] = inside[1:]
-        if len(data):
-            after[-1] = False
-        end_mask = inside & ~after
-        lasts = firsts_to_lasts(offsets)
-        end_mask[lasts] = inside[lasts]
-        self.begin = np.flatnonzero(begin_mask)
-        end = np.flatnonzero(end_mask) + 1
-        values = data.astype(np.uint64) + np.uint64(1)
-        self.hash = [_run(_prefix(values, k), self.begin, end, k) for k in (0, 1)]
+        raw = data.tobytes()
+        words = [raw[a:b].split() for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+        digests = b"".join(map(xxhash.xxh3_128_digest, chain.from_iterable(words)))
+        halves = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        self.hash = [_reduced(np.ascontiguousarray(halves[:, k])) for k in (0, 1)]
         #: Words before each text, and at last in all.
-        self.bounds = np.searchsorted(self.begin, offsets)
+        self.bounds = np.cumsum([0, *map(len, words)])
         self.prefix = [_prefix(h, k) for k, h in enumerate(self.hash)]
 
     def run(self, begin: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
         return _run(self.prefix[which], begin, end, which)
 
 
-def firsts_to_lasts(offsets: np.ndarray) -> np.ndarray:
-    """The last byte of each text that has one."""
-    return offsets[1:][offsets[:-1] < offsets[1:]] - 1
-
-
 def anchors_of(hashes: np.ndarray, span: int) -> np.ndarray:
     """For each window of ``span`` hashes the place of its smallest one, the rightmost of equals."""
     count = len(hashes) - span + 1
@@ -156,7 +162,7 @@ def seeds(docs: DataFrame, threshold: int, anchor: int) -> DataFrame:
     """``(doc, mark, anchor, context1, context2, first, last)``: anchors of each document.
 
     ``first`` to ``last`` are the starts of the windows that have this anchor; the context is a
-    128-bit hash of all words of those windows and of where the anchor stands among them.
+    two-part hash of all words of those windows and of where the anchor stands among them.
     """
 
     def run(batches):
@@ -237,7 +243,8 @@ def repeats(docs: DataFrame, threshold: int = 50, anchor: int = 17) -> DataFrame
     some = staged(found.join(shared, "anchor"), "shared-seeds")
     contexts = some.groupBy("anchor", "context1", "context2").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     several = some.groupBy("anchor").agg((F.min("context1") < F.max("context1")).alias("several"))
-    known = contexts.join(several, "anchor").where("several OR least < most").drop("most")
+    # An anchor may stand in many neighbourhoods.
+    known = members(contexts, several, ["anchor"], "inner").where("several OR least < most").drop("most")
     hits = staged(some.join(known, ["anchor", "context1", "context2"]).select("doc", "mark", "first", "last", "least", "several"), "seed-hits")
     # The whole neighbourhood of the anchor stands in a smaller document: all its windows do.
     whole = hits.where("doc > least").select("doc", "mark", "first", "last")
@@ -272,7 +279,7 @@ def substring_dedup(
     Seeds are joined by anchor hash through aggregates: a passage in any number of documents costs
     rows in proportion.  Where a seed's whole neighbourhood repeats, all its windows are taken at
     once; only the first document of each neighbourhood is extended window by window against the
-    others.  Windows are compared by 128 bits of hash.
+    others.  Windows are compared by two hashes of 61 bits, made from 128 bits of each word.
 
     Null texts stay null and have no words.  Rows with a null id lose nothing and make others lose
     nothing.  Repeated rows are alike and lose the same words; rows of one id and other texts are

@@ -467,3 +467,40 @@ def test_quality_learns_an_interaction():
     alone = quality.fit(x, y, rounds=30, pairs=0)
     both = quality.fit(x, y, rounds=30, pair_rounds=60)
     assert ((alone.scores(x) > 0.5) == y).mean() < 0.75 < 0.97 < ((both.scores(x) > 0.5) == y).mean()
+
+
+def test_words_that_collide_modulo_powers_of_two(spark):
+    """Polynomials modulo 2^64 give these two words one hash, whatever their odd base."""
+    pattern = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = pattern.translate(str.maketrans("ab", "ba"))
+    assert substrings.Words(*_buffers([pattern])).hash[0] != substrings.Words(*_buffers([other])).hash[0]
+    around = " ".join(["same"] * 60)
+    docs = spark.createDataFrame([(1, f"{around} {pattern} {around}"), (2, f"{around} {other} {around}"[:1390])], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substrings.substring_dedup(docs).collect()}
+    want = plain_repeats([(r.doc_id, r.text) for r in docs.collect()])
+    assert {i: v[:2] for i, v in got.items()} == {i: tuple(v[:2]) for i, v in want.items()}
+    sequence = [pattern[i] for i in range(1024)]
+    swapped = [other[i] for i in range(1024)]
+    one, two = (substrings.Words(*_buffers([" ".join(w)])) for w in (sequence, swapped))
+    for k in (0, 1):
+        ends = np.array([0]), np.array([1024])
+        assert one.run(*ends, k) != two.run(*ends, k)
+
+
+def _buffers(texts):
+    data = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
+
+
+def test_products_modulo_the_prime():
+    rng = random.Random(6)
+    a, b = ([rng.randrange(substrings.PRIME) for _ in range(300)] + [0, 1, substrings.PRIME - 1] for _ in range(2))
+    got = substrings._product(np.array(a, np.uint64), np.array(b, np.uint64)).tolist()
+    assert got == [x * y % substrings.PRIME for x, y in zip(a, b)]
+    values = np.array(a, np.uint64)
+    sums = substrings._prefix(values, 1)
+    base = substrings.BASES[1]
+    want = [0]
+    for i, x in enumerate(a):
+        want.append((want[-1] + x * pow(base, i, substrings.PRIME)) % substrings.PRIME)
+    assert sums.tolist() == want
