@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from decimal import Decimal
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.session import shared_dir
+from lakeload.sinks.storage import Storage
 
 
 ROW_GROUP_BYTES = 16 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +32,15 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, f"llm-{purpose}")
     df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._folder = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove staged tables of which all that was needed has been written."""
+    for table in tables:
+        Storage(table.sparkSession, table._folder).remove(table._folder)
 
 
 def renamed(df: DataFrame) -> DataFrame:
@@ -48,6 +62,40 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def slices(batch: pa.RecordBatch, column: int = 1, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose texts take about ``limit`` bytes, so that few are Python objects at once."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
+def _by_id(id_col: str, rest: Column) -> Column:
+    """A number that orders rows by their integer id, null last, then by 56 bits of ``rest``."""
+    lowest, beyond, step = (F.lit(Decimal(n)) for n in (1 << 63, 1 << 64, 1 << 56))
+    place = F.coalesce((F.col(id_col).cast("decimal(20,0)") + lowest).cast("decimal(21,0)"), beyond.cast("decimal(21,0)"))
+    return (place * step.cast("decimal(17,0)") + rest).cast("decimal(38,0)")
+
+
+def numbered(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` as a table with ``__row``, a number of its own for each row, also of repeated ones.
+
+    Numbers follow the integer id, null last.  They are written once, so all later steps see the same.
+    """
+    return staged(docs.withColumn("__row", _by_id(id_col, F.monotonically_increasing_id())), "numbered")
+
+
+def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with ``__row``, a number made from id and text: equal for repeated rows, other for
+    other texts of one id."""
+    content = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), 8)
+    return docs.withColumn("__row", _by_id(id_col, content))
+
+
 def per_document(
     docs: DataFrame, id_col: str, text_col: str, work: Callable[[list], list[tuple]], schema: str, binary: bool = False
 ) -> DataFrame:
@@ -62,7 +110,7 @@ def per_document(
     out = f"{id_col} {id_type}, {schema}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             rows = work(batch.column(1).to_pylist())
             columns = zip(*rows, strict=True) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays(
@@ -97,7 +145,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if state[0] == 0:
             break
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        before, edges = edges, staged(_small_star(_large_star(edges)), "edges")
+        discard(before)
         after = _edge_state(edges)
         if after == state:
             break

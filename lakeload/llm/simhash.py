@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import components, per_document, renamed, staged
+from lakeload.llm.common import components, discard, per_document, renamed, staged
 from lakeload.llm.vectors import _forest
 
 BITS = 64
@@ -387,11 +387,14 @@ def near_copies(
         ]
 
     described_as = "same binary, size int, sketch binary, prefix binary"
-    rows = staged(per_document(docs, id_col, text_col, described, described_as, binary=True), "sketches")
+    rows = per_document(docs, id_col, text_col, described, described_as, binary=True)
     firsts = [F.first(c).alias(c) for c in ("size", "sketch", "prefix")]
     # Numbered once, in a written table.
-    nodes = staged(rows.groupBy("same").agg(F.min(id_col).alias("least"), *firsts).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    keyed = staged(shared_keys(nodes), "shared-keys")
+    full = staged(rows.groupBy("same").agg(F.min(id_col).alias("least"), *firsts).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    keyed = staged(shared_keys(full), "shared-keys")
+    # Prefixes are most of the table and done with.
+    nodes = staged(full.drop("prefix"), "nodes")
+    discard(full)
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         return staged(_shingles_of(wanted, nodes, docs, id_col, text_col, size), "shingles")
@@ -399,11 +402,14 @@ def near_copies(
     def similar(pairs: DataFrame) -> DataFrame:
         pairs = staged(_checked(pairs, nodes, "sketch", lambda x, y: _sketches_near(x, y, similarity)), "sketch-pairs")
         sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
-        return staged(_checked(pairs, sets, "shingles", lambda x, y: jaccard(x, y) >= similarity), "near-links")
+        links = staged(_checked(pairs, sets, "shingles", lambda x, y: jaccard(x, y) >= similarity), "near-links")
+        discard(pairs, sets)
+        return links
 
     links = similar(leader_candidates(keyed))
     roots = staged(components(links).distinct(), "near-roots")
-    keyed = staged(open_keys(keyed, roots), "open-keys")
+    every, keyed = keyed, staged(open_keys(keyed, roots), "open-keys")
+    discard(every)
     few, many = keyed.where(F.col("n") <= hot), keyed.where(F.col("n") > hot)
     found = []
     if not few.isEmpty():
@@ -417,4 +423,10 @@ def near_copies(
     )
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     members = rooted.join(named, "root").select("same", "component_id")
-    return rows.select(id_col, "same").join(members, "same").select(id_col, "component_id")
+
+    def known(bodies: list) -> list[tuple]:
+        return [(xxhash.xxh3_128_digest(shingle_set(t, size).tobytes()),) for t in bodies]
+
+    # The sets are made again: writing them beside the prefixes would cost more than their words do.
+    again = per_document(docs, id_col, text_col, known, "same binary", binary=True)
+    return again.join(members, "same").select(id_col, "component_id")
