@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import remainder, staged, table
+from lakeload.llm.common import marked, numbered, remainder, staged, table
 from lakeload.llm.exact import exact_dedup
 from lakeload.llm.packing import pack_documents
 from lakeload.llm.quality import train_quality, with_quality
@@ -19,33 +19,54 @@ from lakeload.llm.tokens import default_vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts are scored like others.  Each row is judged by its text, so repeated rows
+    share a fate; an empty table stays empty.
+    """
     labels = table(spark, sf_dir, "labels")
     model = train_quality(docs, labels, remainder("doc_id", 4) == 2)
     return with_quality(docs, model).where("predicted = 1").select(docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id stays."""
-    return exact_dedup(docs, keep="smallest").where("kept").select(docs.columns)
+    """Of texts equal but for the case of A-Z one row stays: that of the smallest id, null last.
+
+    Null counts as empty.  Of repeated rows one stays; an empty table stays empty.
+    """
+    rows = numbered(docs)
+    return exact_dedup(rows, "__row", keep="smallest").where("kept").select(docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest
-    id stays; rows without an id stay."""
-    dropped = near_copies(docs).where("doc_id <> component_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """Of near copies (five-word shingles, similarity 0.8 or more) one row stays: that of the
+    smallest id, null last.
+
+    Null and empty texts are copies of each other.  Rows are told apart by id and text, so other
+    texts of a dropped id stay; of repeated rows one stays, an empty table stays empty.
+    """
+    rows = marked(docs)
+    found = staged(near_copies(rows, "__row"), "near-rows")
+    kept = found.where("__row = component_id").groupBy("__row").agg(F.count("*").alias("n"))
+    once, several = (rows.join(kept.where(n).select("__row"), "__row", "left_semi") for n in ("n = 1", "n > 1"))
+    return once.unionByName(several.dropDuplicates(["__row"])).select(docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words and more that a document with a smaller id has are cut out."""
+    """Passages of 50 words and more that a document with a smaller id has are cut out.
+
+    Null texts and rows with a null id stay as they are; repeated rows lose the same words.
+    """
     cut = substring_dedup(docs)
     n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of power-of-two lengths up to 1024."""
+    """Token sequences of power-of-two lengths up to 1024.
+
+    A null text is an empty one and has the end token alone; an empty table has no sequences.
+    """
     return pack_documents(docs, default_vocabulary())
 
 
