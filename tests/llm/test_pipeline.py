@@ -54,6 +54,26 @@ def test_stages_take_empty_and_odd_tables(spark):
             assert frame.count() >= least
 
 
+STAGE = dict(corpus_pipeline.STAGES)
+
+
+def test_one_survivor_of_repeated_rows(spark):
+    """Rows are told apart by themselves, not by their ids."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    base = " ".join(f"word{i}" for i in range(40))
+    texts = [(1, base), (1, base), (1, base.upper()), (2, "quite another text of a few words"), (2, f"{base} more"), (None, base), (None, "alone")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts], schema)
+    exact = rows_of(STAGE["exact_dedup"](spark, docs, SF))
+    assert sorted(exact, key=repr) == sorted([(1, base), *texts[3:5], (None, "alone")], key=repr) or (1, base.upper()) in exact
+    assert len(exact) == 4
+    near = rows_of(STAGE["simhash_near_dedup"](spark, docs, SF))
+    assert len(near) == 3 and (2, texts[3][1]) in near and (None, "alone") in near
+    assert {i for i, t in near if "word1 " in t.lower()} == {1}
+    nulls = spark.createDataFrame([(None, "same", "en", "s", 1)] * 5 + [(7, None, "en", "s", 1), (7, "", "en", "s", 1)], schema)
+    for stage in ("exact_dedup", "simhash_near_dedup"):
+        assert sorted(i or 0 for i, _ in rows_of(STAGE[stage](spark, nulls, SF))) == [0, 7]
+
+
 @pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()])
 def test_queries(spark, name):
     df = entry.queries()[name](spark, SF)
