@@ -102,25 +102,29 @@ class Lattice:
         for piece in self.scores:
             head = piece[:2]
             self.longest[head] = max(self.longest.get(head, 1), len(piece))
+        self.ring = max(self.longest.values(), default=1) + 1
 
     def word(self, word: bytes) -> float:
-        """Natural log of the summed probability of all segmentations, by forward recursion."""
+        """Natural log of the summed probability of all segmentations, by forward recursion.
+
+        Only the sums that a piece can still reach are kept, in a ring, however long the word is.
+        """
         if word == END:
             return self.log_end
         text = b" " + word
-        get, n = self.scores.get, len(text)
-        reached: list[list[float]] = [[] for _ in range(n + 1)]
+        get, n, ring = self.scores.get, len(text), self.ring
+        reached: list[list[float]] = [[] for _ in range(ring)]
         reached[0].append(0.0)
         for i in range(n):
-            into = reached[i]
+            into = reached[i % ring]
             if not into:
                 continue
-            total, reached[i] = _log_sum(into), []  # reached sums are not needed again
+            total, reached[i % ring] = _log_sum(into), []
             for j in range(i + 1, min(n, i + self.longest.get(text[i : i + 2], 1)) + 1):
                 score = get(text[i:j])
                 if score is not None:
-                    reached[j].append(total + score)
-        return _log_sum(reached[n])
+                    reached[j % ring].append(total + score)
+        return _log_sum(reached[n % ring])
 
 
 def _log_sum(values: list[float]) -> float:
