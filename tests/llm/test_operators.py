@@ -504,3 +504,99 @@ def test_products_modulo_the_prime():
     for i, x in enumerate(a):
         want.append((want[-1] + x * pow(base, i, substrings.PRIME)) % substrings.PRIME)
     assert sums.tolist() == want
+
+
+def test_lattice_of_long_words():
+    """Against a recursion that keeps every position, in the same and in other scripts."""
+    size = vocabulary(PATH).size
+    weights = np.log(np.random.default_rng(1).random(size) / size)
+    model = lattice.Lattice(PATH, weights, -3.0)
+    rng = random.Random(2)
+    for word in ("a" * 5000, "".join(rng.choice("abcdetion") for _ in range(3000)), "日本語テキスト" * 150, "x", "é" * 300):
+        text = b" " + word.encode()
+        sums = [-math.inf] * (len(text) + 1)
+        sums[0] = 0.0
+        for j in range(1, len(text) + 1):
+            ways = [sums[i] + model.scores[text[i:j]] for i in range(max(0, j - model.ring), j) if text[i:j] in model.scores]
+            sums[j] = float(np.logaddexp.reduce(ways)) if ways else -math.inf
+        assert math.isclose(model.word(word.encode()), sums[-1], rel_tol=1e-12)
+
+
+def test_quality_tables_are_sums_of_trees():
+    """Tables against trees that are kept apart and walked for each row."""
+    rng = np.random.default_rng(5)
+    x = rng.random((700, 3)).round(2)
+    y = (x[:, 0] + rng.normal(0, 0.2, 700) > 0.5).astype(float)
+    model = quality.fit(x, y, bins=8, rounds=6, pairs=0)
+    edges = [np.unique(np.quantile(v, np.linspace(0, 1, 9)[1:-1])) for v in x.T]
+    logit, trees = np.full(700, math.log((y.sum() + 1) / (700 - y.sum() + 1))), []
+
+    def worth(g, h, rows):
+        return g[rows].sum() ** 2 / (h[rows].sum() + 1)
+
+    for _ in range(6):
+        for k in range(3):
+            p = 1 / (1 + np.exp(-logit))
+            g, h = y - p, p * (1 - p)
+            leaves = [(-math.inf, math.inf)]
+            for _ in range(2):
+                best = (1e-9, None)
+                for a, b in leaves:
+                    inside = (x[:, k] >= a) & (x[:, k] < b)
+                    for e in edges[k]:
+                        left, right = inside & (x[:, k] < e), inside & (x[:, k] >= e)
+                        if a < e < b and h[left].sum() >= 2 and h[right].sum() >= 2:
+                            rise = worth(g, h, left) + worth(g, h, right) - worth(g, h, inside)
+                            if rise > best[0] + 1e-12:
+                                best = (rise, (a, e, b))
+                if best[1]:
+                    a, e, b = best[1]
+                    leaves = sorted([leaf for leaf in leaves if leaf != (a, b)] + [(a, e), (e, b)])
+            rows = [(x[:, k] >= a) & (x[:, k] < b) for a, b in leaves]
+            trees.append((k, [(a, b, 0.1 * g[r].sum() / (h[r].sum() + 1)) for (a, b), r in zip(leaves, rows)]))
+            for r, (_, _, value) in zip(rows, trees[-1][1]):
+                logit[r] += value
+    fresh = rng.random((300, 3))
+    want = [trees and logit0 + sum(v for k, leaves in trees for a, b, v in leaves if a <= row[k] < b) for row in fresh for logit0 in [model.intercept]]
+    assert np.allclose(model.logits(fresh), want, atol=1e-9)
+
+
+def test_quality_is_blind_to_held_out_labels_and_origin(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    held = remainder("doc_id", 4) == 2
+    flipped = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    moved = docs.withColumns({"lang": F.lit("xx"), "source": F.reverse("source"), "n_chars": F.lit(0)})
+    scores = []
+    for d, wanted in ((docs, labels), (docs, flipped), (moved, labels)):
+        model = quality.train_quality(d, wanted, held, rounds=20, pair_rounds=5)
+        scores.append({r.doc_id: r.score for r in quality.with_quality(d, model).collect()})
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_digest_columns(spark, docs, rows, library):
+    """The columns that queries derive: kept words, sizes and checksums."""
+    cut = {(r.doc_id, r.n_words): r.kept_sha256 for r in substrings.substring_dedup(docs, digest=True).collect()}
+    # Id 5 stands for two texts.
+    for i, (n, _, text) in plain_repeats([r for r in rows if r[0] is not None]).items():
+        assert i == 5 or cut[i, n] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_checksums_of_the_queries(spark, library):
+    from lakeload.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    ids = {i: ids_of(library, t) for i, t in texts.items()}
+    crc = lambda values: zlib.crc32(np.array(values, "<u4").tobytes())
+    for r in QUERIES["op8_sharding"](spark, sf).collect():
+        data = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32) == (len(data) + 8, zlib.crc32(data))
+    for r in QUERIES["op5_packing"](spark, sf).collect():
+        whole = [*ids[r.doc_id], 0]
+        assert (r.doc_tokens, r.ids_crc32) == (len(whole), crc(whole[r.start : r.start + r.length]))
+    start = 0
+    for r in sorted(QUERIES["op9_token_files"](spark, sf).collect(), key=lambda r: r.doc_id):
+        whole = [*ids[r.doc_id], 2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(whole), crc(whole))
+        start += len(whole)
