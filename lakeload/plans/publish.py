@@ -180,6 +180,21 @@ def _stage_in(spark, spec, now, write: Callable[[DataFrame], None], folder: str)
     return result
 
 
+def stage_to(
+    spark: SparkSession,
+    archive_log_path: str,
+    target_log_path: str,
+    write: Callable[[DataFrame], None],
+    fmt: str = "parquet",
+    *,
+    now: dt.datetime | None = None,
+    **options,
+) -> PublishResult:
+    """Hand the rows of all pending files, united, to any writer that replaces its target."""
+    now = now or dt.datetime.now(dt.timezone.utc)
+    return _stage(spark, _spec(archive_log_path, target_log_path, fmt, options), now, write)
+
+
 def stage_to_jdbc(
     spark: SparkSession,
     archive_log_path: str,
@@ -193,9 +208,15 @@ def stage_to_jdbc(
     **options,
 ) -> PublishResult:
     """Replace a relational staging table by the rows of all pending files."""
-    now = now or dt.datetime.now(dt.timezone.utc)
-    spec = _spec(archive_log_path, target_log_path, fmt, options)
-    return _stage(spark, spec, now, lambda df: overwrite_jdbc(df, url, table, connections))
+    return stage_to(
+        spark,
+        archive_log_path,
+        target_log_path,
+        lambda df: overwrite_jdbc(df, url, table, connections),
+        fmt,
+        now=now,
+        **options,
+    )
 
 
 def stage_to_warehouse(

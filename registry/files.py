@@ -20,6 +20,7 @@ from lakeload.plans import (
     publish_as_is,
     publish_select,
     purge_job,
+    stage_to,
 )
 from lakeload.plans.load import END_DATE, pending_batches
 from lakeload.plans.publish import published_rows
@@ -454,6 +455,26 @@ def load_fact_late(spark, sf):
     return shown(LakeTable(spark, f"{lake}/table").read(), DELETED).drop("__ArchiveDatetimeUTC")
 
 
+@query(
+    "load_fact_csv",
+    f"SELECT * REPLACE (CAST(custkey AS VARCHAR) AS custkey) FROM ({_FACT_SQL})",
+)
+def load_fact_csv(spark, sf):
+    """CSV extracts: all columns text, rows without a key left out."""
+    lake = customer_archive(spark, sf, "factcsv", "csv")
+    load_fact(spark, spec_of(lake, fmt="csv", max_files=4), now=NOW)
+    return shown(LakeTable(spark, f"{lake}/table").read(), DELETED)
+
+
+@query("load_fact_json", _FACT_SQL)
+def load_fact_json(spark, sf):
+    """JSON extracts, their columns put in order by the select list."""
+    lake = customer_archive(spark, sf, "factjson", "json")
+    spec = spec_of(lake, fmt="json", extract="custkey, name, segment, status", max_files=4)
+    load_fact(spark, spec, now=NOW)
+    return shown(LakeTable(spark, f"{lake}/table").read(), DELETED)
+
+
 def _entered(spark, sf) -> DataFrame:
     orders = x.table(spark, sf, "orders")
     return orders.select("o_orderkey", "o_orderpriority", F.month("o_orderdate").alias("mon"))
@@ -613,6 +634,27 @@ def stage_rows(spark, sf):
     return rows.withColumn("__ArchiveDatetimeUTC", utc(F.col("__ArchiveDatetimeUTC")))
 
 
+@query(
+    "stage_job",
+    f"""WITH {x.NUMBERED_YEARS_SQL} SELECT custkey, name, segment, status, __ArchiveDatetimeUTC,
+      'extract' || (year(__ArchiveDatetimeUTC) - 1) AS __OriginalStagingFileName FROM n""",
+)
+def stage_job(spark, sf):
+    """The staging job in batches of two files, through a Parquet writer; a second run stages nothing."""
+    lake = customer_archive(spark, sf, "stagejob")
+    for _ in range(2):
+        stage_to(
+            spark,
+            f"{lake}/archive/log",
+            f"{lake}/stagelog",
+            lambda df: df.write.mode("overwrite").parquet(f"{lake}/staged"),
+            initial=START_OF_TIME,
+            max_files=2,
+        )
+    rows = spark.read.parquet(f"{lake}/staged")
+    return rows.withColumn("__ArchiveDatetimeUTC", utc(F.col("__ArchiveDatetimeUTC")))
+
+
 @query("export_twice", "SELECT event_id, event_type FROM events")
 def export_twice(spark, sf):
     """The first export takes all events, the second none: together each event once."""
