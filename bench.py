@@ -34,6 +34,9 @@ HEADLINE = {
     "fact_load_filtered": ["orders", "lineitem"],
     "fact_two_part_key": ["lineitem"],
     "fact_fold": ["orders", "customer"],
+    "fact_fold_sliced": ["orders", "customer"],
+    "scd2_fold_sliced": ["orders", "customer"],
+    "scd1_fold_update_filter": ["orders", "customer"],
     "purge_candidates": ["events"],
     "purge_summary": ["events"],
     "purge_candidates_years": ["orders"],
