@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import components, discard, per_document, renamed, staged
+from lakeload.llm.common import components, discard, per_document, renamed, slices, staged
 from lakeload.llm.vectors import _forest
 
 BITS = 64
@@ -175,7 +177,7 @@ def _sketches_near(x, y, similarity: float = SIMILARITY) -> bool:
 
 def jaccard(x, y) -> float:
     """Similarity of two sets given as ascending 64-bit numbers."""
-    one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    one, two = (np.frombuffer(v, np.uint64) for v in (x, y))
     common = len(np.intersect1d(one, two, assume_unique=True))
     return common / (len(one) + len(two) - common)
 
@@ -338,19 +340,52 @@ def crowd_links(keyed: DataFrame, shingles: DataFrame, similarity: float) -> Dat
     return left.groupBy(*tile).cogroup(renamed(right).groupBy(*tile)).applyInArrow(compare, "a long, b long").where("a <> b")
 
 
-def _shingles_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``(node, shingles)`` of the nodes in ``wanted``, hashed again from their first documents: only
-    these few sets are ever written or moved."""
+def _texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``(node, body)``: a text of each node in ``wanted``.
+
+    Texts take a fraction of the room that their hashes take on disk and in shuffles, so these are
+    moved, and the sets are made again where they are compared.
+    """
     wanted = staged(wanted.select("node").distinct().join(nodes, "node").select("node", "same", "least"), "wanted")
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"))
-    texts = texts.join(wanted.select("least").distinct(), F.col("doc").eqNullSafe(F.col("least")), "left_semi")
+    texts = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("body"))
+    found = texts.join(wanted, F.col("doc").eqNullSafe(F.col("least"))).select("node", "same", "body")
+
+    def right(batches):
+        # Rows of one id may hold other texts.
+        for batch in chain.from_iterable(slices(b, 2) for b in batches):
+            good = [
+                xxhash.xxh3_128_digest(shingle_set(t, size).tobytes()) == same
+                for t, same in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())
+            ]
+            kept = batch.filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(2)], names=["node", "body"])
+
+    same = found.mapInArrow(right, "node long, body binary")
+    texts = staged(same.groupBy("node").agg(F.first("body").alias("body")), "node-texts")
+    discard(wanted)
+    return texts
+
 
-    def hashed(bodies: list) -> list[tuple]:
-        found = [shingle_set(t, size).tobytes() for t in bodies]
-        return [(xxhash.xxh3_128_digest(x), x) for x in found]
+@functools.lru_cache(maxsize=64)
+def _known_set(text: bytes, size: int) -> np.ndarray:
+    """The last sets of a worker: a text often meets several others in a row."""
+    return shingle_set(text, size)
+
+
+def _similar_texts(size: int, similarity: float):
+    """A test of two texts by the Jaccard similarity of their whole sets."""
+    return lambda x, y: jaccard(_known_set(x.to_pybytes(), size), _known_set(y.to_pybytes(), size)) >= similarity
+
+
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """``(node, shingles)`` of node texts."""
+
+    def run(batches):
+        for batch in chain.from_iterable(map(slices, batches)):
+            sets = [shingle_set(t, size).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    again = per_document(texts, "doc", "body", hashed, "same binary, shingles binary", binary=True).select("same", "shingles")
-    return again.join(wanted, "same").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return texts.mapInArrow(run, "node long, shingles binary")
 
 
 def near_copies(
@@ -396,14 +431,14 @@ def near_copies(
     nodes = staged(full.drop("prefix"), "nodes")
     discard(full)
 
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        return staged(_shingles_of(wanted, nodes, docs, id_col, text_col, size), "shingles")
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        return _texts_of(wanted, nodes, docs, id_col, text_col, size)
 
     def similar(pairs: DataFrame) -> DataFrame:
         pairs = staged(_checked(pairs, nodes, "sketch", lambda x, y: _sketches_near(x, y, similarity)), "sketch-pairs")
-        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
-        links = staged(_checked(pairs, sets, "shingles", lambda x, y: jaccard(x, y) >= similarity), "near-links")
-        discard(pairs, sets)
+        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        links = staged(_checked(pairs, texts, "body", _similar_texts(size, similarity)), "near-links")
+        discard(pairs, texts)
         return links
 
     links = similar(leader_candidates(keyed))
@@ -415,7 +450,7 @@ def near_copies(
     if not few.isEmpty():
         found.append(similar(open_pairs(few, similarity)))
     if not many.isEmpty():
-        found.append(staged(crowd_links(many, sets_of(many), similarity), "crowd-links"))
+        found.append(staged(crowd_links(many, _sets(texts_of(many), size), similarity), "crowd-links"))
     if found:
         roots = staged(components(reduce(DataFrame.union, found, links)).distinct(), "near-roots")
     rooted = staged(
