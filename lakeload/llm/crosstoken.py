@@ -28,10 +28,10 @@ from lakeload.llm.common import staged
 from lakeload.llm.tokens import Encoder, vocabulary
 
 #: Text of one block in characters; a longer document is a block of its own.
-BLOCK_CHARS = 2 << 20
+BLOCK_CHARS = 4 << 20
 #: Words aligned by one product, in characters, and words a worker remembers.
 BATCH_CHARS = 1 << 18
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 400_000
 
 
 @dataclass
@@ -108,6 +108,7 @@ class Aligner:
         self.names_a = [f"{i}{c}" for c in ",|" for i in range(len(self.bytes_a))]
         self.names_b = [f"{i}{c}" for c in ",;" for i in range(len(self.bytes_b))]
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     def words_of(self, text: str) -> list[str]:
         text = " " + text
@@ -125,18 +126,20 @@ class Aligner:
         """For each word ``(n_a, n_b, n_groups, n_links, n_shared, groups, pairs)``, or None where the
         tokens do not spell it."""
         found = list(map(self.known.get, words, repeat(0)))
-        missing = [w for w, f in zip(words, found) if f == 0]
-        if len(self.known) + len(missing) > KNOWN_WORDS:
-            self.known.clear()
+        unknown = [w for w, f in zip(words, found) if f == 0]
+        # Words met again come over from the older half; what stays there is forgotten.
+        fresh = {w: f for w, f in zip(unknown, map(self.older.get, unknown, repeat(0))) if f != 0}
+        missing = [w for w in unknown if w not in fresh]
+        if len(self.known) + len(unknown) > KNOWN_WORDS // 2:
+            self.known, self.older = {}, self.known
         begin = size = 0
-        fresh: dict[str, tuple | None] = {}
         for i, word in enumerate(missing):
             size += len(word)
             if size >= BATCH_CHARS or i + 1 == len(missing):
                 part = missing[begin : i + 1]
                 fresh.update(zip(part, self._align(part)))
                 begin, size = i + 1, 0
-        if len(fresh) <= KNOWN_WORDS:
+        if len(fresh) <= KNOWN_WORDS // 2:
             self.known.update(fresh)
         return [fresh[w] if f == 0 else f for w, f in zip(words, found)]
 
