@@ -47,7 +47,7 @@ def locator():
 
 
 def copy_files(listing: DataFrame) -> DataFrame:
-    """Copy ``path`` to ``target`` per row; ``problem`` is NULL where it worked.
+    """Copy ``path`` to ``target`` per row; ``problem`` is NULL where the whole file is there.
 
     Running the frame copies: write it once and read the written rows.
     """
@@ -64,7 +64,9 @@ def copy_files(listing: DataFrame) -> DataFrame:
                     with from_fs.open_input_stream(from_path) as data, to_fs.open_output_stream(to_path) as out:
                         while chunk := data.read(1 << 22):
                             out.write(chunk)
-                    problems.append(None)
+                    sizes = [f.get_file_info(p).size for f, p in ((from_fs, from_path), (to_fs, to_path))]
+                    # The source may go once its copy is logged: it must be there whole.
+                    problems.append(None if sizes[0] == sizes[1] else f"copied {sizes[1]} of {sizes[0]} bytes")
                 except OSError as error:
                     problems.append(str(error))
             yield batch.assign(problem=problems)
