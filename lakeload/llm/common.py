@@ -81,14 +81,6 @@ def _by_id(id_col: str, rest: Column) -> Column:
     return (place * step.cast("decimal(17,0)") + rest).cast("decimal(38,0)")
 
 
-def numbered(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` as a table with ``__row``, a number of its own for each row, also of repeated ones.
-
-    Numbers follow the integer id, null last.  They are written once, so all later steps see the same.
-    """
-    return staged(docs.withColumn("__row", _by_id(id_col, F.monotonically_increasing_id())), "numbered")
-
-
 def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``__row``, a number made from id and text: equal for repeated rows, other for
     other texts of one id."""

@@ -295,10 +295,10 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4_096
     return out
 
 
-def _tile_links(left: pa.Table, right: pa.Table, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def _tile_links(left: pa.Table, right: pa.Table, similarity: float, size: int) -> tuple[np.ndarray, np.ndarray]:
     """``(node, smallest node reached)`` by the similar pairs of two blocks that are in different
     components."""
-    sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in t["shingles"]] for t in (left, right)]
+    sets = [[shingle_set(x.as_py(), size) for x in t["body"]] for t in (left, right)]
     roots = [t["root"].to_numpy() for t in (left, right)]
     names, back = np.unique(np.concatenate([left["node"].to_numpy(), right["node"].to_numpy()]), return_inverse=True)
     common = overlaps(*sets)
@@ -310,13 +310,14 @@ def _tile_links(left: pa.Table, right: pa.Table, similarity: float) -> tuple[np.
     return names[met], reached[met]
 
 
-def crowd_links(keyed: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+def crowd_links(keyed: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
     """Links ``(a, b)`` that connect what all similar pairs of different components at crowded keys
     connect.
 
     A node lies in a block of its most crowded key, a key's nodes in as many blocks as they need.
     Blocks that meet at some key are a tile; all pairs of a tile are compared inside a task, which
-    returns one edge per node.  So a pair is compared once, however many keys it shares.
+    returns one edge per node.  So a pair is compared once, however many keys it shares.  Tiles are
+    sent texts and make the sets themselves.
     """
     homes = keyed.groupBy("node").agg(
         F.max(F.struct("n", "key")).getField("key").alias("home"), F.first("root").alias("root"), F.first("size").alias("size")
@@ -324,16 +325,16 @@ def crowd_links(keyed: DataFrame, shingles: DataFrame, similarity: float) -> Dat
     needed = F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum("size") / BLOCK_SHINGLES))
     blocks = homes.groupBy("home").agg(needed.alias("blocks"))
     placed = homes.join(blocks, "home").select("node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), "blocks")).alias("block"))
-    placed = staged(placed.join(shingles, "node"), "crowd-blocks")
+    placed = staged(placed.join(texts, "node"), "crowd-blocks")
     at = keyed.select("key", "node").join(placed.select("node", "block"), "node").select("key", "block").distinct()
     at = staged(at, "crowd-keys")
     tiles = at.join(at.select("key", F.col("block").alias("block2")), "key").where("block <= block2")
     tiles = staged(tiles.select("block", "block2").distinct(), "crowd-tiles")
-    left = tiles.join(placed, "block").select("block", "block2", "node", "root", "shingles")
-    right = tiles.join(placed.withColumnRenamed("block", "block2"), "block2").select("block", "block2", "node", "root", "shingles")
+    left = tiles.join(placed, "block").select("block", "block2", "node", "root", "body")
+    right = tiles.join(placed.withColumnRenamed("block", "block2"), "block2").select("block", "block2", "node", "root", "body")
 
     def compare(one: pa.Table, two: pa.Table) -> pa.Table:
-        found = _tile_links(one, two, similarity) if len(one) and len(two) else [np.zeros(0, np.int64)] * 2
+        found = _tile_links(one, two, similarity, size) if len(one) and len(two) else [np.zeros(0, np.int64)] * 2
         return pa.table([pa.array(v) for v in found], names=["a", "b"])
 
     tile = ["block", "block2"]
@@ -377,17 +378,6 @@ def _similar_texts(size: int, similarity: float):
     return lambda x, y: jaccard(_known_set(x.to_pybytes(), size), _known_set(y.to_pybytes(), size)) >= similarity
 
 
-def _sets(texts: DataFrame, size: int) -> DataFrame:
-    """``(node, shingles)`` of node texts."""
-
-    def run(batches):
-        for batch in chain.from_iterable(map(slices, batches)):
-            sets = [shingle_set(t, size).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
-
-    return texts.mapInArrow(run, "node long, shingles binary")
-
-
 def near_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -450,7 +440,7 @@ def near_copies(
     if not few.isEmpty():
         found.append(similar(open_pairs(few, similarity)))
     if not many.isEmpty():
-        found.append(staged(crowd_links(many, _sets(texts_of(many), size), similarity), "crowd-links"))
+        found.append(staged(crowd_links(many, texts_of(many), similarity, size), "crowd-links"))
     if found:
         roots = staged(components(reduce(DataFrame.union, found, links)).distinct(), "near-roots")
     rooted = staged(
