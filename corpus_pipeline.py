@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import marked, numbered, remainder, staged, table
+from lakeload.llm.common import marked, remainder, staged, table
 from lakeload.llm.exact import exact_dedup
 from lakeload.llm.packing import pack_documents
 from lakeload.llm.quality import train_quality, with_quality
@@ -29,13 +29,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return with_quality(docs, model).where("predicted = 1").select(docs.columns)
 
 
+def _kept(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows named by ``kept``, one of those that repeat; only these are compared with each other."""
+    counted = kept.groupBy("__row").agg(F.count("*").alias("n"))
+    once, several = (rows.join(counted.where(n).select("__row"), "__row", "left_semi") for n in ("n = 1", "n > 1"))
+    return once.unionByName(several.dropDuplicates(["__row"]))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for the case of A-Z one row stays: that of the smallest id, null last.
 
     Null counts as empty.  Of repeated rows one stays; an empty table stays empty.
     """
-    rows = numbered(docs)
-    return exact_dedup(rows, "__row", keep="smallest").where("kept").select(docs.columns)
+    rows = marked(docs)
+    kept = exact_dedup(rows, "__row", keep="smallest", columns=["__row"]).where("kept").select("__row")
+    return _kept(rows, staged(kept, "exact-rows")).select(docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +55,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     rows = marked(docs)
     found = staged(near_copies(rows, "__row"), "near-rows")
-    kept = found.where("__row = component_id").groupBy("__row").agg(F.count("*").alias("n"))
-    once, several = (rows.join(kept.where(n).select("__row"), "__row", "left_semi") for n in ("n = 1", "n > 1"))
-    return once.unionByName(several.dropDuplicates(["__row"])).select(docs.columns)
+    return _kept(rows, found.where("__row = component_id").select("__row")).select(docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
