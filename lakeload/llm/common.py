@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from decimal import Decimal
 from itertools import chain
 
@@ -18,20 +19,35 @@ from lakeload.sinks.storage import Storage
 
 ROW_GROUP_BYTES = 16 << 20
 SLICE_BYTES = 2 << 20
+#: While this is on, Spark removes the shuffle files of a query when the query ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Queries that end in here leave no shuffle files behind; the session's own setting comes back."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut.
 
     Any executor can read the files again, so a lost executor costs no recomputation.  Small row
-    groups bound what the writers of an executor hold at once.
+    groups bound what the writers of an executor hold at once.  Shuffle files of the write are of no
+    use once it is done and do not wait for the driver's next garbage collection.
     """
     path = shared_dir(df.sparkSession, f"llm-{purpose}")
-    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._folder = path
     return table

@@ -317,7 +317,8 @@ def crowd_links(keyed: DataFrame, texts: DataFrame, similarity: float, size: int
     A node lies in a block of its most crowded key, a key's nodes in as many blocks as they need.
     Blocks that meet at some key are a tile; all pairs of a tile are compared inside a task, which
     returns one edge per node.  So a pair is compared once, however many keys it shares.  Tiles are
-    sent texts and make the sets themselves.
+    sent texts and make the sets themselves.  The links are a written table; ``texts``, a staged
+    one, is used up.
     """
     homes = keyed.groupBy("node").agg(
         F.max(F.struct("n", "key")).getField("key").alias("home"), F.first("root").alias("root"), F.first("size").alias("size")
@@ -326,19 +327,25 @@ def crowd_links(keyed: DataFrame, texts: DataFrame, similarity: float, size: int
     blocks = homes.groupBy("home").agg(needed.alias("blocks"))
     placed = homes.join(blocks, "home").select("node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), "blocks")).alias("block"))
     placed = staged(placed.join(texts, "node"), "crowd-blocks")
+    discard(texts)
     at = keyed.select("key", "node").join(placed.select("node", "block"), "node").select("key", "block").distinct()
     at = staged(at, "crowd-keys")
     tiles = at.join(at.select("key", F.col("block").alias("block2")), "key").where("block <= block2")
     tiles = staged(tiles.select("block", "block2").distinct(), "crowd-tiles")
     left = tiles.join(placed, "block").select("block", "block2", "node", "root", "body")
-    right = tiles.join(placed.withColumnRenamed("block", "block2"), "block2").select("block", "block2", "node", "root", "body")
+    # A block that meets itself is sent once.
+    others = tiles.where("block < block2").join(placed.withColumnRenamed("block", "block2"), "block2")
+    right = others.select("block", "block2", "node", "root", "body")
 
     def compare(one: pa.Table, two: pa.Table) -> pa.Table:
-        found = _tile_links(one, two, similarity, size) if len(one) and len(two) else [np.zeros(0, np.int64)] * 2
+        found = _tile_links(one, two if len(two) else one, similarity, size)
         return pa.table([pa.array(v) for v in found], names=["a", "b"])
 
     tile = ["block", "block2"]
-    return left.groupBy(*tile).cogroup(renamed(right).groupBy(*tile)).applyInArrow(compare, "a long, b long").where("a <> b")
+    met = left.groupBy(*tile).cogroup(renamed(right).groupBy(*tile)).applyInArrow(compare, "a long, b long")
+    links = staged(met.where("a <> b"), "crowd-links")
+    discard(placed, at, tiles)
+    return links
 
 
 def _texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -440,7 +447,7 @@ def near_copies(
     if not few.isEmpty():
         found.append(similar(open_pairs(few, similarity)))
     if not many.isEmpty():
-        found.append(staged(crowd_links(many, texts_of(many), similarity, size), "crowd-links"))
+        found.append(crowd_links(many, texts_of(many), similarity, size))
     if found:
         roots = staged(components(reduce(DataFrame.union, found, links)).distinct(), "near-roots")
     rooted = staged(

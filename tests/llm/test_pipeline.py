@@ -2,12 +2,14 @@
 
 import inspect
 import sys
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from lakeload.llm.common import staged
+from lakeload.llm.common import SHUFFLE_CLEANUP, discard, staged
 from tests.llm.test_operators import lowered, plain_components, plain_near, plain_repeats
 from tests.oracle import compare, connect
 
@@ -88,3 +90,25 @@ def test_nothing_else_needs_the_subpackage():
     for name, module in list(sys.modules.items()):
         if name.startswith(("lakeload", "registry")) and not name.startswith("lakeload.llm"):
             assert "lakeload.llm" not in inspect.getsource(module)
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in blocks.mkString("\n").split("\n") if b.startswith("shuffle_")}
+
+    def wide():
+        return spark.range(50_000).groupBy((F.col("id") % 7_000).alias("k")).agg(F.count("*").alias("n"))
+
+    before, setting = shuffles(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    made = wide()
+    table = staged(made, "shuffle-test")
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    # The source can be computed again, and other queries keep their shuffles.
+    assert made.exceptAll(table).isEmpty() and table.count() == made.count() == 7_000
+    discard(table)
