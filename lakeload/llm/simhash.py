@@ -144,8 +144,12 @@ def simhash_groups(
     )
 
 
-#: Bits of a sketch, and the similarity that near copies have at least.
-SKETCH_BITS, SIMILARITY = 1024, 0.8
+#: Fewest bits of a sketch, segments that the pigeonring chains run over, and the longest chain.
+SKETCH_BITS, SKETCH_SEGMENTS, SKETCH_CHAIN = 1024, 16, 4
+#: The similarity that near copies have at least.
+SIMILARITY = 0.8
+#: Bytes of sketches that are held against each other at once.
+SKETCH_SLICE = 4 << 20
 #: Documents that the order of shingles is drawn from, and shingles with a rank of their own in it.
 ORDER_DOCS, ORDER_SHINGLES = 8_192, 200_000
 #: Nodes and shingles of a block of a crowd.
@@ -158,21 +162,57 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray) -> bytes:
-    """The number of hashes, and for each of ``SKETCH_BITS`` places whether an odd number fell there.
+    """The number of hashes, and for each place whether an odd number fell there.
 
     A hash that only one of two sets has changes one bit, so sketches differ in no more bits than
-    sets do in hashes.
+    sets do in hashes.  Places are a power of two, no fewer than the hashes: a wider sketch folds to
+    the sketch of fewer places, so that sets of any size are told apart.
     """
-    places = np.bincount((hashes % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    width = max(SKETCH_BITS, 1 << (len(hashes) - 1).bit_length())
+    places = np.bincount((hashes % np.uint64(width)).astype(np.int64), minlength=width)
     return np.int64(len(hashes)).tobytes() + np.packbits(places & 1 == 1).tobytes()
 
 
-def _sketches_near(x, y, similarity: float = SIMILARITY) -> bool:
-    """False only for sets that cannot be similar."""
-    one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    small, large = sorted((int(one[0]), int(two[0])))
-    apart = int(np.bitwise_count(one[1:] ^ two[1:]).sum())
-    return small >= similarity * large - 1e-6 and apart <= (1 - similarity) / (1 + similarity) * (small + large) + 1e-6
+def _folded(bodies: list, width: int) -> np.ndarray:
+    """Sketches without their counts as rows of ``width`` bytes, wider ones folded."""
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint8, offset=8).reshape(-1, width)) for x in bodies]).view(np.uint64)
+
+
+def _chains_near(apart: np.ndarray, budget: np.ndarray) -> np.ndarray:
+    """Whether rows of differences by segment sum to no more than their budgets.
+
+    Pigeonring: a row within its budget has a segment from which on every chain of ``l`` segments of
+    the ring stays within ``l`` parts of it.  Rows without such a chain go before the whole sum is
+    formed.
+    """
+    alive, run = np.ones(apart.shape, bool), np.zeros(apart.shape, np.int32)
+    for length in range(SKETCH_CHAIN):
+        run += np.roll(apart, -length, axis=1)
+        alive &= run * SKETCH_SEGMENTS <= (length + 1) * budget[:, None]
+    near = alive.any(axis=1)
+    near[near] = apart[near].sum(axis=1) <= budget[near]
+    return near
+
+
+def sketches_near(left: list, right: list, i: np.ndarray, j: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """For each pair ``left[i], right[j]`` of sketches: false only if the sets cannot be similar."""
+    counts = [np.array([np.frombuffer(x, np.int64, 1)[0] for x in side], np.int64) for side in (left, right)]
+    widths = [np.array([len(x) - 8 for x in side], np.int64) for side in (left, right)]
+    small, large = np.minimum(counts[0][i], counts[1][j]), np.maximum(counts[0][i], counts[1][j])
+    budget = (1 - similarity) / (1 + similarity) * (small + large) + 1e-6
+    near = small >= similarity * large - 1e-6
+    width = np.minimum(widths[0][i], widths[1][j])
+    for w in np.unique(width[near]).tolist():
+        at = np.flatnonzero(near & (width == w))
+        (one, x), (two, y) = (np.unique(k[at], return_inverse=True) for k in (i, j))
+        a, b = _folded([left[k] for k in one], w), _folded([right[k] for k in two], w)
+        step = max(1, SKETCH_SLICE // w)
+        for k in range(0, len(at), step):
+            part = slice(k, k + step)
+            apart = np.bitwise_count(a[x[part]] ^ b[y[part]])
+            apart = apart.reshape(len(apart), SKETCH_SEGMENTS, -1).sum(axis=2, dtype=np.int32)
+            near[at[part]] = _chains_near(apart, budget[at[part]])
+    return near
 
 
 def jaccard(x, y) -> float:
@@ -237,12 +277,11 @@ def shared_keys(nodes: DataFrame) -> DataFrame:
 
 
 def _checked(pairs: DataFrame, nodes: DataFrame, column: str, test) -> DataFrame:
-    """The pairs ``(a, b)`` for which ``test(value of a, value of b)`` holds."""
+    """The pairs ``(a, b)`` for which ``test(values of a, values of b)`` gives true."""
 
     def run(batches):
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            good = [test(x.as_buffer(), y.as_buffer()) for x, y in zip(left, right, strict=True)]
+        for batch in chain.from_iterable(slices(b, 2) for b in batches):
+            good = test([x.as_buffer() for x in batch.column(2)], [y.as_buffer() for y in batch.column(3)])
             kept = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
@@ -310,15 +349,37 @@ def _tile_links(left: pa.Table, right: pa.Table, similarity: float, size: int) -
     return names[met], reached[met]
 
 
-def crowd_links(keyed: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+def _tile_nodes(left: pa.Table, right: pa.Table | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of two blocks (one, with itself, if ``right`` is None) are of a pair in different
+    components that the sketches do not rule out."""
+    other = left if right is None else right
+    roots = [t["root"].to_numpy() for t in (left, other)]
+    apart = roots[0][:, None] != roots[1]
+    i, j = np.nonzero(apart if right is not None else np.triu(apart))
+    bodies = [[x.as_buffer() for c in t["sketch"].chunks for x in c] for t in (left, other)]
+    near = sketches_near(*bodies, i, j, similarity) if len(i) else np.zeros(0, bool)
+    sides = np.zeros(len(left), bool), np.zeros(len(other), bool)
+    sides[0][i[near]] = sides[1][j[near]] = True
+    return sides if right is not None else (sides[0] | sides[1], np.zeros(0, bool))
+
+
+def _in_tiles(tiles: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of both blocks of each tile; a block that meets itself is sent once, on the left."""
+    left = tiles.join(rows, "block").select("block", "block2", *[c for c in rows.columns if c != "block"])
+    others = tiles.where("block < block2").join(rows.withColumnRenamed("block", "block2"), "block2")
+    return left, others.select(left.columns)
+
+
+def crowd_links(keyed: DataFrame, nodes: DataFrame, texts_of, similarity: float, size: int) -> DataFrame:
     """Links ``(a, b)`` that connect what all similar pairs of different components at crowded keys
     connect.
 
     A node lies in a block of its most crowded key, a key's nodes in as many blocks as they need.
-    Blocks that meet at some key are a tile; all pairs of a tile are compared inside a task, which
-    returns one edge per node.  So a pair is compared once, however many keys it shares.  Tiles are
-    sent texts and make the sets themselves.  The links are a written table; ``texts``, a staged
-    one, is used up.
+    Blocks that meet at some key are a tile, so a pair is compared once, however many keys it shares.
+    Tiles are sent sketches first, and all pairs of a tile are held against each other inside a task,
+    which names the nodes of pairs that may be similar.  Only texts of these go to the tile
+    (``texts_of``), where all their pairs are compared exactly; one edge per node comes back.  The
+    links are a written table.
     """
     homes = keyed.groupBy("node").agg(
         F.max(F.struct("n", "key")).getField("key").alias("home"), F.first("root").alias("root"), F.first("size").alias("size")
@@ -326,25 +387,37 @@ def crowd_links(keyed: DataFrame, texts: DataFrame, similarity: float, size: int
     needed = F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum("size") / BLOCK_SHINGLES))
     blocks = homes.groupBy("home").agg(needed.alias("blocks"))
     placed = homes.join(blocks, "home").select("node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), "blocks")).alias("block"))
-    placed = staged(placed.join(texts, "node"), "crowd-blocks")
-    discard(texts)
+    placed = staged(placed.join(nodes.select("node", "sketch"), "node"), "crowd-blocks")
     at = keyed.select("key", "node").join(placed.select("node", "block"), "node").select("key", "block").distinct()
     at = staged(at, "crowd-keys")
     tiles = at.join(at.select("key", F.col("block").alias("block2")), "key").where("block <= block2")
     tiles = staged(tiles.select("block", "block2").distinct(), "crowd-tiles")
-    left = tiles.join(placed, "block").select("block", "block2", "node", "root", "body")
-    # A block that meets itself is sent once.
-    others = tiles.where("block < block2").join(placed.withColumnRenamed("block", "block2"), "block2")
-    right = others.select("block", "block2", "node", "root", "body")
+    tile = ["block", "block2"]
+
+    def sift(key: tuple, one: pa.Table, two: pa.Table) -> pa.Table:
+        found = _tile_nodes(one, two if len(two) else None, similarity)
+        kept = [t.filter(pa.array(f)).select(["node", "root"]) for t, f in zip((one, two), found, strict=True)]
+        out = pa.concat_tables(kept)
+        second = pa.array(np.repeat([False, True], [len(t) for t in kept]))
+        ends = [pa.array([k.as_py()] * len(out), pa.int64()) for k in key]
+        return pa.table([*ends, out["node"], out["root"], second], names=[*tile, "node", "root", "second"])
+
+    left, right = _in_tiles(tiles, placed)
+    sifted = left.groupBy(*tile).cogroup(renamed(right).groupBy(*tile))
+    wanted = sifted.applyInArrow(sift, "block long, block2 long, node long, root long, second boolean")
+    wanted = staged(wanted, "crowd-nodes")
+    discard(placed, at, tiles)
+    texts = texts_of(wanted)
 
     def compare(one: pa.Table, two: pa.Table) -> pa.Table:
         found = _tile_links(one, two if len(two) else one, similarity, size)
         return pa.table([pa.array(v) for v in found], names=["a", "b"])
 
-    tile = ["block", "block2"]
+    sent = wanted.join(texts, "node")
+    left, right = (sent.where(side).select(*tile, "node", "root", "body") for side in ("not second", "second"))
     met = left.groupBy(*tile).cogroup(renamed(right).groupBy(*tile)).applyInArrow(compare, "a long, b long")
     links = staged(met.where("a <> b"), "crowd-links")
-    discard(placed, at, tiles)
+    discard(wanted, texts)
     return links
 
 
@@ -382,7 +455,22 @@ def _known_set(text: bytes, size: int) -> np.ndarray:
 
 def _similar_texts(size: int, similarity: float):
     """A test of two texts by the Jaccard similarity of their whole sets."""
-    return lambda x, y: jaccard(_known_set(x.to_pybytes(), size), _known_set(y.to_pybytes(), size)) >= similarity
+
+    def test(left: list, right: list) -> list[bool]:
+        sets = ([_known_set(x.to_pybytes(), size) for x in pair] for pair in zip(left, right, strict=True))
+        return [jaccard(x, y) >= similarity for x, y in sets]
+
+    return test
+
+
+def _similar_sketches(similarity: float):
+    """A test of two sketches that only sets which cannot be similar fail."""
+
+    def test(left: list, right: list) -> np.ndarray:
+        every = np.arange(len(left))
+        return sketches_near(left, right, every, every, similarity)
+
+    return test
 
 
 def near_copies(
@@ -399,7 +487,8 @@ def near_copies(
 
     Texts of one shingle set are one node (by 128 bits of hash).  Every similar pair is a candidate:
     its sets share one of their first shingles in an order common to all (``prefix``), the rarer ones
-    of a sample first.  Only what cannot be similar is ruled out, by sizes, places and sketches.
+    of a sample first.  Only what cannot be similar is ruled out, by sizes, places and sketches, the
+    latter by pigeonring chains before their whole Hamming distance.
     First each node is held against the smallest one of each of its keys.  At keys that then still
     join several components all pairs are, those of more than ``hot`` nodes by tiles
     (``crowd_links``).
@@ -432,7 +521,7 @@ def near_copies(
         return _texts_of(wanted, nodes, docs, id_col, text_col, size)
 
     def similar(pairs: DataFrame) -> DataFrame:
-        pairs = staged(_checked(pairs, nodes, "sketch", lambda x, y: _sketches_near(x, y, similarity)), "sketch-pairs")
+        pairs = staged(_checked(pairs, nodes, "sketch", _similar_sketches(similarity)), "sketch-pairs")
         texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         links = staged(_checked(pairs, texts, "body", _similar_texts(size, similarity)), "near-links")
         discard(pairs, texts)
@@ -447,7 +536,7 @@ def near_copies(
     if not few.isEmpty():
         found.append(similar(open_pairs(few, similarity)))
     if not many.isEmpty():
-        found.append(crowd_links(many, texts_of(many), similarity, size))
+        found.append(crowd_links(many, nodes, texts_of, similarity, size))
     if found:
         roots = staged(components(reduce(DataFrame.union, found, links)).distinct(), "near-roots")
     rooted = staged(

@@ -281,8 +281,33 @@ def test_sketch_and_similarity():
     hashes = simhash.shingle_set(text, 5)
     assert len(hashes) == 700 and simhash.sketch(hashes) == simhash.sketch(hashes[::-1])
     assert simhash.jaccard(hashes.tobytes(), hashes[70:].tobytes()) == 0.9
-    assert simhash._sketches_near(simhash.sketch(hashes), simhash.sketch(hashes[70:]))
-    assert not simhash._sketches_near(simhash.sketch(hashes[:350]), simhash.sketch(hashes[350:]))
+    drawn = [simhash.sketch(h) for h in (hashes, hashes[70:], hashes[:350], hashes[350:])]
+    assert simhash.sketches_near(drawn, drawn, np.array([0, 2]), np.array([1, 3])).tolist() == [True, False]
+
+
+def test_sketches_rule_out_no_similar_sets():
+    """Sets of 1 to 9,000 numbers, so that sketches of several widths meet, against whole sets."""
+    rng = np.random.default_rng(41)
+    sets = []
+    for size in (1, 2, 9, 120, 1000, 1020, 1100, 8100, 9000):
+        base = np.unique(rng.integers(0, 1 << 63, size, np.uint64))
+        for share in (1, 0.95, 0.9, 0.85, 0.8, 0.6, 0.3):
+            kept = base[: max(1, round(len(base) * share))]
+            sets.append(kept)
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, size - len(kept), np.uint64)])))
+    sketches = [simhash.sketch(s) for s in sets]
+    i, j = (k.ravel() for k in np.indices((len(sets), len(sets))))
+    near = simhash.sketches_near(sketches, sketches, i, j)
+    similar = np.array([simhash.jaccard(sets[a].tobytes(), sets[b].tobytes()) for a, b in zip(i, j, strict=True)])
+    assert near[similar >= 0.8].all() and not near[similar < 0.5].any()
+    assert 0 < (near & (similar < 0.8)).sum() < (similar >= 0.8).sum()
+
+
+def test_chains_of_segments_go_no_further_than_the_whole_distance():
+    rng = np.random.default_rng(43)
+    apart = rng.integers(0, 9, (4_000, simhash.SKETCH_SEGMENTS)).astype(np.int32)
+    budget = rng.uniform(20, 120, len(apart))
+    assert (simhash._chains_near(apart, budget) == (apart.sum(axis=1) <= budget)).all()
 
 
 def test_components_of_chains(spark):
