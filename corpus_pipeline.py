@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import marked, remainder, staged, table
+from lakeload.llm.common import bounded_batches, marked, remainder, staged, table
 from lakeload.llm.exact import exact_dedup
 from lakeload.llm.packing import pack_documents
 from lakeload.llm.quality import train_quality, with_quality
@@ -24,6 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are scored like others.  Each row is judged by its text, so repeated rows
     share a fate; an empty table stays empty.
     """
+    bounded_batches(spark)
     labels = table(spark, sf_dir, "labels")
     model = train_quality(docs, labels, remainder("doc_id", 4) == 2)
     return with_quality(docs, model).where("predicted = 1").select(docs.columns)
@@ -53,6 +54,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are copies of each other.  Rows are told apart by id and text, so other
     texts of a dropped id stay; of repeated rows one stays, an empty table stays empty.
     """
+    bounded_batches(spark)
     rows = marked(docs)
     found = staged(near_copies(rows, "__row"), "near-rows")
     return _kept(rows, found.where("__row = component_id").select("__row")).select(docs.columns)
@@ -63,6 +65,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts and rows with a null id stay as they are; repeated rows lose the same words.
     """
+    bounded_batches(spark)
     cut = substring_dedup(docs)
     n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(docs.columns)
@@ -73,6 +76,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text is an empty one and has the end token alone; an empty table has no sequences.
     """
+    bounded_batches(spark)
     return pack_documents(docs, default_vocabulary())
 
 

@@ -21,12 +21,22 @@ ROW_GROUP_BYTES = 16 << 20
 SLICE_BYTES = 2 << 20
 #: While this is on, Spark removes the shuffle files of a query when the query ends.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Arrow batches end at this size too, not only at a number of rows.
+BATCH_BYTES, BATCH_BYTES_KEY = "4m", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python workers in batches of a few MB from now on, unless the session has a size
+    of its own; by the defaults a batch of 10,000 documents takes tens of MB in the executor and in
+    the worker."""
+    if spark.conf.get(BATCH_BYTES_KEY, None) is None:
+        spark.conf.set(BATCH_BYTES_KEY, BATCH_BYTES)
+
+
 @contextmanager
 def _shuffles_removed(spark: SparkSession):
     """Queries that end in here leave no shuffle files behind; the session's own setting comes back."""
