@@ -8,6 +8,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeload.functions.identifiers import column
 
@@ -15,6 +16,12 @@ from lakeload.functions.identifiers import column
 # spread over this many tasks.
 SALTS = 16
 
+# Bytes of input files that one task of a large shuffle stands for; rows in memory take many times that.
+TASK_BYTES = 2 << 20
+_MOST_TASKS = 20_000
+# Types of which equal values are one value, unlike 0.0 and -0.0 or text under a collation.
+_EXACT = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
 
 def size_estimate(df: DataFrame) -> int:
     """Spark's own upper estimate of a frame's size.
@@ -38,6 +45,29 @@ def fits_broadcast(df: DataFrame) -> bool:
     return limit > 0 and size_estimate(df) <= limit
 
 
+def tasks_for(df: DataFrame) -> int:
+    """Tasks that keep a shuffle's rows small: a number in proportion to the files the frame reads.
+
+    Each scan counts with its files once, however often the plan names it; frames without a known
+    size count nothing.  0 where the session's own number of shuffle partitions is no smaller.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes: set[tuple[str, int]] = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        size = int(str(leaf.stats().sizeInBytes()))
+        if size < 1 << 60:
+            # One table read twice has other column numbers, but the same canonical form.
+            sizes.add((str(leaf.canonicalized()), size))
+    wanted = min(-(-sum(size for _, size in sizes) // TASK_BYTES), _MOST_TASKS)
+    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else 0
+
+
+def spread(df: DataFrame, keys: Sequence[str], n_tasks: int) -> DataFrame:
+    """Dealt by ``keys`` over ``n_tasks``, which later steps by these keys need not do again; 0: as it is."""
+    return df.repartition(n_tasks, *[column(k) for k in keys]) if n_tasks else df
+
+
 def any_null(cols: Sequence[str]) -> Column:
     return reduce(or_, (column(c).isNull() for c in cols))
 
@@ -55,18 +85,23 @@ def members(
     how: str = "left_semi",
     null_safe: bool = True,
     salts: int = SALTS,
+    few: bool = False,
 ) -> DataFrame:
     """Join rows to a lookup frame that has each key once.
 
     One key may cover a large part of ``df`` (a day, a file, a region).  Small
     lookups are broadcast by Spark; otherwise both sides carry a salt so that one
     key's rows go to ``salts`` tasks, each with its own copy of the lookup row.
-    ``salts=1`` is for keys that ``df`` holds once, which have nothing to spread.
+    ``salts=1`` is for keys that ``df`` holds once, which have nothing to spread.  ``few`` is for
+    lookups known to be short though their plan does not show it, such as a list of files: they
+    are broadcast, and ``df`` stays where it is.
     """
     # The salt is made from the row itself: a repeated task must route rows as before,
     # which a random number or a running one would not do.
     others = [c for c in df.columns if c not in on and _hashable(df, c)]
-    left, right, salted = df, lookup, salts > 1 and bool(others) and not fits_broadcast(lookup)
+    left, right, salted = df, lookup, salts > 1 and bool(others) and not few and not fits_broadcast(lookup)
+    if few:
+        right = F.broadcast(lookup)
     if salted:
         spread = F.xxhash64(*[column(c) for c in others])
         left = df.withColumn("__salt", F.pmod(spread, F.lit(salts)).cast("int"))
@@ -82,7 +117,8 @@ def members(
 
 
 def _hashable(df: DataFrame, name: str) -> bool:
-    return "map<" not in df.schema[name].dataType.simpleString()
+    kind = df.schema[name].dataType.simpleString()
+    return "map<" not in kind and "variant" not in kind
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
@@ -108,8 +144,16 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Da
 
     An aggregate, not a window: rows of a hot key are reduced before the shuffle.
     """
-    best = F.max_by(F.struct(*[column(c) for c in df.columns]), F.struct(*[column(c) for c in order_by]))
-    return df.groupBy(*[column(k) for k in keys]).agg(best.alias("__row")).select("__row.*")
+    # Keys that the grouping returns as they are stay out of the rows, so that filters on them reach the scan.
+    exact = [c for c in df.columns if c in keys and isinstance(df.schema[c].dataType, _EXACT)]
+    rest = [c for c in df.columns if c not in exact]
+    if all(c in df.columns and _hashable(df, c) for c in [*rest, *order_by]):
+        # One struct: the columns of the order are in the row once.
+        best = F.max(F.struct(*[column(c) for c in dict.fromkeys([*order_by, *rest])]))
+    else:
+        best = F.max_by(F.struct(*[column(c) for c in rest]), F.struct(*[column(c) for c in order_by]))
+    last = df.groupBy(*[column(k) for k in keys]).agg(best.alias("__row"))
+    return last.select(*[column(c) if c in exact else F.col("__row").getField(c).alias(c) for c in df.columns])
 
 
 def unique_source(
@@ -144,7 +188,8 @@ def pair(
 ) -> DataFrame:
     """Target and source rows side by side: structs ``t`` and ``s``, flags ``in_t`` and ``in_s``.
 
-    ``full``       one full outer join; both sides shuffle on the key once.
+    ``full``       one full outer join; both sides shuffle on the key once, over as many tasks as
+                   the files that are read call for.
     ``broadcast``  for a source below Spark's broadcast limit: the target streams past
                    the broadcast source without a shuffle, and source rows without a
                    target are found from the target's key columns alone.
@@ -169,7 +214,14 @@ def pair(
     s = source.withColumn("__in_s", F.lit(True)).alias("r")
     condition = match_condition(keys)
     if strategy == "full":
-        return _structs(t.join(s, condition, "full_outer"), target, source)
+        joined = t.join(s, condition, "full_outer")
+        n_tasks = tasks_for(joined)
+        if n_tasks:
+            # As one struct, NULL keys are equal to each other under a plain equality.
+            key = F.struct(*[column(k) for k in keys])
+            t, s = (spread(side.withColumn("__key", key), ["__key"], n_tasks) for side in (t, s))
+            joined = t.alias("l").join(s.alias("r"), F.col("l.__key") == F.col("r.__key"), "full_outer")
+        return _structs(joined, target, source)
     if strategy == "broadcast":
         found = (
             target.select(*[column(k) for k in keys])
