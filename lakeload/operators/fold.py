@@ -18,7 +18,7 @@ from lakeload.functions.identifiers import column
 from lakeload.functions.scalars import instant
 from lakeload.operators.alignment import align_schemas, conform
 from lakeload.operators.history import open_end, open_versions
-from lakeload.operators.matching import keep_last, members, pair, require_unique
+from lakeload.operators.matching import keep_last, members, pair, require_unique, spread, tasks_for
 from lakeload.operators.merge import _rows
 from lakeload.schemas import ABSENT, ARCHIVE_FILE, ARCHIVED, CURRENT, DELETED, END, HASH, MODIFIED, SEEN, START
 
@@ -85,7 +85,7 @@ def _runs(
     key's following row where ``start_col`` names it, whichever is earlier.  ``carried`` columns
     come from the last row too.  ``last_only`` keeps the last run of each key.
     """
-    keys = [column(k) for k in bk]
+    keys, n_tasks = [column(k) for k in bk], tasks_for(rows)
     chunk = F.floor(F.col(_SEQ) / chunk_files).cast("long") if chunk_files else F.lit(0).cast("long")
     rows = rows.withColumns({"__chunk": chunk, "__until": F.col(_NEXT)})
     ends = [_DUE, "__until", *carried]
@@ -101,7 +101,7 @@ def _runs(
         return df.withColumn("__until", F.least(F.col("__until").cast(df.schema[start_col].dataType), following))
 
     inside = Window.partitionBy(*keys, "__chunk").orderBy(_SEQ)
-    rows = rows.withColumns(
+    rows = spread(rows, [*bk, "__chunk"] if chunk_files else bk, n_tasks).withColumns(
         {
             "__first": F.lag(_SEQ).over(inside).isNull(),
             "__last": F.lead(_SEQ).over(inside).isNull(),
@@ -122,6 +122,7 @@ def _runs(
                 "__run_of": F.when(~edge, F.col(_SEQ)),
             }
         )
+        runs = spread(runs, [*bk, "__chunk_of", "__run_of"], n_tasks)
         w = Window.partitionBy(*keys, "__chunk_of", "__run_of").orderBy(_SEQ)
         across = (F.lag("__chunk").over(w) != F.col("__chunk")) & continues(w)
         runs = _collapse(bounded(runs, w), w, across, ends)
@@ -131,26 +132,30 @@ def _runs(
 
 
 def _due(
-    numbered: DataFrame, old: DataFrame | None, snapshot_col: str, first, filter_cols: Sequence[str] | None
+    numbered: DataFrame,
+    named: DataFrame | None,
+    old: DataFrame | None,
+    first,
+    filter_cols: Sequence[str] | None,
+    few: bool,
 ) -> tuple[DataFrame, DataFrame | None]:
     """``__due`` and ``__next`` of the rows of numbered files and of a table before them.
 
     A full extract speaks for all keys, so each row is due in the next one.  A file that speaks
     for slices (``filter_cols``) ends what it lacks of these only: a row is due where its own slice
-    is named next, which an equi-join with the slices of each file tells.  A slice's files meet in
-    one group of a window, one row each, and rows of a large slice are spread by ``members``.
+    is named next, which an equi-join with the slices of each file (``named``) tells.  A slice's files
+    meet in one group of a window, one row each, and rows of a large slice are spread by ``members``.
     """
     if not filter_cols:
         numbered = numbered.withColumn(_DUE, F.col(_SEQ) + 1)
         return numbered, None if old is None else old.withColumns({_DUE: F.lit(0).cast("long"), _NEXT: first})
     slices = [column(c) for c in filter_cols]
-    named = numbered.select(*slices, _SEQ, column(snapshot_col).alias("__named")).distinct()
     w = Window.partitionBy(*slices).orderBy(_SEQ)
     following = named.select(*slices, _SEQ, F.lead(_SEQ).over(w).alias(_DUE), F.lead("__named").over(w).alias(_NEXT))
-    numbered = members(numbered.drop(_NEXT), following, [*filter_cols, _SEQ], "inner")
+    numbered = members(numbered.drop(_NEXT), following, [*filter_cols, _SEQ], "inner", few=few)
     if old is not None:
         earliest = named.groupBy(*slices).agg(F.min(_SEQ).alias(_DUE), F.min_by("__named", _SEQ).alias(_NEXT))
-        old = members(old, earliest, filter_cols, "left_outer")
+        old = members(old, earliest, filter_cols, "left_outer", few=few)
     return numbered, old
 
 
@@ -262,22 +267,29 @@ def _numbered(
     on_duplicates: str,
     order_by: Sequence[str] | None,
     present: Column,
+    slices: DataFrame | None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of the batch and of the table before it, numbered and due.
 
     A table row that is not ``present`` belongs to no snapshot: it is due before the first file, so
-    that a returning key starts a new run.
+    that a returning key starts a new run.  The list of ``snapshots`` has a row per extract, so the
+    batch is not moved to number its rows.
     """
     times = (batch if snapshots is None else snapshots).select(column(snapshot_col)).distinct()
     order = number_in_order(times, snapshot_col)
-    numbered = members(batch, order, [snapshot_col], "inner")
+    numbered = members(batch, order, [snapshot_col], "inner", few=snapshots is not None)
     old = None if target is None else target.withColumn(_SEQ, F.lit(-1).cast("long"))
     first = order.agg(F.min(column(snapshot_col)).alias("first")).scalar()
-    # The slices of a file are those of all its rows, repeated keys included.
-    numbered, old = _due(numbered, old, snapshot_col, first, filter_cols)
+    named = None
+    if filter_cols:
+        # The slices of a file are those of all its rows, repeated keys included.
+        known = numbered if slices is None else members(slices, order, [snapshot_col], "inner", few=True)
+        named = known.select(*[column(c) for c in filter_cols], _SEQ, column(snapshot_col).alias("__named")).distinct()
+    rows = _one_row_per_file(numbered, bk, on_duplicates, order_by)
+    rows, old = _due(rows, named, old, first, filter_cols, slices is not None)
     if old is not None:
         old = old.withColumn(_DUE, F.when(present, F.col(_DUE)).otherwise(F.lit(-1)).cast("long"))
-    return _one_row_per_file(numbered, bk, on_duplicates, order_by), old
+    return rows, old
 
 
 def scd2_from_snapshots(
@@ -288,6 +300,7 @@ def scd2_from_snapshots(
     target: DataFrame | None = None,
     snapshots: DataFrame | None = None,
     filter_cols: Sequence[str] | None = None,
+    slices: DataFrame | None = None,
     on_duplicates: str = "error",
     order_by: Sequence[str] | None = None,
     chunk_files: int | None = CHUNK_FILES,
@@ -297,13 +310,14 @@ def scd2_from_snapshots(
     A version is a run of consecutive snapshots that hold the key with one hash.
     With a ``target`` its current versions count as a snapshot before the first,
     and its closed history passes through.  ``snapshots`` lists the snapshot times
-    where some extracts are empty.
+    where some extracts are empty; this list is broadcast.
 
     Extracts that speak for slices only (``filter_cols``, which the hash covers) leave other
-    slices alone: for a row the snapshots that count are those that name its slice.
+    slices alone: for a row the snapshots that count are those that name its slice.  ``slices`` are
+    the distinct slices and snapshot times of the batch where the caller knows that they are few.
     """
     rows, old = _numbered(
-        batch, bk, target, snapshot_col, snapshots, filter_cols, on_duplicates, order_by, column(CURRENT)
+        batch, bk, target, snapshot_col, snapshots, filter_cols, on_duplicates, order_by, column(CURRENT), slices
     )
     rows = open_versions(rows, column(snapshot_col))
     closed = None
@@ -335,6 +349,7 @@ def fact_fold(
     *,
     snapshots: DataFrame | None = None,
     filter_cols: Sequence[str] | None = None,
+    slices: DataFrame | None = None,
     on_duplicates: str = "error",
     order_by: Sequence[str] | None = None,
     chunk_files: int | None = CHUNK_FILES,
@@ -343,11 +358,20 @@ def fact_fold(
 
     The last run of a key is the row: its first file changed or revived the key.
     A run that stops before the last snapshot is a soft-deleted row.  With ``filter_cols``, which
-    the hash covers, only snapshots that name the row's slice count.  A column
-    ``__AbsentDatetimeUTC`` takes the time of the snapshot that lacked a deleted row.
+    the hash covers, only snapshots that name the row's slice count (``slices`` as for
+    ``scd2_from_snapshots``).  A column ``__AbsentDatetimeUTC`` takes the time of the snapshot that lacked a deleted row.
     """
     rows, old = _numbered(
-        batch, bk, target, snapshot_col, snapshots, filter_cols, on_duplicates, order_by, column(DELETED).isNull()
+        batch,
+        bk,
+        target,
+        snapshot_col,
+        snapshots,
+        filter_cols,
+        on_duplicates,
+        order_by,
+        column(DELETED).isNull(),
+        slices,
     )
     deleted_type = rows.schema[MODIFIED].dataType
     if DELETED not in rows.columns:
