@@ -502,6 +502,7 @@ def _scd2_apply(spark, spec, table, step, rows, order, now) -> None:
             target=part,
             snapshots=order,
             filter_cols=spec.delete_filter or None,
+            slices=_few_slices(spec, rows),
             chunk_files=_chunk(spec, step.files),
             **_options(spec),
         )
@@ -523,6 +524,15 @@ def _scd2_apply(spark, spec, table, step, rows, order, now) -> None:
         table.replace(lambda _: state, touched, **step.mark)
 
 
+def _few_slices(spec: LoadSpec, rows: DataFrame) -> DataFrame | None:
+    """The slices each file names, as a short list; None where they are many or not asked for."""
+    if not spec.delete_filter:
+        return None
+    named = rows.select(*[column(c) for c in spec.delete_filter], column(ARCHIVED)).distinct()
+    few = named.limit(_FEW_PARTITIONS + 1).collect()
+    return rows.sparkSession.createDataFrame(few, named.schema) if len(few) <= _FEW_PARTITIONS else None
+
+
 def _scd2_partitions(
     spec: LoadSpec, part: DataFrame, rows: DataFrame, dates: list[dt.date]
 ) -> tuple[DataFrame, DataFrame]:
@@ -571,6 +581,7 @@ def _fact_steps(spark, spec, table, step, now) -> None:
                 fold = {
                     "snapshots": order,
                     "filter_cols": spec.delete_filter or None,
+                    "slices": _few_slices(spec, rows),
                     "chunk_files": _chunk(spec, step.files),
                     **_options(spec),
                 }

@@ -112,7 +112,8 @@ def _apply_stage(
         folders = members(folders, touched, touched.columns)
         left = members(folders, data.select(*parts).distinct(), partition_by, "left_anti")
         emptied = [unquote(r[0]) for r in left.select("__folder").toLocalIterator()]
-    writer = data.hint("rebalance", *partition_by).write.mode("overwrite")
+    # The staged files are balanced already, each of one partition.
+    writer = data.write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     for folder in emptied:
         storage.remove(folder)
