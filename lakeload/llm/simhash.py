@@ -9,6 +9,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,7 +154,7 @@ SKETCH_SLICE = 4 << 20
 #: Documents that the order of shingles is drawn from, and shingles with a rank of their own in it.
 ORDER_DOCS, ORDER_SHINGLES = 8_192, 200_000
 #: Nodes and shingles of a block of a crowd.
-BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 17
+BLOCK_NODES, BLOCK_SHINGLES = 512, 1 << 18
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -351,62 +352,83 @@ def _tile_links(left: pa.Table, right: pa.Table, similarity: float, size: int) -
 
 def _tile_nodes(left: pa.Table, right: pa.Table | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Which rows of two blocks (one, with itself, if ``right`` is None) are of a pair in different
-    components that the sketches do not rule out."""
+    components that the sketches do not rule out and that does not meet at an earlier key."""
     other = left if right is None else right
     roots = [t["root"].to_numpy() for t in (left, other)]
     apart = roots[0][:, None] != roots[1]
     i, j = np.nonzero(apart if right is not None else np.triu(apart))
     bodies = [[x.as_buffer() for c in t["sketch"].chunks for x in c] for t in (left, other)]
-    near = sketches_near(*bodies, i, j, similarity) if len(i) else np.zeros(0, bool)
+    if len(i):
+        near = sketches_near(*bodies, i, j, similarity)
+        i, j = i[near], j[near]
+    before = [{k: frozenset(t["earlier"][k].as_py()) for k in np.unique(at).tolist()} for t, at in ((left, i), (other, j))]
+    first = [before[0][x].isdisjoint(before[1][y]) for x, y in zip(i.tolist(), j.tolist())]
     sides = np.zeros(len(left), bool), np.zeros(len(other), bool)
-    sides[0][i[near]] = sides[1][j[near]] = True
+    sides[0][i[first]] = sides[1][j[first]] = True
     return sides if right is not None else (sides[0] | sides[1], np.zeros(0, bool))
 
 
-def _in_tiles(tiles: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of both blocks of each tile; a block that meets itself is sent once, on the left."""
-    left = tiles.join(rows, "block").select("block", "block2", *[c for c in rows.columns if c != "block"])
-    others = tiles.where("block < block2").join(rows.withColumnRenamed("block", "block2"), "block2")
-    return left, others.select(left.columns)
+def crowd_tiles(keyed: DataFrame, similarity: float) -> DataFrame:
+    """``(key, node, root, block, block2, second)``: the tiles that each node of a key goes to, and
+    on which side.
+
+    A key whose nodes fit a block is one tile.  Those of a larger key lie in bands of their sizes, a
+    band in as many blocks as it needs, and the blocks of one band or of two neighbours meet: sizes
+    of a similar pair are no further apart.
+    """
+    # A little wider than the similarity asks for, so that rounding cannot part a pair by two bands.
+    banded = keyed.select("key", "node", "root", "size", F.floor(F.log("size") / (1e-9 - math.log(similarity))).alias("band"))
+
+    def needed(nodes: Column, shingles: Column) -> Column:
+        return F.ceil(F.greatest(nodes / BLOCK_NODES, shingles / BLOCK_SHINGLES))
+
+    bands = banded.groupBy("key", "band").agg(F.count("*").alias("nodes"), F.sum("size").alias("shingles"))
+    whole = bands.groupBy("key").agg((needed(F.sum("nodes"), F.sum("shingles")) <= 1).alias("whole"))
+    parts = F.when(F.col("whole"), F.lit(1).cast("long")).otherwise(needed(F.col("nodes"), F.col("shingles")))
+    cut = bands.join(whole, "key").select("key", "band", F.when(~F.col("whole"), F.col("band")).otherwise(-1).alias("span"), parts.alias("parts"))
+    cut = staged(cut, "crowd-bands")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    at = cut.select("key", "span", every).distinct().withColumn("block", F.xxhash64("key", "span", "part"))
+    others = at.select("key", F.col("span").alias("span2"), F.col("block").alias("block2"))
+    tiles = at.join(others, "key").where((F.col("block") <= F.col("block2")) & (F.abs(F.col("span") - F.col("span2")) <= 1))
+    sides = F.when(F.col("block") < F.col("block2"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    sent = tiles.select("block", "block2", F.explode(sides).alias("second"))
+    sent = sent.withColumn("own", F.when(F.col("second"), F.col("block2")).otherwise(F.col("block")))
+    own = F.xxhash64("key", "span", F.pmod(F.xxhash64("node"), F.col("parts")))
+    placed = banded.join(cut, ["key", "band"]).select("key", "node", "root", own.alias("own"))
+    tiled = staged(placed.join(sent, "own").drop("own"), "crowd-tiles")
+    discard(cut)
+    return tiled
 
 
 def crowd_links(keyed: DataFrame, nodes: DataFrame, texts_of, similarity: float, size: int) -> DataFrame:
     """Links ``(a, b)`` that connect what all similar pairs of different components at crowded keys
     connect.
 
-    A node lies in a block of its most crowded key, a key's nodes in as many blocks as they need.
-    Blocks that meet at some key are a tile, so a pair is compared once, however many keys it shares.
-    Tiles are sent sketches first, and all pairs of a tile are held against each other inside a task,
-    which names the nodes of pairs that may be similar.  Only texts of these go to the tile
+    The nodes of a key meet in its own tiles (``crowd_tiles``): a key of few blocks costs a row or
+    two per node, whatever other keys these have.  Tiles are sent sketches first, and all pairs of a
+    tile are held against each other inside a task, which names the nodes of pairs that may be
+    similar, each pair at the first key that both have.  Only texts of these go to the tile
     (``texts_of``), where all their pairs are compared exactly; one edge per node comes back.  The
     links are a written table.
     """
-    homes = keyed.groupBy("node").agg(
-        F.max(F.struct("n", "key")).getField("key").alias("home"), F.first("root").alias("root"), F.first("size").alias("size")
-    )
-    needed = F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum("size") / BLOCK_SHINGLES))
-    blocks = homes.groupBy("home").agg(needed.alias("blocks"))
-    placed = homes.join(blocks, "home").select("node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), "blocks")).alias("block"))
-    placed = staged(placed.join(nodes.select("node", "sketch"), "node"), "crowd-blocks")
-    at = keyed.select("key", "node").join(placed.select("node", "block"), "node").select("key", "block").distinct()
-    at = staged(at, "crowd-keys")
-    tiles = at.join(at.select("key", F.col("block").alias("block2")), "key").where("block <= block2")
-    tiles = staged(tiles.select("block", "block2").distinct(), "crowd-tiles")
     tile = ["block", "block2"]
+    tiled = crowd_tiles(keyed, similarity)
+    listed = tiled.groupBy("node").agg(
+        F.first("root").alias("root"), F.collect_list(F.struct("key", *tile, "second")).alias("sent"), F.collect_set("key").alias("keys")
+    )
+    each = listed.join(nodes.select("node", "sketch"), "node").select("node", "root", "sketch", "keys", F.inline("sent"))
+    rows = each.select(*tile, "second", "node", "root", "sketch", F.filter("keys", lambda k: k < F.col("key")).alias("earlier"))
+
+    def sift(key: tuple, table: pa.Table) -> pa.Table:
+        one, two = (table.filter(x) for x in (pc.invert(table["second"]), table["second"]))
+        found = _tile_nodes(one, two if key[0] != key[1] else None, similarity)
+        kept = [t.filter(pa.array(f, pa.bool_())) for t, f in zip((one, two), found, strict=True)]
+        return pa.concat_tables(kept).select([*tile, "node", "root", "second"])
 
-    def sift(key: tuple, one: pa.Table, two: pa.Table) -> pa.Table:
-        found = _tile_nodes(one, two if len(two) else None, similarity)
-        kept = [t.filter(pa.array(f)).select(["node", "root"]) for t, f in zip((one, two), found, strict=True)]
-        out = pa.concat_tables(kept)
-        second = pa.array(np.repeat([False, True], [len(t) for t in kept]))
-        ends = [pa.array([k.as_py()] * len(out), pa.int64()) for k in key]
-        return pa.table([*ends, out["node"], out["root"], second], names=[*tile, "node", "root", "second"])
-
-    left, right = _in_tiles(tiles, placed)
-    sifted = left.groupBy(*tile).cogroup(renamed(right).groupBy(*tile))
-    wanted = sifted.applyInArrow(sift, "block long, block2 long, node long, root long, second boolean")
+    wanted = rows.groupBy(*tile).applyInArrow(sift, "block long, block2 long, node long, root long, second boolean")
     wanted = staged(wanted, "crowd-nodes")
-    discard(placed, at, tiles)
+    discard(tiled)
     texts = texts_of(wanted)
 
     def compare(one: pa.Table, two: pa.Table) -> pa.Table:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -276,6 +277,42 @@ def test_near_copies_amid_boilerplate(spark):
     assert len(set(root.values())) == 100
 
 
+def test_near_copies_of_a_crowd_in_small_blocks(spark, monkeypatch):
+    """Near pairs of all sizes amid boilerplate, where a key takes many blocks and bands."""
+    monkeypatch.setattr(simhash, "BLOCK_NODES", 4)
+    rng = random.Random(43)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    form, found = [word() for _ in range(60)], []
+    for k in range(60):
+        own = [word() for _ in range(20 + k)]
+        found += [" ".join(form + own), " ".join([*form, *own[:-1], word()]), " ".join([*form, *own, *[word() for _ in range(5)]])]
+    root = near_as_all_pairs(spark, found)
+    assert 2 <= len(set(root.values())) <= 60
+
+
+def test_tiles_of_a_crowd(spark, monkeypatch):
+    """Nodes of many small keys are sent once a key, whatever keys the others have; in a key of many
+    blocks each pair of similar sizes meets in one tile."""
+    rng = random.Random(47)
+    mixed = [(key, node, node, 100) for key in range(100) for node in rng.sample(range(200), 20)]
+    columns = "key long, node long, root long, size int"
+    assert simhash.crowd_tiles(spark.createDataFrame(mixed, columns), 0.8).count() == len(mixed)
+    monkeypatch.setattr(simhash, "BLOCK_NODES", 8)
+    sizes = {node: rng.randrange(1, 400) for node in range(120)}
+    crowd = [(5, node, node, size) for node, size in sizes.items()]
+    sent = simhash.crowd_tiles(spark.createDataFrame(crowd, columns), 0.8).collect()
+    tiles = {}
+    for r in sent:
+        tiles.setdefault((r.block, r.block2), ([], []))[r.second].append(r.node)
+    met = []
+    for (one, two), (left, right) in tiles.items():
+        pairs = itertools.combinations(left, 2) if one == two else itertools.product(left, right)
+        met += [tuple(sorted(p)) for p in pairs]
+    near = {(a, b) for a, b in itertools.combinations(sizes, 2) if min(sizes[a], sizes[b]) >= 0.8 * max(sizes[a], sizes[b])}
+    assert len(met) == len(set(met)) and near <= set(met)
+    assert len(sent) < 120 * len({r.block for r in sent})
+
+
 def test_sketch_and_similarity():
     text = b" ".join(b"w%d" % (k % 700) for k in range(3000))
     hashes = simhash.shingle_set(text, 5)
