@@ -507,6 +507,62 @@ def test_vectors(spark):
     assert vectors.vector_groups(frame.where("false")).count() == 0
 
 
+def test_vectors_of_many_groups(spark, monkeypatch):
+    """No step ships more than twice the rows, however many lists a vector is asked in; old code
+    shipped each vector to every such list at once."""
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(1200, 24)).astype(np.float32)
+    data[600:900] = data[:300] * 3 + rng.normal(size=(300, 24)) * 0.15
+    data[900:950] = data[0] + rng.normal(size=(50, 24)) * 0.02
+    label = [int(k % 10 == 7) for k in range(600)] * 2
+    frame = spark.createDataFrame([(k, v.tolist(), m) for k, (v, m) in enumerate(zip(data, label))], "vec_id long, embedding array<float>, label int")
+    x = data.astype(float)
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    linked = (x @ x.T >= 0.98) & (np.array(label)[:, None] == label)
+    np.fill_diagonal(linked, False)
+    root = plain_components(range(1200), zip(*map(np.ndarray.tolist, np.nonzero(linked))))
+    assert linked.sum() > 1500 and (linked.sum(1) == 0).sum() > 300
+    plain, met = vectors._steps, []
+
+    def steps(placed, total, item_bytes):
+        for size, dealt in plain(placed, total, item_bytes):
+            tiles = dealt.groupBy("label", "width", "g", "h").count().collect()
+            met.append((sum(t["count"] for t in tiles) / total, size / total, max(t["count"] for t in tiles), len(tiles)))
+            yield size, dealt
+
+    monkeypatch.setattr(vectors, "_steps", steps)
+    for group_bytes, most in ((140 * 160, 340), (60 * 160, 180)):
+        monkeypatch.setattr(vectors, "GROUP_BYTES", group_bytes)
+        met.clear()
+        got = vectors.vector_groups(frame, rows_per_list=40, block=64).collect()
+        assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {k: (int(linked[k].sum()), root[k], root[k] == k) for k in range(1200)}
+        assert len(met) > 1 and all(rows < 2.2 and size < 2.001 and tile < most for rows, size, tile, _ in met)
+
+
+def test_lookups_are_the_distances_of_the_codes():
+    rng = np.random.default_rng(8)
+    x = vectors._unit(rng.normal(size=(1500, 20)))
+    index = vectors.Quantiser.fit(x[:900], 30, 8, 32, 1)
+    home, codes, error = index.encode(x)
+    order = np.argsort(home, kind="stable")
+    x, home, codes, error = x[order], home[order], codes[order], error[order]
+    assert np.allclose(((x - index.decode(home, codes)) ** 2).sum(1), error**2)
+    assert (np.diff(index.areas) >= 0).all() and index.areas[0] == 0
+    far = ((x[:, None] - index.decode(home, codes)) ** 2).sum(2)
+    for own in (None, np.arange(700, 1500)):
+        asked = np.arange(1500 if own is None else 700)
+        for block in (64, 4096):
+            got = set()
+            for i, j in vectors._near(index, x, home, codes, np.full(1500, 0.9), asked, own, 2.0, block):
+                got |= set(zip(i.tolist(), j.tolist()))
+            a, b = np.nonzero(far <= 0.9)
+            keep = a < b if own is None else (a < 700) & (b >= 700)
+            border = np.abs(far - 0.9) < 1e-5
+            assert got ^ set(zip(a[keep].tolist(), b[keep].tolist())) <= set(zip(*map(np.ndarray.tolist, np.nonzero(border))))
+            assert len(got) > 100
+    assert (index.reach(x, 0.2) >> index.areas[home] & 1).all()
+
+
 def test_quality(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
