@@ -57,7 +57,9 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, f"llm-{purpose}")
     with _shuffles_removed(df.sparkSession):
-        df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+        # The size of a row group is looked at from its first row on, not from the hundredth: rows can take MBs.
+        writer = df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES)
+        writer.option("parquet.page.size.row.check.min", 1).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._folder = path
     return table

@@ -24,14 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import staged
+from lakeload.llm.common import bounded_batches, staged
 from lakeload.llm.tokens import Encoder, vocabulary
 
 #: Text of one block in characters; a longer document is a block of its own.
-BLOCK_CHARS = 4 << 20
-#: Words aligned by one product, in characters, and words a worker remembers.
+BLOCK_CHARS = 2 << 20
+#: Words aligned by one product, in characters, and words a worker remembers, no longer than that.
 BATCH_CHARS = 1 << 18
 KNOWN_WORDS = 400_000
+KNOWN_CHARS = 64
 
 
 @dataclass
@@ -107,8 +108,8 @@ class Aligner:
         # Ids as text, with what may follow them in the text of groups.
         self.names_a = [f"{i}{c}" for c in ",|" for i in range(len(self.bytes_a))]
         self.names_b = [f"{i}{c}" for c in ",;" for i in range(len(self.bytes_b))]
-        self.known: dict[str, tuple | None] = {}
-        self.older: dict[str, tuple | None] = {}
+        self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
 
     def words_of(self, text: str) -> list[str]:
         text = " " + text
@@ -122,9 +123,9 @@ class Aligner:
     def _pieces(self, words: list[str]) -> list[list[bytes]]:
         return [[self.bytes_b[i] for i in ids] for ids in self._encode_b(words)]
 
-    def word_alignments(self, words: list[str]) -> list[tuple | None]:
-        """For each word ``(n_a, n_b, n_groups, n_links, n_shared, groups, pairs)``, or None where the
-        tokens do not spell it."""
+    def word_alignments(self, words: list[str]) -> list[bytes | None]:
+        """For each word ``n_a, n_b, n_groups, n_links, n_shared`` as 32-bit integers, its pairs as 64-bit
+        ones and the text of its groups, in one object; None where the tokens do not spell it."""
         found = list(map(self.known.get, words, repeat(0)))
         unknown = [w for w, f in zip(words, found) if f == 0]
         # Words met again come over from the older half; what stays there is forgotten.
@@ -139,11 +140,12 @@ class Aligner:
                 part = missing[begin : i + 1]
                 fresh.update(zip(part, self._align(part)))
                 begin, size = i + 1, 0
-        if len(fresh) <= KNOWN_WORDS // 2:
-            self.known.update(fresh)
+        short = {w: f for w, f in fresh.items() if len(w) <= KNOWN_CHARS}
+        if len(short) <= KNOWN_WORDS // 2:
+            self.known.update(short)
         return [fresh[w] if f == 0 else f for w, f in zip(words, found)]
 
-    def _align(self, words: list[str]) -> list[tuple | None]:
+    def _align(self, words: list[str]) -> list[bytes | None]:
         ids_a, ids_b = self.a.encode(words), self._encode_b(words)
         n_a = np.array([len(x) for x in ids_a]) // 4
         n_b = np.array([len(x) for x in ids_b])
@@ -153,7 +155,7 @@ class Aligner:
         good = self._spelt(flat_a, n_a, self.long_a, self.bytes_a, texts) & self._spelt(
             flat_b, n_b, self.long_b, self.bytes_b, texts
         )
-        out: list[tuple | None] = [None] * len(words)
+        out: list[bytes | None] = [None] * len(words)
         if not good.any():
             return out
         flat_a, flat_b = flat_a[np.repeat(good, n_a)], flat_b[np.repeat(good, n_b)]
@@ -174,12 +176,12 @@ class Aligner:
         ends_a, ends_b = np.cumsum(n_a), np.cumsum(n_b)
         ends_group = group_a[ends_a - 1] + 1
         ends_link, ends_shared = links.starts[ends_a], shared.starts[ends_a]
-        counts = [np.diff(x, prepend=0).tolist() for x in (ends_group, ends_link, ends_shared)]
-        names_end, link_end = (ends_a + ends_b).tolist(), ends_link.tolist()
+        counts = [n_a, n_b, *(np.diff(x, prepend=0) for x in (ends_group, ends_link, ends_shared))]
+        heads = np.stack(counts, 1).astype("<i4").tobytes()
         raw, x, y = pairs.tobytes(), 0, 0
-        rows = zip(np.flatnonzero(good).tolist(), n_a.tolist(), n_b.tolist(), *counts, names_end, link_end)
-        for i, na, nb, groups, linked, together, name, link in rows:
-            out[i] = (na, nb, groups, linked, together, "".join(names[x:name])[:-1], raw[8 * y : 8 * link])
+        rows = zip(np.flatnonzero(good).tolist(), (ends_a + ends_b).tolist(), ends_link.tolist())
+        for k, (i, name, link) in enumerate(rows):
+            out[i] = b"".join((heads[_HEAD * k : _HEAD * (k + 1)], raw[8 * y : 8 * link], "".join(names[x:name])[:-1].encode()))
             x, y = name, link
         return out
 
@@ -212,6 +214,18 @@ class _Numbers(dict):
 
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
+_HEAD = 4 * len(_COUNTS)
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers in the least width that holds them, after a byte that names it."""
+    kind = np.min_scalar_type(int(values.max()) if len(values) else 0)
+    return kind.char.encode() + values.astype(kind.newbyteorder("<")).tobytes()
+
+
+def _widened(data: bytes) -> np.ndarray:
+    kind = np.dtype(data[:1].decode()).newbyteorder("<")
+    return np.frombuffer(data, kind, offset=1).astype(np.int32)
 
 
 class _Block:
@@ -229,18 +243,20 @@ class _Block:
     def row(self, number: int, id_type: pa.DataType) -> pa.RecordBatch:
         found = self.tool.word_alignments(list(self.numbers))
         spelt = np.array([f is not None for f in found], bool)
-        table = np.array([f[:5] if f else (0,) * 5 for f in found], np.int64).reshape(-1, 5)
-        texts = [f[5] if f else "" for f in found]
+        table = np.frombuffer(b"".join([f[:_HEAD] if f else bytes(_HEAD) for f in found]), "<i4").reshape(-1, 5).astype(np.int64)
+        widths = table[:, 3]
+        ends = (_HEAD + 8 * widths).tolist()
+        flat = np.frombuffer(b"".join([f[_HEAD:end] for f, end in zip(found, ends) if f]), np.int64)
+        texts = [f[end:] if f else b"" for f, end in zip(found, ends)]
+        del found
         counts, digests, kept = [], [], []
         for words in self.words:
             fine = len(words) > 0 and spelt[words].all()
             kept.append(words if fine else words[:0])
             counts.append(table[words].sum(0) if fine else np.zeros(5, np.int64))
-            groups = ";".join(map(texts.__getitem__, words.tolist())) if fine else ""
-            digests.append(hashlib.sha256(groups.encode()).hexdigest() if fine else "")
-        times = np.bincount(np.concatenate([np.zeros(0, np.int32), *kept]), minlength=len(found))
-        flat = np.frombuffer(b"".join([f[6] for f in found if f]), np.int64)
-        widths = table[:, 3]
+            digests.append(hashlib.sha256(b";".join(map(texts.__getitem__, words.tolist()))).hexdigest() if fine else "")
+        times = np.bincount(np.concatenate([np.zeros(0, np.int32), *kept]), minlength=len(texts))
+        del texts
         pairs, position = np.unique(flat, return_inverse=True)
         often = np.bincount(position, np.repeat(times, widths), len(pairs)).astype(np.int64)
         columns = {
@@ -248,10 +264,10 @@ class _Block:
             "ids": pa.array([self.ids], pa.list_(id_type)),
             **{c: pa.array([x], pa.list_(pa.int64())) for c, x in zip(_COUNTS, np.array(counts).T)},
             "groups": pa.array([digests], pa.list_(pa.string())),
-            "words": pa.array([np.concatenate([np.zeros(0, np.int32), *kept]).tobytes()], pa.binary()),
-            "lengths": pa.array([np.array([len(x) for x in kept], np.int32).tobytes()], pa.binary()),
-            "places": pa.array([position.astype(np.int32).tobytes()], pa.binary()),
-            "widths": pa.array([widths.astype(np.int32).tobytes()], pa.binary()),
+            "words": pa.array([_narrow(np.concatenate([np.zeros(0, np.int32), *kept]))], pa.binary()),
+            "lengths": pa.array([_narrow(np.array([len(x) for x in kept]))], pa.binary()),
+            "places": pa.array([_narrow(position)], pa.binary()),
+            "widths": pa.array([_narrow(widths)], pa.binary()),
             "pairs": pa.array([pairs], pa.list_(pa.int64())),
             "often": pa.array([often], pa.list_(pa.int64())),
         }
@@ -295,10 +311,12 @@ def align_tokenizers(
         if block.ids:
             yield block.row(number, kind)
 
+    bounded_batches(docs.sparkSession)
     blocks = staged(source.mapInArrow(run, schema), "crosstoken")
     found = _corpus_counts(blocks)
     joined = blocks.select("block", "ids", *_COUNTS, "groups", "words", "lengths", "places", "widths").join(
-        found, "block", "left"
+        # No sort: it would hold the blocks of a task, which are MBs each.
+        found.hint("shuffle_hash"), "block", "left"
     )
     names = [*_COUNTS, "n_best", "count_sum"]
 
@@ -337,9 +355,7 @@ def _corpus_counts(blocks: DataFrame) -> DataFrame:
 
 def _document_sums(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """``n_best`` and ``count_sum`` of each document of a block."""
-    words, lengths, places, widths = (
-        np.frombuffer(row[c].as_py(), np.int32) for c in ("words", "lengths", "places", "widths")
-    )
+    words, lengths, places, widths = (_widened(row[c].as_py()) for c in ("words", "lengths", "places", "widths"))
     found = row["found"]
     if not found.is_valid or not len(places):
         return np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)

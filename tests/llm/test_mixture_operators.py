@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 from decimal import Decimal
 
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeload.llm import crosstoken, mixing, whitening
+from lakeload.llm.common import staged
 from lakeload.llm.queries import PIECES, VOCABULARY
 from lakeload.llm.tokens import byte_letters
 from tests.llm.test_operators import ODD, texts
@@ -101,6 +103,43 @@ def test_alignment_of_a_long_text_and_small_blocks(spark):
     assert got[1].n_a > 300_000 and got[1].count_sum > got[4].count_sum > 0
 
 
+def test_rows_of_megabytes_are_staged_in_small_row_groups(spark):
+    """An executor holds a row group of the writer or the reader at once, whatever a task writes."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def wide(batches):
+        for batch in batches:
+            for ident in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([ident]), pa.array([np.random.default_rng(ident).bytes(1 << 20)])], names=["id", "row"])
+
+    table = staged(spark.range(60).coalesce(1).mapInArrow(wide, "id long, row binary"), "wide")
+    files = [f"{table._folder}/{f}" for f in os.listdir(table._folder) if f.endswith(".parquet")]
+    groups = [pq.ParquetFile(f).metadata.row_group(k).num_rows for f in files for k in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert sum(groups) == 60 and max(groups) <= 20
+    assert table.agg(F.sum(F.length("row"))).first()[0] == 60 << 20
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(crosstoken, "KNOWN_WORDS", 200)
+    tool = crosstoken.Aligner(VOCABULARY, PIECES)
+    words = [f" word{i}" for i in range(90)] + [" " + "xyz" * 5000, " short"]
+    first = tool.word_alignments(words)
+    assert len(tool.known) == 91 and not any(len(w) > crosstoken.KNOWN_CHARS for w in tool.known)
+    tool.word_alignments([f" other{i}" for i in range(95)])
+    assert len(tool.known) + len(tool.older) <= 200
+    assert tool.word_alignments(words) == first and all(isinstance(f, bytes) for f in first)
+
+
+def test_numbers_in_the_least_width():
+    for top in (0, 255, 256, 65_535, 65_536, 2**31 - 1):
+        values = np.array([0, top, top // 2], np.int64)
+        data = crosstoken._narrow(values)
+        assert crosstoken._widened(data).tolist() == values.tolist()
+        assert len(data) == 1 + 3 * (1 if top < 256 else 2 if top < 65_536 else 4)
+    assert len(crosstoken._widened(crosstoken._narrow(np.zeros(0, np.int32)))) == 0
+
+
 def test_sparse_products():
     rng = np.random.default_rng(2)
     for _ in range(20):
